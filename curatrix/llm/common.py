@@ -10,8 +10,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _own_dir: str | None = None
@@ -53,18 +55,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_stored(df: DataFrame) -> None:
-    """Delete the files behind a frame made by :func:`stored`, once nothing reads it any more."""
-    spark = df.sparkSession
-    base = shared_dir(spark)
-    jvm = spark.sparkContext._jvm
-    for file in df.inputFiles():
-        if file.split("://")[-1].lstrip("/").startswith(base.split("://")[-1].lstrip("/").removeprefix("file:").lstrip("/")) or base in file:
-            parent = jvm.org.apache.hadoop.fs.Path(file).getParent()
-            parent.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(parent, True)
-            return
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -72,44 +62,40 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def numbered(df: DataFrame, order: list[str], group: str | None = None, name: str = "numbered") -> DataFrame:
     """Add ``_index``: a gapless number from 0 in the order of ``order``, within ``group`` if given.
 
-    Range partitions (balanced by sampling, so a hot group is spread over many) are written once;
-    the rows of each partition and group are counted, the small table of counts is summed up to
-    offsets, and each partition numbers its own rows.  No task holds a whole group.  ``order`` has
-    to decide the order; equal rows are numbered arbitrarily, but once and for all.  Nulls first.
+    Range partitions (balanced by sampling, so a hot group is spread over many) number their own
+    rows and are written once; the first numbers of each partition and group come from a small
+    table of counts, a row for each range.  No task holds a whole group.  ``order`` has to decide
+    the order; equal rows are numbered arbitrarily, but once and for all.  Nulls first.
     """
     spark = df.sparkSession
-    keys = ([group] if group else []) + order
-    n = shuffle_partitions(spark)
-    parted = (
-        df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys])
-        .withColumn("_part", F.spark_partition_id())
-        .sortWithinPartitions(*[F.col(k).asc_nulls_first() for k in keys])
-    )
-    parted = stored(parted, name)
-    by = [group, "_part"] if group else ["_part"]
-    counts = [r.asDict() for r in parted.groupBy(*by).count().collect()]  # partitions plus groups: a row for each range
-    offsets: dict = {}
+    keys = [F.col(k).asc_nulls_first() for k in ([group] if group else []) + order]
+
+    def number(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last, n = TaskContext.get().partitionId(), None, 0
+        for batch in it:
+            local = np.empty(batch.num_rows, np.int64)
+            for i, g in enumerate(batch.column(group).to_pylist() if group else [None] * batch.num_rows):
+                if g != last:
+                    last, n = g, 0
+                local[i] = n
+                n += 1
+            parts = pa.array(np.full(batch.num_rows, part, np.int32))
+            yield pa.RecordBatch.from_arrays([*batch.columns, parts, pa.array(local)], [*batch.schema.names, "_part", "_local"])
+
+    schema = T.StructType([*df.schema.fields, T.StructField("_part", T.IntegerType()), T.StructField("_local", T.LongType())])
+    parted = stored(df.repartitionByRange(shuffle_partitions(spark), *keys).sortWithinPartitions(*keys).mapInArrow(number, schema), name)
+    by = ["_part", group] if group else ["_part"]
     seen: dict = {}
-    for r in sorted(counts, key=lambda r: r["_part"]):
+    rows = []
+    for r in sorted(parted.groupBy(*by).agg(F.max("_local").alias("n")).collect(), key=lambda r: r["_part"]):
         g = r[group] if group else None
-        offsets[(r["_part"], g)] = seen.get(g, 0)
-        seen[g] = seen.get(g, 0) + r["count"]
-    from pyspark.sql import Window
-
-    within = Window.partitionBy(*by).orderBy(*[F.col(k).asc_nulls_first() for k in order])
-    rows = [(p, g, o) for (p, g), o in offsets.items()]
-    if group:
-        shift = spark.createDataFrame([(p, g, o) for p, g, o in rows], f"_part int, {group} {df.schema[group].dataType.simpleString()}, _offset long") if rows else None
-    else:
-        shift = spark.createDataFrame([(p, o) for p, _, o in rows], "_part int, _offset long") if rows else None
-    local = parted.withColumn("_local", F.row_number().over(within) - 1)
-    if shift is None:
-        return local.withColumn("_index", F.col("_local").cast("long")).drop("_local", "_part")
-    return (
-        local.join(F.broadcast(shift), by, "left")  # a row for each range partition
-        .withColumn("_index", F.col("_local") + F.col("_offset"))
-        .drop("_local", "_offset", "_part")
-    )
+        rows.append((r["_part"], g, seen.get(g, 0)))
+        seen[g] = seen.get(g, 0) + r["n"] + 1
+    kind = df.schema[group].dataType if group else T.IntegerType()
+    offsets = spark.createDataFrame(rows, T.StructType([T.StructField("_p", T.IntegerType()), T.StructField("_g", kind), T.StructField("_offset", T.LongType())]))
+    same = (F.col("_part") == F.col("_p")) & (F.col(group).eqNullSafe(F.col("_g")) if group else F.lit(True))
+    # a row for each range partition and the groups that meet there
+    return parted.join(F.broadcast(offsets), same).withColumn("_index", F.col("_local") + F.col("_offset")).drop("_part", "_local", "_p", "_g", "_offset")
 
 
 def batches(it: Iterator[pa.RecordBatch], size: int = 2000) -> Iterator[pa.RecordBatch]:

@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .dac import token_output
+from .lsh import near_duplicate_vectors
 from .packing import pack_documents
+from .quality import quality_report
+from .sharding import shard_documents
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -18,12 +21,33 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=0)
 
 
+def op4_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"), shards=24)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2, capacity=1024)
 
 
+def op9_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_files, op8_best_fit_packing)}
+    return {
+        f.__name__: f
+        for f in (
+            op2_token_files,
+            op4_differencing_shards,
+            op8_best_fit_packing,
+            op9_embedding_near_duplicates,
+            op10_quality_rules,
+        )
+    }
 
 
 def oracle_sql() -> dict[str, str]:
