@@ -11,6 +11,7 @@ from .common import table
 from .dac import token_output
 from .lsh import near_duplicate_vectors
 from .packing import pack_documents
+from .partenum import jaccard_classes
 from .quality import quality_report
 from .sharding import shard_documents
 
@@ -25,6 +26,10 @@ def op4_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(table(spark, sf_dir, "documents"), width=5, num=3, den=4)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2, capacity=1024)
 
@@ -43,6 +48,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for f in (
             op2_token_files,
             op4_differencing_shards,
+            op5_ngram_jaccard_join,
             op8_best_fit_packing,
             op9_embedding_near_duplicates,
             op10_quality_rules,
