@@ -14,6 +14,7 @@ from .packing import pack_documents
 from .partenum import jaccard_classes
 from .quality import quality_report
 from .sharding import shard_documents
+from .toxicity import toxicity_scores
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -22,6 +23,10 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=0)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
@@ -47,6 +52,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op2_token_files,
+            op3_toxicity,
             op4_differencing_shards,
             op5_ngram_jaccard_join,
             op8_best_fit_packing,
