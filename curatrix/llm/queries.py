@@ -12,6 +12,7 @@ from .dac import token_output
 from .lsh import near_duplicate_vectors
 from .packing import pack_documents
 from .partenum import jaccard_classes
+from .pii import personal_data
 from .quality import quality_report
 from .sharding import shard_documents
 from .toxicity import toxicity_scores
@@ -35,6 +36,10 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"), width=5, num=3, den=4)
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2, capacity=1024)
 
@@ -55,6 +60,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op3_toxicity,
             op4_differencing_shards,
             op5_ngram_jaccard_join,
+            op6_personal_data,
             op8_best_fit_packing,
             op9_embedding_near_duplicates,
             op10_quality_rules,
