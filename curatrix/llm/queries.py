@@ -16,6 +16,7 @@ from .pii import personal_data
 from .quality import quality_report
 from .sharding import shard_documents
 from .toxicity import toxicity_scores
+from .wrapper import main_texts
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -40,6 +41,10 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2, capacity=1024)
 
@@ -61,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op4_differencing_shards,
             op5_ngram_jaccard_join,
             op6_personal_data,
+            op7_main_text,
             op8_best_fit_packing,
             op9_embedding_near_duplicates,
             op10_quality_rules,
