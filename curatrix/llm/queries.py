@@ -15,10 +15,16 @@ from .partenum import jaccard_classes
 from .pii import personal_data
 from .quality import quality_report
 from .sharding import shard_documents
+from .spm import encode_documents
 from .toxicity import toxicity_scores
 from .wrapper import main_texts
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"), PIECES)
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
+            op1_sentencepiece,
             op2_token_files,
             op3_toxicity,
             op4_differencing_shards,
