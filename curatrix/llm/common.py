@@ -98,11 +98,18 @@ def numbered(df: DataFrame, order: list[str], group: str | None = None, name: st
     return parted.join(F.broadcast(offsets), same).withColumn("_index", F.col("_local") + F.col("_offset")).drop("_part", "_local", "_p", "_g", "_offset")
 
 
-def batches(it: Iterator[pa.RecordBatch], size: int = 2000) -> Iterator[pa.RecordBatch]:
-    """Re-slice record batches to at most ``size`` rows, which bounds the memory of long texts."""
+def batches(it: Iterator[pa.RecordBatch], size: int = 2000, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Re-slice record batches to at most ``size`` rows and so many bytes (or one row)."""
     for batch in it:
-        for lo in range(0, batch.num_rows, size):
-            yield batch.slice(lo, size)
+        parts = [(0, batch.num_rows)] if batch.num_rows else []
+        while parts:
+            lo, hi = parts.pop()
+            part = batch.slice(lo, hi - lo)
+            if hi - lo > 1 and (hi - lo > size or part.nbytes > most_bytes):
+                mid = lo + min(size, (hi - lo) // 2) if hi - lo > size else (lo + hi) // 2
+                parts += [(mid, hi), (lo, mid)]
+            else:
+                yield part
 
 
 def text_list(column: pa.Array) -> list[str]:
