@@ -26,13 +26,15 @@ def save(folder: str, run: dict) -> None:
 def incomplete(folder: str) -> dict | None:
     """The latest run with a step that is not done."""
     names = sorted((n for n in os.listdir(folder) if n.startswith("status_") and n.endswith(".json")), reverse=True) if os.path.isdir(folder) else []
-    return next((r for n in names if any(v != "done" for v in (r := read_json(os.path.join(folder, n)))["steps"].values())), None)
+    runs = (read_json(os.path.join(folder, n)) for n in names)
+    return next((r for r in runs if any(v != "done" for v in r["steps"].values())), None)
 
 
 def incomplete_batch(folder: str, kind: str) -> dict | None:
     """The latest request batch of a kind that has not been completed."""
     names = sorted((n for n in os.listdir(folder) if n.startswith(f"batch_{kind}_") and n.endswith(".json")), reverse=True) if os.path.isdir(folder) else []
-    return next((b for n in names if not (b := read_json(os.path.join(folder, n))).get("completed_at")), None)
+    found = (read_json(os.path.join(folder, n)) for n in names)
+    return next((b for b in found if not b.get("completed_at")), None)
 
 
 @dataclass
