@@ -53,18 +53,20 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return wide / np.linalg.norm(wide, axis=1, keepdims=True)
 
 
-def compare(ids: np.ndarray, weights: np.ndarray, block: np.ndarray, codes: np.ndarray, table: int, vectors: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Of one bucket (or pair of blocks): each row's weight of links new in this table, and its local component."""
+def compare(ids: np.ndarray, weights: np.ndarray, block: np.ndarray, within: bool, codes: np.ndarray, table: int, vectors: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of one bucket: each row's weight of links new in this table, and its local component.
+
+    ``within``: pairs inside a block count, otherwise those across two blocks.
+    """
     n = len(ids)
     x = unit(vectors)
-    one_block = (block == block[0]).all()
     links, label = np.zeros(n, np.int64), np.arange(n)
     step = max(1, (1 << 21) // n)
     for lo in range(0, n, step):
         close = x[lo : lo + step] @ x.T >= threshold
         i, j = np.nonzero(close)
         i += lo
-        keep = (i != j) if one_block else (block[i] != block[j])
+        keep = (i != j) if within else (block[i] != block[j])
         i, j = i[keep], j[keep]
         fresh = ~(codes[i, :table] == codes[j, :table]).any(axis=1)
         i, j = i[fresh], j[fresh]
@@ -146,7 +148,7 @@ def near_duplicate_vectors(
             ids, weights, block = (group.column(c).to_numpy() for c in ("id", "weight", "block"))
             codes = group.column("codes").flatten().to_numpy().reshape(len(ids), tables)
             x = group.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
-            links, local = compare(ids, weights, block, codes, group.column("t")[0].as_py(), x, threshold)
+            links, local = compare(ids, weights, block, group.column("a")[0].as_py() == group.column("b")[0].as_py(), codes, group.column("t")[0].as_py(), x, threshold)
             some = links > 0
             if some.any():
                 for column, values in zip(out, (ids[some], links[some], local[some]), strict=True):
