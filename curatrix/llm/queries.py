@@ -81,5 +81,33 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+#: Operators whose whole result plain SQL can say; the others' tests hold them against brute force.
+JACCARD_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+shingles AS (SELECT doc_id, unnest(s) AS g FROM sets),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared JOIN sets a ON a.doc_id = x JOIN sets b ON b.doc_id = y WHERE 100 * k >= 75 * (len(a.s) + len(b.s) - k)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id AS x, doc_id AS c FROM sets UNION SELECT l.y, r.c FROM reach r JOIN both_ways l ON l.x = r.x)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c AS component_id FROM sets JOIN (SELECT x, min(c) AS c FROM reach GROUP BY x) ON x = doc_id
+"""
+
+VECTOR_SQL = """
+WITH RECURSIVE sound AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v)) / sqrt(list_dot_product(b.v, b.v)) >= 0.93),
+reach AS (SELECT vec_id AS x, vec_id AS c FROM embeddings UNION SELECT l.y, r.c FROM reach r JOIN links l ON l.x = r.x)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, c AS component_id, vec_id = c AS kept
+FROM embeddings JOIN (SELECT x, min(c) AS c FROM reach GROUP BY x) ON x = vec_id LEFT JOIN (SELECT x AS i, count(*) AS n FROM links GROUP BY x) ON i = vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_ngram_jaccard_join": JACCARD_SQL, "op9_embedding_near_duplicates": VECTOR_SQL}
