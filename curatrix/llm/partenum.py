@@ -19,9 +19,11 @@ empty (mostly common shingles, or very few) also emits signatures over its whole
 are too sparse as well, one for each shingle.  A pair can be missed by a tier only if both its sets
 are sparse there, so each tier completes the one before.
 
-*Candidates.*  Signatures travel as packed blobs, a few bytes each; equal ones tie their sets to one
-of them (a star, never all pairs), and the connected components of the stars gather what may link.
-The texts of a component meet in one task; components of more than BLOCK classes are dealt as pairs
+*Candidates.*  Signatures travel as packed blobs, a few bytes each.  Up to FEW sets with an equal
+signature give their pairs, at most FEW / 2 for each; these pass only if the sets' parity sketches,
+which bound their Hamming distance from below, allow a link.  More sets are tied to one of them (a
+star, never all pairs).  The connected components of both gather what may link.  The texts of a
+component meet in one task; components of more than BLOCK classes are dealt as pairs
 of blocks.  There an exact prefix-filtered join, rarest shingles first, verifies on the sets
 themselves and skips pairs that are connected already.  True links are connected over the cluster.
 
@@ -45,9 +47,11 @@ from .components import connected_components
 from .shingles import U64, mix, shingle_sets
 
 #: Documents sampled for common shingles, and how many of them make a shingle common.
-SAMPLE_DOCS, COMMON_IN_SAMPLE = 8000, 3
+SAMPLE_DOCS, COMMON_IN_SAMPLE = 12_000, 2
+#: Sets with one signature that give pairs; more give a star.
+FEW = 8
 #: Classes of a candidate component that are joined in one piece.
-BLOCK = 1000
+BLOCK = 2500
 #: Classes with more than 1 / HOT_SHARE of all documents are looked up by broadcast: fewer than HOT_SHARE.
 HOT_SHARE = 10_000
 #: Bits of the filter that spares most documents without candidates the second shuffle.
@@ -87,6 +91,27 @@ def fingerprints(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.nda
     return out[0], out[1]
 
 
+def sketches(values: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """For each set the parities of its numbers of shingles in 2^j bins, twice as many as shingles or more."""
+    h = mix(values ^ U64(0x9B05688C2B3E6C1F))
+    out = []
+    for a, z in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        bins = 1 << min(16, max(6, (2 * (z - a) - 1).bit_length()))
+        odd = np.bincount((h[a:z] & U64(bins - 1)).astype(np.int64), minlength=bins) & 1
+        out.append(np.packbits(odd.astype(np.uint8), bitorder="little").tobytes())
+    return out
+
+
+def distance_bound(a: bytes, b: bytes) -> int:
+    """At least so many shingles are in one of two sets only: bins of different parity."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def signatures(values: np.ndarray, owner: np.ndarray, size: np.ndarray, common: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """(signature, set number) of sets given as ascending ``values`` with ``owner``; ``size`` is |set|."""
     sigs: list[np.ndarray] = []
@@ -146,46 +171,60 @@ def link(sets: list[np.ndarray], num: int, den: int) -> list[int]:
             x = root[x]
         return x
 
-    flat = np.concatenate(sets) if sets else np.zeros(0, U64)
-    _, inverse, counts = np.unique(flat, return_inverse=True, return_counts=True)
     bounds = np.cumsum([0, *map(len, sets)])
-    index: dict[int, dict[int, list[int]]] = {}
     sizes = [len(s) for s in sets]
+    _, inverse, counts = np.unique(np.concatenate(sets) if sets else np.zeros(0, U64), return_inverse=True, return_counts=True)
+    inverse, counts = inverse.astype(np.int32), counts.astype(np.int32)
+    #: Sets whose prefix holds a shingle: one, a list of a few, or lists by component.
+    index: dict[int, int | list[int] | dict[int, list[int]]] = {}
+
+    def verified(x: int, y: int, own: np.ndarray) -> bool:
+        if sizes[y] * den < sizes[x] * num:
+            return False
+        both = int(np.isin(own, inverse[bounds[y] : bounds[y + 1]], assume_unique=True).sum())
+        return den * both >= num * (sizes[x] + sizes[y] - both)
+
     for x in sorted(range(n), key=lambda i: (sizes[i], i)):
         size = sizes[x]
         if not size:
             continue
         own = inverse[bounds[x] : bounds[x + 1]]
         prefix = own[np.lexsort((own, counts[own]))[: size - -(-size * num // den) + 1]]
+        mine = prefix[counts[prefix] > 1].tolist()
         tried: set[int] = set()
-        mine = [e for e in prefix.tolist() if counts[e] > 1]
         for e in mine:
             places = index.get(e)
-            if not places:
+            if places is None:
                 continue
-            for key in list(places):
-                if find(key) == find(x):
+            groups = places.values() if isinstance(places, dict) else [[y] for y in ([places] if isinstance(places, int) else places)]
+            for ys in groups:
+                if find(ys[0]) == find(x):
                     continue
-                for y in places[key]:
-                    if y in tried:
-                        continue
-                    tried.add(y)
-                    if sizes[y] * den < size * num:
-                        continue
-                    other = inverse[bounds[y] : bounds[y + 1]]
-                    both = int(np.isin(own, other, assume_unique=True).sum())
-                    if den * both >= num * (size + sizes[y] - both):
-                        a, b = sorted((find(x), find(y)))
-                        root[b] = a
-                        break
+                for y in ys:
+                    if y not in tried:
+                        tried.add(y)
+                        if verified(x, y, own):
+                            a, b = sorted((find(x), find(y)))
+                            root[b] = a
+                            break
         for e in mine:
-            places = index.setdefault(e, {})
-            if len(places) > 4:  # components that have met since are listed as one
+            places = index.get(e)
+            if places is None:
+                index[e] = x
+            elif isinstance(places, int):
+                index[e] = [places, x]
+            elif isinstance(places, list):
+                places.append(x)
+            else:
+                places.setdefault(find(x), []).append(x)
+            held = 0 if isinstance(index[e], int) else len(index[e])
+            if held > 8 and (isinstance(index[e], list) or not held & (held - 1)):
+                # sets in one component are listed together, so a whole component is skipped at once
+                members = index[e] if isinstance(index[e], list) else [y for ys in index[e].values() for y in ys]
                 merged: dict[int, list[int]] = {}
-                for key, ys in places.items():
-                    merged.setdefault(find(key), []).extend(ys)
-                index[e] = places = merged
-            places.setdefault(find(x), []).append(x)
+                for y in members:
+                    merged.setdefault(find(y), []).append(y)
+                index[e] = merged
     return [find(x) for x in range(n)]
 
 
@@ -193,7 +232,7 @@ def _common_shingles(docs: DataFrame, total: int, width: int) -> np.ndarray:
     """Shingles that several documents of a bounded sample hold: SAMPLE_DOCS sets at most, about."""
 
     def sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(it):
+        for batch in batches(it, 500):
             values, _ = shingle_sets(batch.column(0), width)
             yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64))], ["shingle"])
 
@@ -203,18 +242,42 @@ def _common_shingles(docs: DataFrame, total: int, width: int) -> np.ndarray:
     return np.sort(np.array([r["shingle"] for r in counted.select("shingle").collect()], np.int64).view(U64))
 
 
+def id_filter(ids: DataFrame, column: str) -> np.ndarray:
+    """A filter of bounded size: the bits of the ids' hashes.  It may let others pass, but loses none."""
+    slot = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(`{column}`), {FILTER_BITS}) & 31 as int))")
+    words = ids.select(F.shiftright(slot.cast("int"), 5).alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
+    table = np.zeros(FILTER_BITS // 32, np.int64)
+    for r in words.collect():  # FILTER_BITS / 32 rows at most
+        table[r["w"]] = r["b"]
+    return table
+
+
+def hits(rows: DataFrame, table: np.ndarray, column: str, wanted: bool = True) -> DataFrame:
+    """Rows whose id may be in the filter, or those whose id is certainly not."""
+    shared = rows.sparkSession.sparkContext.broadcast(table)
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            s = batch.column("__curatrix_slot").to_numpy()
+            yield batch.filter(pa.array((shared.value[s >> 5] >> (s & 31) & 1).astype(bool) == wanted))
+
+    slotted = rows.select("*", F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)).cast("int").alias("__curatrix_slot"))
+    return slotted.mapInArrow(run, slotted.schema).select(*rows.columns)
+
+
 def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each document: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def measure(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(it):
+        for batch in batches(it, 500):
             values, at = shingle_sets(batch.column(1), width)
             f1, f2 = fingerprints(values, at)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(at)), pa.array(f1), pa.array(f2)], ["doc_id", "n_shingles", "f1", "f2"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(at)), pa.array(f1), pa.array(f2), pa.array(sketches(values, at), pa.binary())], ["doc_id", "n_shingles", "f1", "f2", "sketch"])
 
-    sets = stored(rows.mapInArrow(measure, "doc_id long, n_shingles long, f1 long, f2 long"), "sets")
+    sets = stored(rows.mapInArrow(measure, "doc_id long, n_shingles long, f1 long, f2 long, sketch binary"), "sets")
     total = sets.count()
     usable = sets.where("doc_id is not null and n_shingles > 0")
     classes = stored(usable.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "set-classes")
@@ -224,7 +287,7 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4,
 
     def emit(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Signatures of a batch, packed by bucket: set fingerprints, signatures of each, signatures."""
-        for batch in batches(it):
+        for batch in batches(it, 500):
             values, at = shingle_sets(batch.column(1), width)
             f1, _ = fingerprints(values, at)
             size = np.diff(at)
@@ -257,8 +320,8 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4,
                 out[3].append(low[a:z].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *[pa.array(x, pa.binary()) for x in out[1:]]], ["bucket", "sets", "counts", "sigs"])
 
-    def stars(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sets with an equal signature are tied to the smallest of them."""
+    def meet(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sets with an equal signature: pairs of a few, or a star."""
         refs, sigs = [], []
         for batch in it:
             for s, c, g in zip(*(batch.column(x).to_pylist() for x in ("sets", "counts", "sigs")), strict=True):
@@ -272,16 +335,39 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4,
         del refs, sigs
         order = np.lexsort((ref, sig))
         ref, sig = ref[order], sig[order]
-        new = np.concatenate([[True], sig[1:] != sig[:-1]])
-        least = ref[np.flatnonzero(new)][np.cumsum(new) - 1]
-        tied = least != ref
-        pairs = np.unique(np.stack([ref[tied], least[tied]], axis=1), axis=0)
+        del order
+        once = np.concatenate([[True], (sig[1:] != sig[:-1]) | (ref[1:] != ref[:-1])])
+        ref, sig = ref[once], sig[once]
+        start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+        count = np.diff(np.append(start, len(sig)))
+        found = []
+        for m in range(2, FEW + 1):
+            group = ref[start[count == m][:, None] + np.arange(m)]
+            found += [np.stack([group[:, j], group[:, i], np.zeros(len(group), np.int64)], axis=1) for i in range(m) for j in range(i + 1, m)]
+        for at, m in zip(start[count > FEW].tolist(), count[count > FEW].tolist(), strict=True):
+            found.append(np.stack([ref[at + 1 : at + m], np.full(m - 1, ref[at]), np.ones(m - 1, np.int64)], axis=1))
+        pairs = np.unique(np.concatenate(found), axis=0)
         for lo in range(0, len(pairs), 100_000):
             part = pairs[lo : lo + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part[:, 0]), pa.array(part[:, 1])], ["u", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(part[:, 0]), pa.array(part[:, 1]), pa.array(part[:, 2] == 1)], ["u", "v", "star"])
+
+    def allowed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs that can link by their sketches."""
+        for batch in it:
+            keep = [
+                distance_bound(x, y) <= (a + b) * (den - num) // (num + den)
+                for x, y, a, b in zip(*(batch.column(c).to_pylist() for c in ("u_sketch", "v_sketch", "u_size", "v_size")), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     packed = rows.mapInArrow(emit, "bucket int, sets binary, counts binary, sigs binary").repartitionById(buckets, F.col("bucket"))
-    edges = packed.mapInArrow(stars, "u long, v long")
+    met = stored(packed.mapInArrow(meet, "u long, v long, star boolean"), "met")
+    pairs = met.where("not star").select("u", "v").distinct()
+    asked = pairs.select(F.explode(F.array("u", "v")).alias("f1")).distinct().join(classes.select("f1", "f2", "rep"), "f1")
+    known = stored(asked.join(sets.select(F.col("doc_id").alias("rep"), "f1", "f2", "sketch", "n_shingles"), ["rep", "f1", "f2"]).select("f1", "sketch", "n_shingles").dropDuplicates(["f1"]), "sketches")
+    side = lambda k: known.select(F.col("f1").alias(k), F.col("sketch").alias(f"{k}_sketch"), F.col("n_shingles").alias(f"{k}_size"))
+    close = pairs.join(side("u"), "u").join(side("v"), "v").mapInArrow(allowed, "u long, v long")
+    edges = close.unionByName(met.where("star").select("u", "v"))
     reach = connected_components(edges, "candidates")
     # v is a component's smallest set, which has no row of its own
     near = reach.select(F.col("node").alias("f1"), F.col("component").alias("home")).unionByName(
@@ -289,21 +375,7 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4,
     )
     found = stored(classes.select("f1", "f2", "rep").join(near, "f1"), "candidate-classes")
 
-    # A filter of bounded size spares documents that cannot be a candidate's representative.
-    slot = F.pmod(F.xxhash64("rep"), F.lit(FILTER_BITS)).cast("int")
-    words = found.select(F.shiftright(slot, 5).alias("w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(rep), {FILTER_BITS}) & 31 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
-    table = np.zeros(FILTER_BITS // 32, np.int64)
-    for r in words.collect():  # FILTER_BITS / 32 rows at most
-        table[r["w"]] = r["b"]
-    mask = spark.sparkContext.broadcast(table)
-
-    def passing(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            s = batch.column("slot").to_numpy()
-            yield batch.filter(pa.array((mask.value[s >> 5] >> (s & 31) & 1).astype(bool)))
-
-    slotted = rows.where("doc_id is not null").withColumn("slot", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("int"))
-    texts = slotted.mapInArrow(passing, "doc_id long, text string, slot int").select("doc_id", "text")
+    texts = hits(rows.where("doc_id is not null"), id_filter(found, "rep"), "doc_id")
     sizes = found.groupBy("home").count().where(F.col("count") > BLOCK).select("home", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
     homes = found.join(sizes, "home", "left").select(
         "rep", "f1", "f2", "home", F.coalesce("blocks", F.lit(1)).alias("blocks"), F.pmod(F.xxhash64("f1", "f2"), F.coalesce("blocks", F.lit(1))).cast("int").alias("block")
@@ -356,3 +428,16 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4,
     solved = classes.join(linked, F.col("rep") == F.col("node"), "left").select("f1", "f2", F.coalesce("component", "rep").alias("component"))
     joined = sets.join(solved, ["f1", "f2"], "left")
     return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+
+
+def distinct_documents(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4) -> DataFrame:
+    """One document of each group, with all columns: the one whose doc_id is its component.
+
+    Documents without doc_id stay; of rows that repeat that doc_id all stay, as nothing tells them apart.
+    """
+    classes = jaccard_classes(docs.select("doc_id", "text"), width, num, den)
+    gone = stored(classes.where("doc_id <> component_id").select("doc_id"), "gone")
+    table = id_filter(gone, "doc_id")
+    # most documents that stay are told by the filter and need no shuffle
+    unsure = hits(docs, table, "doc_id").join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return hits(docs, table, "doc_id", wanted=False).unionByName(unsure)
