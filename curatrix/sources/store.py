@@ -48,13 +48,18 @@ class TableStore:
         return self.read(name).columns
 
     def replace(self, name: str, df: DataFrame) -> None:
-        """Create the table or put ``df`` in its place."""
+        """Create the table or put ``df`` in its place.
+
+        The version before stays until the next change, for readers that have begun with it.
+        """
         path = f"{self.root}/{name}/v-{uuid.uuid4().hex}"
         df.write.parquet(path)
         old = self.location(name) if self.exists(name) else None
         self._point(name, path)
-        if old:
-            self._fs.delete(self._path(old), True)
+        keep = {p.rsplit("/", 1)[1] for p in (path, old) if p}
+        for entry in self._fs.listStatus(self._path(f"{self.root}/{name}")):
+            if entry.isDirectory() and entry.getPath().getName() not in keep:
+                self._fs.delete(entry.getPath(), True)
 
     def _point(self, name: str, path: str) -> None:
         pointer, new = self._path(self._pointer(name)), self._path(f"{self._pointer(name)}-{uuid.uuid4().hex}")
