@@ -16,7 +16,7 @@ import numpy as np
 OTHER_SPACE = re.compile(r"[^\S \n]")
 
 #: Words remembered by each Python worker; beyond it new words are encoded again when they recur.
-MEMO_WORDS = 800_000
+MEMO_WORDS = 500_000
 
 _encoders: dict[str, "WordMemoEncoder"] = {}
 

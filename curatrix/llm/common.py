@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -98,8 +99,24 @@ def numbered(df: DataFrame, order: list[str], group: str | None = None, name: st
     return parted.join(F.broadcast(offsets), same).withColumn("_index", F.col("_local") + F.col("_offset")).drop("_part", "_local", "_p", "_g", "_offset")
 
 
-def batches(it: Iterator[pa.RecordBatch], size: int = 2000, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def release() -> None:
+    """Give freed memory back to the system: workers are kept, and so is what their allocators hold."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def batches(it: Iterator[pa.RecordBatch], size: int = 500, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Re-slice record batches to at most ``size`` rows and so many bytes (or one row)."""
+    try:
+        yield from _slices(it, size, most_bytes)
+    finally:
+        release()
+
+
+def _slices(it: Iterator[pa.RecordBatch], size: int, most_bytes: int) -> Iterator[pa.RecordBatch]:
     for batch in it:
         parts = [(0, batch.num_rows)] if batch.num_rows else []
         while parts:

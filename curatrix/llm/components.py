@@ -1,8 +1,9 @@
 """Connected components as DataFrame joins: large-star and small-star, in turn, until nothing changes.
 
-Each round is two grouped minima (combined before the shuffle) and two joins that adaptive execution
-may split at hot nodes; rounds grow with the logarithm of the longest path.  Every round is written
-to the shared folder, which cuts its lineage.  Nothing but a count and a checksum reaches the driver.
+Each round is two grouped minima (combined before the shuffle) and two joins.  Minima are written
+before they are joined: both sides of a join are then plain shuffles, which adaptive execution can
+split at hot nodes.  Rounds grow with the logarithm of the longest path; what is written to the
+shared folder cuts the lineage.  Nothing but a count and a checksum reaches the driver.
 """
 
 from __future__ import annotations
@@ -13,17 +14,17 @@ from pyspark.sql import functions as F
 from .common import stored
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, name: str) -> DataFrame:
     """Tie each node's larger neighbours to the smallest of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), name)
     return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, name: str) -> DataFrame:
     """Tie each node and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = stored(down.groupBy("u").agg(F.min("v").alias("m")), name)
     tied = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return tied.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v")
 
@@ -36,7 +37,8 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     now = stored(edges.select("u", "v").where("u <> v").distinct(), name)
     seen = None
     while True:
-        now = stored(_small_star(_large_star(now).distinct()).distinct(), name)
+        now = stored(_large_star(now, name).distinct(), name)
+        now = stored(_small_star(now, name).distinct(), name)
         sign = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % (1 << 40))).first())
         if sign == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component"))

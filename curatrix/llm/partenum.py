@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, shuffle_partitions, stored
+from .common import batches, release, shuffle_partitions, stored
 from .components import connected_components
 from .shingles import U64, mix, shingle_sets
 
@@ -232,7 +232,7 @@ def _common_shingles(docs: DataFrame, total: int, width: int) -> np.ndarray:
     """Shingles that several documents of a bounded sample hold: SAMPLE_DOCS sets at most, about."""
 
     def sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(it, 500):
+        for batch in batches(it):
             values, _ = shingle_sets(batch.column(0), width)
             yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64))], ["shingle"])
 
@@ -272,7 +272,7 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4,
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def measure(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(it, 500):
+        for batch in batches(it):
             values, at = shingle_sets(batch.column(1), width)
             f1, f2 = fingerprints(values, at)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(at)), pa.array(f1), pa.array(f2), pa.array(sketches(values, at), pa.binary())], ["doc_id", "n_shingles", "f1", "f2", "sketch"])
@@ -287,7 +287,7 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4,
 
     def emit(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Signatures of a batch, packed by bucket: set fingerprints, signatures of each, signatures."""
-        for batch in batches(it, 500):
+        for batch in batches(it):
             values, at = shingle_sets(batch.column(1), width)
             f1, _ = fingerprints(values, at)
             size = np.diff(at)
@@ -331,6 +331,7 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4,
                 sigs.append(wide.view("<u8").ravel())
         if not refs:
             return
+        release()
         ref, sig = np.concatenate(refs), np.concatenate(sigs)
         del refs, sigs
         order = np.lexsort((ref, sig))
@@ -346,7 +347,10 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4,
             found += [np.stack([group[:, j], group[:, i], np.zeros(len(group), np.int64)], axis=1) for i in range(m) for j in range(i + 1, m)]
         for at, m in zip(start[count > FEW].tolist(), count[count > FEW].tolist(), strict=True):
             found.append(np.stack([ref[at + 1 : at + m], np.full(m - 1, ref[at]), np.ones(m - 1, np.int64)], axis=1))
+        del ref, sig, once
         pairs = np.unique(np.concatenate(found), axis=0)
+        del found
+        release()
         for lo in range(0, len(pairs), 100_000):
             part = pairs[lo : lo + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(part[:, 0]), pa.array(part[:, 1]), pa.array(part[:, 2] == 1)], ["u", "v", "star"])
@@ -402,7 +406,7 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4,
                 if ids[x] != ids[r]:
                     out.append((ids[x], ids[r]))
 
-        for batch in batches(it, 500):
+        for batch in batches(it):
             values, at = shingle_sets(batch.column("text"), width)
             f1, f2 = fingerprints(values, at)
             same = (f1 == batch.column("f1").to_numpy()) & (f2 == batch.column("f2").to_numpy())  # a repeated doc_id may have other texts
