@@ -22,10 +22,13 @@ are sparse there, so each tier completes the one before.
 *Candidates.*  Signatures travel as packed blobs, a few bytes each.  Up to FEW sets with an equal
 signature give their pairs, at most FEW / 2 for each; these pass only if the sets' parity sketches,
 which bound their Hamming distance from below, allow a link.  More sets are tied to one of them (a
-star, never all pairs).  The connected components of both gather what may link.  The texts of a
-component meet in one task; components of more than BLOCK classes are dealt as pairs
-of blocks.  There an exact prefix-filtered join, rarest shingles first, verifies on the sets
-themselves and skips pairs that are connected already.  True links are connected over the cluster.
+star, never all pairs).  The connected components of both gather what may link.
+
+*Verification.*  The texts of a component meet in one task, where an exact prefix-filtered join,
+rarest shingles first, works on the sets themselves and skips pairs that are connected already.  A
+component of more than BLOCK classes is dealt in blocks, with its first set in each; what is tied to
+that set is connected by then, and only the rest, of which groups of copies leave little, is compared
+with all blocks.  True links are connected over the cluster.
 
 Defined results: null, empty and blank texts have no shingles and link with nothing; a null doc_id
 is kept with null component_id and links with nothing; repeated rows and equal texts are of one
@@ -51,7 +54,7 @@ SAMPLE_DOCS, COMMON_IN_SAMPLE = 12_000, 2
 #: Sets with one signature that give pairs; more give a star.
 FEW = 8
 #: Classes of a candidate component that are joined in one piece.
-BLOCK = 2500
+BLOCK = 1000
 #: Classes with more than 1 / HOT_SHARE of all documents are looked up by broadcast: fewer than HOT_SHARE.
 HOT_SHARE = 10_000
 #: Bits of the filter that spares most documents without candidates the second shuffle.
@@ -381,19 +384,8 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4,
 
     texts = hits(rows.where("doc_id is not null"), id_filter(found, "rep"), "doc_id")
     sizes = found.groupBy("home").count().where(F.col("count") > BLOCK).select("home", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
-    homes = found.join(sizes, "home", "left").select(
-        "rep", "f1", "f2", "home", F.coalesce("blocks", F.lit(1)).alias("blocks"), F.pmod(F.xxhash64("f1", "f2"), F.coalesce("blocks", F.lit(1))).cast("int").alias("block")
-    )
-    pairs = F.when(F.col("blocks") == 1, F.array(F.struct(F.lit(0).alias("a"), F.lit(0).alias("b")))).otherwise(
-        # every pair of different blocks; both are joined whole, so a block needs no piece of its own
-        F.transform(
-            F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: b != F.col("block")),
-            lambda b: F.struct(F.least("block", b).cast("int").alias("a"), F.greatest("block", b).cast("int").alias("b")),
-        )
-    )
-    dealt = texts.join(homes.withColumnRenamed("rep", "doc_id"), "doc_id").withColumn("pair", F.explode(pairs)).select(
-        "home", F.col("pair.a").alias("a"), F.col("pair.b").alias("b"), "doc_id", "f1", "f2", "text"
-    )
+    spread = found.join(sizes, "home", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    homes = stored(spread.withColumn("block", F.pmod(F.xxhash64("f1", "f2"), F.col("blocks")).cast("int")), "candidate-homes")
 
     def verify(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int] = []
@@ -426,9 +418,27 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4,
             u, v = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
-    key = ["home", "a", "b"]
-    links = dealt.repartition(*key).sortWithinPartitions(*key, "doc_id").mapInArrow(verify, "u long, v long")
-    linked = connected_components(links, "linked")
+    def joined_within(deal: DataFrame) -> DataFrame:
+        """Links found where ``deal`` (rep, f1, f2, home, a, b) brings texts together."""
+        key = ["home", "a", "b"]
+        dealt = texts.join(deal.withColumnRenamed("rep", "doc_id"), "doc_id")
+        return dealt.repartition(*key).sortWithinPartitions(*key, "doc_id").mapInArrow(verify, "u long, v long")
+
+    # First every block by itself; the component's first set is in all of its blocks and ties together what is like it.
+    ends = F.when(F.col("f1") == F.col("home"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
+    once = homes.select("rep", "f1", "f2", "home", F.explode(ends).alias("a"), F.lit(0).alias("b"))
+    linked = connected_components(joined_within(once), "linked")
+    large = homes.where("blocks > 1")
+    if large.limit(1).count():
+        # Then the sets that are not tied to it, if any, in blocks of their own against all blocks.
+        placed = stored(large.join(linked, F.col("rep") == F.col("node"), "left").withColumn("part", F.coalesce("component", "rep")).drop("node", "component"), "candidate-parts")
+        main = placed.where("f1 = home").select("home", F.col("part").alias("main"))
+        rest = placed.join(main, "home").where("part <> main")
+        rounds = rest.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("groups"))
+        left = rest.join(rounds, "home").select("rep", "f1", "f2", "home", F.pmod(F.xxhash64("f2", "f1"), F.col("groups")).cast("int").alias("a"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"))
+        right = placed.join(rounds, "home").select("rep", "f1", "f2", "home", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("a"), F.col("block").alias("b"))
+        across = stored(left.unionByName(right).distinct(), "candidate-rest")
+        linked = connected_components(joined_within(across).unionByName(linked.select(F.col("node").alias("u"), F.col("component").alias("v"))), "linked")
     solved = classes.join(linked, F.col("rep") == F.col("node"), "left").select("f1", "f2", F.coalesce("component", "rep").alias("component"))
     joined = sets.join(solved, ["f1", "f2"], "left")
     return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
