@@ -36,12 +36,14 @@ def reach(edges):
     return {x: find(x) for x in root}
 
 
-def test_components(spark):
+def test_components(spark, monkeypatch):
     rnd = random.Random(0)
     edges = [(i, i + 1) for i in range(100, 140)] + [(rnd.randrange(60), rnd.randrange(60)) for _ in range(40)] + [(5, 5)]
-    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     want = reach(e for e in edges if e[0] != e[1])
-    assert got == {x: c for x, c in want.items() if x != c}
+    for local in (components.LOCAL_EDGES, 0):  # one task, and rounds
+        monkeypatch.setattr(components, "LOCAL_EDGES", local)
+        got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
+        assert got == {x: c for x, c in want.items() if x != c}
     assert components.connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
