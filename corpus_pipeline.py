@@ -39,8 +39,11 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 1024 tokens: a row for each piece of a document."""
-    return pack_documents(docs, BYTE_BPE, end_id=2, capacity=1024)
+    """Sequences of at most 1024 tokens: a row for each piece of a document.
+
+    Workers that other stages use as well keep a small memo of words.
+    """
+    return pack_documents(docs, BYTE_BPE, end_id=2, capacity=1024, memo_words=200_000)
 
 
 STAGES = [

@@ -147,7 +147,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int,
             body = pack_segment(keys, held)
             return pa.RecordBatch.from_arrays([pa.array([struct.pack("<Q", len(body)) + body], pa.binary())], ["segment"])
 
-        for batch in batches(it):
+        for batch in batches(it, 2000, 8 << 20):
             ids = [np.frombuffer(raw + end, "<u4") for raw in enc.encode(text_list(batch.column(1)))]
             for key, x in zip(batch.column(0).to_pylist(), ids, strict=True):
                 keys.append(key)

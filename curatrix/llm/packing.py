@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import encoder
+from .bpe import MEMO_WORDS, encoder
 from .common import batches, crc_u32, stored, text_list
 
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long"
@@ -111,12 +111,12 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
     return runs
 
 
-def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, id_col: str = "doc_id", text_col: str = "text", memo_words: int = MEMO_WORDS) -> DataFrame:
     """Documents as pieces of at most ``capacity`` ids; only longer ones are cut, the first piece takes the rest."""
 
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(vocabulary), np.array([end_id], "<u4").tobytes()
-        for batch in batches(it):
+        enc, end = encoder(vocabulary, memo_words), np.array([end_id], "<u4").tobytes()
+        for batch in batches(it, 2000, 8 << 20):
             out: list[list] = [[], [], [], [], []]
             for key, raw in zip(batch.column(0).to_pylist(), enc.encode(text_list(batch.column(1))), strict=True):
                 ids = np.frombuffer(raw + end, "<u4")
@@ -174,7 +174,7 @@ def pack(pieces: DataFrame, capacity: int, length_col: str = "length") -> DataFr
     return ranked.mapInArrow(place, schema)
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = 1024) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = 1024, memo_words: int = MEMO_WORDS) -> DataFrame:
     """Pack all documents into sequences of at most ``capacity`` tokens; a row for each piece."""
-    packed = pack(token_pieces(docs, vocabulary, end_id, capacity), capacity)
+    packed = pack(token_pieces(docs, vocabulary, end_id, capacity, memo_words=memo_words), capacity)
     return packed.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
