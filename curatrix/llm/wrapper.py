@@ -12,9 +12,12 @@ content: elements that by tag, role or class are chrome (fixed lists below) are
 A page of a host with no other page, or without a node at the path, is read by its own
 article, main or body element.
 
-Reference pages: REFERENCES a host at most, those of smallest hash, of which pages that share half of
-their blocks with an earlier one (copies) are left out; a constant needs three pages that agree.
-Partitions keep their smallest few before anything is shuffled, so a hot host costs no more.
+Reference pages: REFERENCES a host at most, chosen among all its pages by hash, each sharing less than
+half of its blocks with every earlier one, so that copies never stand for a host that has other pages.
+They propose the path and the blocks that two of them share.  All pages of the host decide which of
+these are constant: CONSTANT_SHARE of its unlike pages hold them, three at least.  Pages are alike
+here if their longest block that is not proposed is the same.  Only hashes and counts are shuffled,
+counts after aggregation.
 
 Defined results: null or empty html gives an empty text; a null url, or one without host, has no
 wrapper; malformed markup is closed as browsers would, roughly; repeated rows are treated alike;
@@ -26,6 +29,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,6 +40,8 @@ from pyspark.sql import functions as F
 from .common import batches, stored
 
 REFERENCES = 6
+#: A constant block is held by so many of a host's unlike pages, in per cent.
+CONSTANT_SHARE = 90
 #: Wrappers of all hosts travel by broadcast up to this many characters, by a join beyond.
 BROADCAST_CHARS = 8_000_000
 
@@ -246,8 +252,11 @@ def unlike(pages: list[str]) -> list[Node]:
     return out
 
 
-def induce(pages: list[str]) -> tuple[list[str], list[str]] | None:
-    """The wrapper of pages of one host: (path to the content, constant blocks below it)."""
+def induce(pages: list[str], holders: int | None = None) -> tuple[list[str], list[str]] | None:
+    """The wrapper of pages of one host: (path to the content, constant blocks below it).
+
+    Constant are the blocks that all unlike pages hold, three at least, or else ``holders`` of them.
+    """
     trees = unlike(pages)
     if len(trees) < 2:
         return None
@@ -278,9 +287,9 @@ def induce(pages: list[str]) -> tuple[list[str], list[str]] | None:
     if not path or path[-1] in ("html", "body"):
         return None
     constant: list[str] = []
-    if len(trees) >= 3:
-        held = [set(blocks(n)) if (n := follow(t, path)) else set() for t in trees]
-        constant = sorted(set.intersection(*held))
+    if holders or len(trees) >= 3:
+        held = Counter(b for t in trees if (n := follow(t, path)) for b in set(blocks(n)))
+        constant = sorted(b for b, n in held.items() if n >= (holders or len(trees)))
     return path, constant
 
 
@@ -293,58 +302,100 @@ def extract(page: str | None, path: list[str] | None = None, constant: frozenset
     return "\n\n".join(b for b in blocks(node or own_root(root)) if b not in constant)
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """host and wrapper (JSON) of every host with unlike pages; ``pages`` has host and html."""
+def references(pages: DataFrame) -> DataFrame:
+    """host, hash and html of each host's reference pages; ``pages`` has host and html.
+
+    Greedy in the order of hashes over all pages: a round takes each host's first page and drops what
+    is like it.
+    """
 
-    def smallest(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A partition's reference candidates."""
-        best: dict[str, dict[int, str]] = {}
+    def sketch(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Hashes of the distinct blocks of each page that has any."""
         for batch in batches(it):
-            for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                if host and page:
-                    h = xxhash.xxh3_64_intdigest(page) >> 1
-                    kept = best.setdefault(host, {})
-                    if h not in kept and (len(kept) < REFERENCES or h < max(kept)):
-                        kept[h] = page
-                        if len(kept) > REFERENCES:
-                            del kept[max(kept)]
-        rows = [(host, h, page) for host, kept in best.items() for h, page in kept.items()]
-        for lo in range(0, len(rows), 500):
-            a, b, c = zip(*rows[lo : lo + 500], strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.int64()), pa.array(c, pa.string())], ["host", "hash", "html"])
+            own = [sorted({xxhash.xxh3_64_intdigest(b) >> 1 for b in blocks(own_root(parse(page)))}) for page in batch.column("html").to_pylist()]
+            out = pa.RecordBatch.from_arrays([batch.column("host"), batch.column("hash"), pa.array(own, pa.list_(pa.int64()))], ["host", "hash", "blocks"])
+            yield out.filter(pa.array([bool(x) for x in own], pa.bool_()))
+
+    rows = pages.where("host IS NOT NULL AND html <> ''").select("host", F.xxhash64("html").alias("hash"), "html")
+    sketches = stored(rows.mapInArrow(sketch, "host string, hash long, blocks array<long>"), "sketches")
+    left, chosen = sketches, None
+    for _ in range(REFERENCES):
+        first = left.groupBy("host").agg(F.min("hash").alias("hash"))
+        first = stored(first.join(sketches, ["host", "hash"]).groupBy("host", "hash").agg(F.first("blocks").alias("first")), "references")
+        if first.isEmpty():
+            break
+        chosen = first if chosen is None else chosen.unionByName(first)
+        left = left.join(first.drop("hash"), "host").where("2 * size(array_intersect(blocks, first)) < least(size(blocks), size(first))").drop("first")
+    return rows.join((first if chosen is None else chosen).select("host", "hash"), ["host", "hash"]).dropDuplicates(["host", "hash"])
+
+
+def with_wrappers(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """``rows`` and the wrapper of each one's host, by broadcast or join."""
+    chars = known.agg(F.sum(F.length("host") + F.length("wrapper"))).first()[0] or 0
+    return rows.join(F.broadcast(known) if chars <= BROADCAST_CHARS else known, "host", "left")
+
+
+def wrappers(pages: DataFrame) -> DataFrame:
+    """host and wrapper (JSON) of every host with unlike pages; ``pages`` has host and html."""
 
     def solve(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hosts, found = [], []
-        last, held = None, {}
+        last, held = None, []
 
         def close() -> None:
-            wrapper = induce([held[h] for h in sorted(held)])
+            wrapper = induce(held, 2)
             if wrapper:
                 hosts.append(last)
                 found.append(json.dumps(wrapper))
 
         for batch in batches(it):
-            for host, h, page in zip(*(batch.column(c).to_pylist() for c in ("host", "hash", "html")), strict=True):
+            for host, page in zip(*(batch.column(c).to_pylist() for c in ("host", "html")), strict=True):  # rows come by hash
                 if host != last:
                     if len(held) > 1:
                         close()
-                    last, held = host, {}
-                if len(held) < REFERENCES:  # rows come by hash
-                    held[h] = page
+                    last, held = host, []
+                held.append(page)
         if len(held) > 1:
             close()
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(found, pa.string())], ["host", "wrapper"])
 
-    few = pages.select("host", "html").mapInArrow(smallest, "host string, hash long, html string")
-    return few.repartition("host").sortWithinPartitions("host", "hash").mapInArrow(solve, "host string, wrapper string")
+    def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A page's longest block of its own, and the numbers of the proposed blocks it holds (-1 for itself)."""
+        for batch in batches(it):
+            hosts, keys, at = [], [], []
+            for host, page, wrapper in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "wrapper")), strict=True):
+                path, proposed = json.loads(wrapper)
+                node = follow(parse(page), path)
+                held = set(blocks(node)) if node else set()
+                own = held.difference(proposed)
+                if own:
+                    hosts.append(host)
+                    keys.append(xxhash.xxh3_64_intdigest(max(own, key=lambda b: (len(b), b))) >> 1)
+                    at.append([-1, *(i for i, b in enumerate(proposed) if b in held)])
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(at, pa.list_(pa.int32()))], ["host", "key", "at"])
+
+    def decide(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(it):
+            found = []
+            for wrapper, counts in zip(batch.column("wrapper").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                path, proposed = json.loads(wrapper)
+                n = {c["i"]: c["n"] for c in counts or ()}
+                total = n.get(-1, 0)
+                found.append(json.dumps((path, [b for i, b in enumerate(proposed) if total >= 3 and 100 * n.get(i, 0) >= CONSTANT_SHARE * total])))
+            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(found, pa.string())], ["host", "wrapper"])
+
+    few = references(pages)
+    proposals = stored(few.repartition("host").sortWithinPartitions("host", "hash").mapInArrow(solve, "host string, wrapper string"), "proposals")
+    held = with_wrappers(pages.where("html <> ''").select("host", "html"), proposals).where("wrapper IS NOT NULL")
+    counted = held.mapInArrow(count, "host string, key long, at array<int>").select("host", "key", F.explode("at").alias("i")).distinct().groupBy("host", "i").agg(F.count("*").alias("n"))
+    counts = counted.groupBy("host").agg(F.collect_list(F.struct("i", "n")).alias("counts"))
+    return proposals.join(counts, "host", "left").select("host", "wrapper", "counts").mapInArrow(decide, "host string, wrapper string")
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """A row for each page: page_id, url, text, n_chars."""
     rows = pages.select("page_id", "url", F.lower(F.nullif(F.regexp_extract("url", HOST, 1), F.lit(""))).alias("host"), "html")
-    known = stored(wrappers(rows), "wrappers")
-    chars = known.agg(F.sum(F.length("host") + F.length("wrapper"))).first()[0] or 0
-    joined = rows.join(F.broadcast(known) if chars <= BROADCAST_CHARS else known, "host", "left")
+    joined = with_wrappers(rows, stored(wrappers(rows), "wrappers"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read: dict[str, tuple[list[str], frozenset[str]]] = {}

@@ -259,6 +259,20 @@ def test_wrapper_frames(spark):
     assert wrapper.main_texts(pages).count() == 9 and wrapper.main_texts(pages.limit(0)).count() == 0
 
 
+def test_wrapper_of_a_host_of_copies(spark):
+    # near copies with other adverts are most pages; one odd page lacks the constant
+    def story(i, extra=""):
+        return "".join(f"<p>text {i} {j} about {i * 7 + j} things</p>" for j in range(4)) + extra
+
+    terms = "<p>Read our terms.</p>"
+    htmls = [page(story(0, f"<p>offer {i}</p>" + terms), f"n{i}") for i in range(400)] + [page(story(i, terms), f"n{i}") for i in range(1, 20)] + [page(story(20))]
+    pages = spark.createDataFrame([(i, f"https://h.example/{i}", h) for i, h in enumerate(htmls)], "page_id long, url string, html string").repartition(4)
+    out = {r.page_id: r.text.split("\n\n") for r in wrapper.main_texts(pages).collect()}
+    for i in range(1, 21):
+        assert out[399 + i] == [f"text {i} {j} about {i * 7 + j} things" for j in range(4)]
+    assert out[7] == [*(f"text 0 {j} about {j} things" for j in range(4)), "offer 7"]
+
+
 def test_pages_of_the_tables(spark, sf):
     d = sf.replace("0.001", "0.01")
     pages = spark.read.parquet(f"{d}/pages.parquet")
