@@ -1,8 +1,8 @@
 """Operator 6, personal data: fixed base patterns, and a semi-Markov CRF that adds spans to them.
 
 The base finds e-mail addresses, IPv4 addresses, card and phone numbers by pattern and checks.  The
-CRF looks where it may add something: regions of characters around digits, "@" and spelled-out
-"at", cut into atoms (runs of letters, runs of digits, single other characters).  A segmentation of
+CRF looks where it may add something: around "@", spelled-out "at" and digits that no letter parts,
+as far as a segment may reach from there, cut into atoms (runs of letters, runs of digits, single other characters).  A segmentation of
 a region is a sequence of segments, each an entity of a kind (at most MAX_ATOMS atoms, no white
 space at its ends) or one outside atom.  Whole-span features score a segment of a kind: its shape,
 number of digits and groups, checksum, separators, the word before it.  Forward and backward sums
@@ -98,10 +98,11 @@ def base_spans(text: str) -> list[Span]:
 
 #: Atoms of a candidate segment at most; regions reach so far around what may be part of one.
 MAX_ATOMS = 24
-REACH = 32
 CERTAIN = 0.95
 ATOM = re.compile(r"[0-9]+|[^\W\d_]+|\s|.", re.DOTALL)
-TRIGGER = re.compile(r"[0-9]{3,}|@|[\[({]\s?at\s?[\])}]|\sat\s\S+\sdot\s", re.IGNORECASE)
+AROUND = re.compile(r"(?:[0-9]++|[^\W\d_]++|\s|.){0,%d}+" % MAX_ATOMS, re.DOTALL)
+#: Every candidate with digits alone has four of them or more, and no letter between.
+TRIGGER = re.compile(r"[0-9](?:[\W_]*+[0-9]){3,}+|[0-9]{3}|@|[\[({]\s?at\s?[\])}]|\sat\s\S+\sdot\s", re.IGNORECASE)
 CUES = {
     "phone": 3, "tel": 3, "telephone": 3, "call": 3, "mobile": 3, "fax": 3, "cell": 3,
     "email": 0, "mail": 0, "contact": 0, "write": 0,
@@ -109,7 +110,7 @@ CUES = {
     "card": 2, "visa": 2, "credit": 2, "pay": 2,
 }
 FULL_EMAIL = re.compile(r"[\w.%+-]+\s?(?:@|[\[({]\s?at\s?[\])}]|\sat\s)\s?[\w-]+(?:\s?(?:\.|[\[({]\s?dot\s?[\])}]|\sdot\s)\s?[\w-]+)*\s?(?:\.|[\[({]\s?dot\s?[\])}]|\sdot\s)\s?[A-Za-z]{2,}", re.IGNORECASE)
-FULL_PHONE = re.compile(r"(?:\+?[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}")
+FULL_PHONE = re.compile(r"(?:\+?[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|0[1-9](?:([ .-])[0-9]{2})(?:\1[0-9]{2}){3}")
 FULL_CARD = re.compile(r"[0-9]{4}([ .-]?)[0-9]{4}\1[0-9]{4}\1[0-9]{2,7}|[0-9]{4}([ .-]?)[0-9]{6}\2[0-9]{5}")
 FULL_IP = re.compile(r"[0-9]{1,3}(?:\s?\.\s?[0-9]{1,3}){3}|[0-9]{1,3}(?:\[\.\][0-9]{1,3}){3}")
 FULL = (FULL_EMAIL, FULL_IP, FULL_CARD, FULL_PHONE)
@@ -122,7 +123,7 @@ def segment_features(kind: int, span: str, before: str, left: str, right: str) -
     spaces = span.count(" ")
     out = [f"{kind}", f"{kind} full" if whole else f"{kind} not full", f"{kind} spaces {min(spaces, 4)}"]
     if kind == 2:
-        number = "".join(c for c in span if c.isdigit())
+        number = "".join(c for c in span if c.isdecimal())
         out += [f"2 luhn {14 <= digits <= 19 and luhn(number)}", f"2 digits {min(max(digits, 12), 20)}"]
     elif kind == 3:
         out += [f"3 digits {min(max(digits, 6), 16)}", f"3 plus {span[0] == '+'}", f"3 letters {any(c.isalpha() for c in span)}"]
@@ -151,29 +152,44 @@ def candidates(text: str, cut: list[tuple[int, int]]) -> list[tuple[int, int, in
     """
     out = []
     n = len(cut)
+    pieces = [text[a:z] for a, z in cut]
+    digit_counts = [sum(x.isdigit() for x in p) for p in pieces]
+    letters = [any(x.isalpha() for x in p) for p in pieces]
+    # where the next atom stands that an address needs
+    next_at = [n] * (n + 1)
+    for i in range(n - 1, -1, -1):
+        next_at[i] = i if pieces[i] == "@" or pieces[i].lower() == "at" else next_at[i + 1]
     for i in range(n):
         a = cut[i][0]
         c = text[a]
         if not (c.isalnum() or c in "+("):
             continue
+        stop = min(n, i + MAX_ATOMS)
+        address = next_at[i] < stop
+        if letters[i] and not address:
+            continue
         left = text[a - 1] if a else ""
         word = re.search(r"([^\W\d_]+)[\s:=.#]*\Z", text[max(0, a - 24) : a])
         before = word[1].lower() if word else ""
-        for j in range(i + 1, min(n, i + MAX_ATOMS) + 1):
+        digits, alpha = 0, False
+        for j in range(i + 1, stop + 1):
+            digits += digit_counts[j - 1]
+            alpha = alpha or letters[j - 1]
+            if alpha and not address:
+                break
             z = cut[j - 1][1]
-            if not text[z - 1].isalnum():
+            if (alpha or digits < 4) and next_at[i] >= j or not text[z - 1].isalnum():
                 continue
             span = text[a:z]
-            digits = sum(x.isdigit() for x in span)
             right = text[z] if z < len(text) else ""
             kinds = []
             if "@" in span or re.search(r"\bat\b", span, re.I):
                 kinds.append(0)
-            if 4 <= digits <= 12 and span.count(".") >= 3 and not any(x.isalpha() for x in span):
+            if 4 <= digits <= 12 and span.count(".") >= 3 and not alpha:
                 kinds.append(1)
-            if 12 <= digits <= 20 and not any(x.isalpha() for x in span):
+            if 12 <= digits <= 20 and not alpha:
                 kinds.append(2)
-            if 7 <= digits <= 16 and not any(x.isalpha() for x in span):
+            if 7 <= digits <= 16 and not alpha:
                 kinds.append(3)
             out += [(i, j, kind, segment_features(kind, span, before, left, right)) for kind in kinds]
     return out
@@ -257,16 +273,18 @@ def training_phrases(seed: int = 7, n: int = 700) -> list[tuple[str, list[Span]]
             dot = rnd.choice([" [dot] ", "[dot]", " (dot) "]) if at not in ("@", " at ") else (" dot " if at == " at " else ".")
             return f"{word()}{rnd.choice(['', '.' + word(), number(2)])}{at}{word()}{dot}{rnd.choice(['com', 'org', 'net', 'de'])}", 0
         if kind == 1:
-            dot = rnd.choice([".", ".", "[.]"])
+            dot = rnd.choice([".", ".", "[.]", " . "])
             return dot.join(str(rnd.randrange(256)) for _ in range(4)), 1
         if kind == 2:
             return card(rnd.choice(["", " ", "-", "."])), 2
         sep = rnd.choice([" ", "-", "."])
+        if rnd.random() < 0.2:
+            return sep.join([f"0{rnd.randint(1, 9)}", *(number(2) for _ in range(4))]), 3
         area = rnd.choice([f"({number(3)}) ", f"{number(3)}{sep}"])
         return f"{rnd.choice(['', '', '+1 ', '1 ', '+49 '])}{area}{number(3)}{'-' if area[0] == '(' else sep}{number(4)}", 3
 
     def alike() -> str:
-        kind = rnd.randrange(11)
+        kind = rnd.randrange(12)
         if kind == 0:
             return "".join(rnd.choice("0123456789abcdef") for _ in range(rnd.choice([18, 32, 40])))
         if kind == 1:
@@ -288,6 +306,8 @@ def training_phrases(seed: int = 7, n: int = 700) -> list[tuple[str, list[Span]]
             return f"{number(3)}.{number(3)}.{number(3)}.{rnd.randrange(256, 999)}"
         if kind == 9:
             return f"{number(rnd.randint(2, 4))}-{number(rnd.randint(2, 5))}-{number(rnd.randint(1, 3))}"
+        if kind == 10:
+            return rnd.choice([" ", ", ", "-", " . "]).join(str(rnd.randint(10, 99)) for _ in range(rnd.choice([2, 3, 5, 6])))
         return f"@{word()} {number(4)}"
 
     cues = {0: ["email", "contact", "mail:"], 1: ["ip", "host", "ip:"], 2: ["card", "visa", "card:"], 3: ["phone", "call", "tel:"]}
@@ -337,10 +357,12 @@ def trained(rounds: int = 60, rate: float = 0.5, penalty: float = 1e-3) -> SemiC
 
 
 def regions(text: str) -> list[tuple[int, int]]:
-    """Stretches of the text that may hold an entity, with some surroundings, merged where they meet."""
+    """Stretches of the text that may hold an entity, as far as it may reach, merged where they meet."""
     out: list[tuple[int, int]] = []
+    n, back = len(text), ""
     for m in TRIGGER.finditer(text):
-        a, z = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
+        back = back or text[::-1]
+        a, z = n - AROUND.match(back, n - m.start()).end(), AROUND.match(text, m.end()).end()
         if out and a <= out[-1][1]:
             out[-1] = (out[-1][0], z)
         else:

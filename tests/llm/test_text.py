@@ -183,6 +183,24 @@ def test_crf_adds_and_spares():
     assert hit > 0.75 * (hit + miss) and extra < 0.15 * (hit + extra)
 
 
+def test_crf_sees_every_candidate_of_digits():
+    model = pii.trained()
+    name = "x" * 40
+    for text, want in (
+        ("host 10[.]0[.]0[.]5 up", "10[.]0[.]0[.]5"),
+        ("call 06 12 34 56 78 now", "06 12 34 56 78"),
+        (f"mail a [at] {name} [dot] org", f"a [at] {name} [dot] org"),
+    ):
+        assert [text[a:z] for a, z, _ in pii.find_spans(text, model)[1]] == [want]
+    rnd = random.Random(5)
+    parts = ["1", "23", "456", ".", "[.]", " ", "+", "(", ")", "-", "_", " word ", "²", "\n"]
+    for _ in range(2000):
+        t = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 60)))
+        cut, regions = pii.atoms(t), pii.regions(t)
+        for i, j, _, _ in pii.candidates(t, cut):
+            assert "²" in t or any(a <= cut[i][0] and cut[j - 1][1] <= z for a, z in regions), t
+
+
 def test_base_spans_stay(spark, sf):
     model = pii.trained()
     for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
