@@ -405,7 +405,7 @@ def added_spans(text: str, base: list[Span], model: SemiCRF) -> list[Span]:
 def find_spans(text: str, model: SemiCRF) -> tuple[list[Span], list[Span]]:
     """Base spans, and all spans."""
     base = base_spans(text)
-    more = added_spans(text, base, model) if DIGIT.search(text) or "@" in text or " at " in text or "at]" in text or "at)" in text else []
+    more = added_spans(text, base, model)
     return base, sorted(base + more, key=lambda s: (s[0], s[2])) if more else base
 
 

@@ -201,6 +201,27 @@ def test_crf_sees_every_candidate_of_digits():
             assert "²" in t or any(a <= cut[i][0] and cut[j - 1][1] <= z for a, z in regions), t
 
 
+@pytest.mark.parametrize("digit", ["", " 7"])
+def test_spelled_out_addresses_without_digits(digit):
+    model = pii.trained()
+    for address in ("jane.doe [AT] example [DOT] org", "jane.doe (AT) example (DOT) org", "jane [At] example [dot] org"):
+        text = f"write {address} today{digit}"
+        assert [text[a:z] for a, z, _ in pii.find_spans(text, model)[1]] == [address]
+
+
+def test_every_trigger_is_looked_at():
+    class Seen(Exception):
+        pass
+
+    class Model:
+        def marginals(self, n, segments):
+            raise Seen
+
+    for text in ("jane AT example DOT org", "jane{at}example{dot}org", "jane\nat\nexample\ndot\norg", "jane\tat\texample\tdot\torg"):
+        with pytest.raises(Seen):
+            pii.find_spans(text, Model())
+
+
 def test_base_spans_stay(spark, sf):
     model = pii.trained()
     for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
