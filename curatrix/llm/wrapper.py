@@ -8,7 +8,11 @@ text that is no chrome, and the block texts below it that never vary.  A page's
 node at this path holds, less chrome and those constants.
 
 Menus, adverts and footers vary from page to page as well, so alignment alone cannot tell them from
-content: elements that by tag, role or class are chrome (fixed lists below) are never content.
+content: elements that by tag, role, class or id are chrome (fixed lists below) are never
+content.  A class or id counts if it consists of chrome words.  One that only holds such a word says
+so of the page's frame; inside the content (a wrapper's node, an article or main element) a class needs
+two reference pages that have the element there, and an id says nothing.  Ids of headings, and single
+words in names of headings and sections, never count: they are slugs of their text.
 A page of a host with no other page, or without a node at the path, is read by its own
 article, main or body element.
 
@@ -54,6 +58,7 @@ BLOCKS = frozenset(
 CLOSES_P = BLOCKS - frozenset(("body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "li", "dd", "dt", "summary", "figcaption"))
 SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "p": ("p",)}
 SCOPE = frozenset("ul ol dl table article section div main body html nav aside footer header form blockquote td th select".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CHROME_TAGS = frozenset("head nav footer aside form script style noscript template iframe svg canvas button select input textarea dialog menu object audio video".split())
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
 CHROME_WORDS = frozenset(
@@ -66,22 +71,30 @@ HOST = r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
 
 class Node:
-    __slots__ = ("chrome", "children", "classes", "tag")
+    __slots__ = ("by_word", "chrome", "children", "classes", "tag")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag = tag
         self.children: list[Node | str] = []
         self.classes = ""
         self.chrome = tag in CHROME_TAGS
+        self.by_word = ""  # what holds a chrome word among others: "class" or "id"
         if attributes:
             for name, a, b, c in ATTRIBUTE.findall(attributes):
                 value = (a or b or c).lower()
                 if name.lower() == "role":
                     self.chrome |= value in CHROME_ROLES
                 else:
-                    if name.lower() == "class":
+                    name = name.lower()
+                    if name == "class":
                         self.classes = value
-                    self.chrome |= not CHROME_WORDS.isdisjoint(WORDS.findall(value)) and tag not in ("body", "html", "article", "main")
+                    if tag in ("body", "html", "article", "main") or (tag in HEADINGS and name == "id"):
+                        continue
+                    for words in map(WORDS.findall, value.split() if name == "class" else (value,)):
+                        if words and CHROME_WORDS.issuperset(words):
+                            self.chrome = True
+                        elif not CHROME_WORDS.isdisjoint(words) and tag not in HEADINGS and tag != "section" and self.by_word != "class":
+                            self.by_word = name
 
     def mark(self) -> str:
         return f"{self.tag}.{self.classes}" if self.classes else self.tag
@@ -142,8 +155,11 @@ def parse(page: str) -> Node:
     return root
 
 
-def blocks(node: Node) -> list[str]:
-    """Texts of the node's blocks in page order, without chrome; white space is one space."""
+def blocks(node: Node, marks: frozenset[str] | None = None) -> list[str]:
+    """Texts of the node's blocks in page order, without chrome; white space is one space.
+
+    Of elements that a single word calls chrome, content has to keep all but those of ``marks``.
+    """
     out: list[str] = []
     run: list[str] = []
 
@@ -164,7 +180,7 @@ def blocks(node: Node) -> list[str]:
             run.append(x)
         elif x.tag == "br":
             run.append(" ")
-        elif not x.chrome and x.tag != "title":
+        elif not x.chrome and x.tag != "title" and not (x.by_word and (marks is None or (x.by_word == "class" and x.mark() in marks))):
             if x.tag in BLOCKS:
                 flush()
                 work.append(None)
@@ -180,10 +196,16 @@ def find(root: Node, tags: tuple[str, ...]) -> Node | None:
         x = work.pop()
         if x.tag in tags:
             return x
-        work.extend(c for c in reversed(x.children) if not isinstance(c, str) and not c.chrome)
+        work.extend(c for c in reversed(x.children) if not isinstance(c, str) and not c.chrome and not c.by_word)
     return None
 
 
+def own_blocks(root: Node, marks: frozenset[str] = frozenset()) -> list[str]:
+    """Blocks of what a page says of itself; a body is frame and content in one."""
+    node = own_root(root)
+    return blocks(node, marks if node.tag in ("article", "main") else None)
+
+
 def own_root(root: Node) -> Node:
     """What a page says of itself: its article, main or body element."""
     return find(root, ("article",)) or find(root, ("main",)) or without_header(find(root, ("body",)) or root)
@@ -214,8 +236,8 @@ def match(a: Node, b: Node, depth: int = 0) -> tuple[int, list[tuple[Node, Node]
     """Simple tree matching: size of a largest order-keeping match of two trees, and its pairs."""
     if a.mark() != b.mark() or depth > MAX_MATCH_DEPTH:
         return 0, []
-    left = [c for c in a.children if not isinstance(c, str) and not c.chrome][:MAX_MATCH_CHILDREN]
-    right = [c for c in b.children if not isinstance(c, str) and not c.chrome][:MAX_MATCH_CHILDREN]
+    left = [c for c in a.children if not isinstance(c, str) and not c.chrome and not c.by_word][:MAX_MATCH_CHILDREN]
+    right = [c for c in b.children if not isinstance(c, str) and not c.chrome and not c.by_word][:MAX_MATCH_CHILDREN]
     if not left or not right:
         return 1, [(a, b)]
     # rows of sizes; the pairs come from the way back
@@ -245,13 +267,28 @@ def unlike(pages: list[str]) -> list[Node]:
     seen: list[set[str]] = []
     for page in pages:
         tree = parse(page)
-        own = set(blocks(own_root(tree)))
+        own = set(own_blocks(tree))
         if own and all(2 * len(own & s) < min(len(own), len(s)) for s in seen):
             out.append(tree)
             seen.append(own)
     return out
 
 
+def backed(pages: list[str], path: list[str]) -> list[str]:
+    """Marks of elements below the path that a word of their class calls chrome, in two unlike pages."""
+    held: Counter[str] = Counter()
+    for tree in unlike(pages):
+        found, work = set(), [follow(tree, path)]
+        while work:
+            x = work.pop()
+            if x and not x.chrome:
+                if x.by_word == "class":
+                    found.add(x.mark())
+                work.extend(c for c in x.children if not isinstance(c, str))
+        held.update(found)
+    return sorted(m for m, n in held.items() if n > 1)
+
+
 def induce(pages: list[str], holders: int | None = None) -> tuple[list[str], list[str]] | None:
     """The wrapper of pages of one host: (path to the content, constant blocks below it).
 
@@ -269,7 +306,7 @@ def induce(pages: list[str], holders: int | None = None) -> tuple[list[str], lis
                 varying[id(a)] = max(varying.get(id(a), 0), len(own_a))
 
     def weigh(node: Node, depth: int = 0) -> int:
-        if node.chrome or depth > MAX_MATCH_DEPTH:
+        if node.chrome or node.by_word or depth > MAX_MATCH_DEPTH:
             return 0
         return varying.get(id(node), 0) + sum(weigh(c, depth + 1) for c in node.children if not isinstance(c, str))
 
@@ -288,18 +325,19 @@ def induce(pages: list[str], holders: int | None = None) -> tuple[list[str], lis
         return None
     constant: list[str] = []
     if holders or len(trees) >= 3:
-        held = Counter(b for t in trees if (n := follow(t, path)) for b in set(blocks(n)))
+        marks = frozenset(backed(pages, path))
+        held = Counter(b for t in trees if (n := follow(t, path)) for b in set(blocks(n, marks)))
         constant = sorted(b for b, n in held.items() if n >= (holders or len(trees)))
     return path, constant
 
 
-def extract(page: str | None, path: list[str] | None = None, constant: frozenset[str] = frozenset()) -> str:
+def extract(page: str | None, path: list[str] | None = None, constant: frozenset[str] = frozenset(), marks: frozenset[str] = frozenset()) -> str:
     """The main text of a page."""
     if not page:
         return ""
     root = parse(page)
     node = follow(root, path) if path else None
-    return "\n\n".join(b for b in blocks(node or own_root(root)) if b not in constant)
+    return "\n\n".join(b for b in (blocks(node, marks) if node else own_blocks(root, marks)) if b not in constant)
 
 
 def references(pages: DataFrame) -> DataFrame:
@@ -312,7 +350,7 @@ def references(pages: DataFrame) -> DataFrame:
     def sketch(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Hashes of the distinct blocks of each page that has any."""
         for batch in batches(it):
-            own = [sorted({xxhash.xxh3_64_intdigest(b) >> 1 for b in blocks(own_root(parse(page)))}) for page in batch.column("html").to_pylist()]
+            own = [sorted({xxhash.xxh3_64_intdigest(b) >> 1 for b in own_blocks(parse(page))}) for page in batch.column("html").to_pylist()]
             out = pa.RecordBatch.from_arrays([batch.column("host"), batch.column("hash"), pa.array(own, pa.list_(pa.int64()))], ["host", "hash", "blocks"])
             yield out.filter(pa.array([bool(x) for x in own], pa.bool_()))
 
@@ -346,7 +384,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
             wrapper = induce(held, 2)
             if wrapper:
                 hosts.append(last)
-                found.append(json.dumps(wrapper))
+                found.append(json.dumps((*wrapper, backed(held, wrapper[0]))))
 
         for batch in batches(it):
             for host, page in zip(*(batch.column(c).to_pylist() for c in ("host", "html")), strict=True):  # rows come by hash
@@ -364,9 +402,9 @@ def wrappers(pages: DataFrame) -> DataFrame:
         for batch in batches(it):
             hosts, keys, at = [], [], []
             for host, page, wrapper in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "wrapper")), strict=True):
-                path, proposed = json.loads(wrapper)
+                path, proposed, marks = json.loads(wrapper)
                 node = follow(parse(page), path)
-                held = set(blocks(node)) if node else set()
+                held = set(blocks(node, frozenset(marks))) if node else set()
                 own = held.difference(proposed)
                 if own:
                     hosts.append(host)
@@ -378,10 +416,10 @@ def wrappers(pages: DataFrame) -> DataFrame:
         for batch in batches(it):
             found = []
             for wrapper, counts in zip(batch.column("wrapper").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                path, proposed = json.loads(wrapper)
+                path, proposed, marks = json.loads(wrapper)
                 n = {c["i"]: c["n"] for c in counts or ()}
                 total = n.get(-1, 0)
-                found.append(json.dumps((path, [b for i, b in enumerate(proposed) if total >= 3 and 100 * n.get(i, 0) >= CONSTANT_SHARE * total])))
+                found.append(json.dumps((path, [b for i, b in enumerate(proposed) if total >= 3 and 100 * n.get(i, 0) >= CONSTANT_SHARE * total], marks)))
             yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(found, pa.string())], ["host", "wrapper"])
 
     few = references(pages)
@@ -398,7 +436,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
     joined = with_wrappers(rows, stored(wrappers(rows), "wrappers"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read: dict[str, tuple[list[str], frozenset[str]]] = {}
+        read: dict[str, tuple[list[str], frozenset[str], frozenset[str]]] = {}
         for batch in batches(it):
             texts = []
             for page, wrapper in zip(batch.column("html").to_pylist(), batch.column("wrapper").to_pylist(), strict=True):
@@ -408,8 +446,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
                 if wrapper not in read:
                     if len(read) > 10_000:
                         read.clear()
-                    path, constant = json.loads(wrapper)
-                    read[wrapper] = (path, frozenset(constant))
+                    path, constant, marks = json.loads(wrapper)
+                    read[wrapper] = (path, frozenset(constant), frozenset(marks))
                 texts.append(extract(page, *read[wrapper]))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 

@@ -298,6 +298,18 @@ def test_wrapper_frames(spark):
     assert wrapper.main_texts(pages).count() == 9 and wrapper.main_texts(pages.limit(0)).count() == 0
 
 
+def test_slugs_in_ids_are_content(spark):
+    slugs = '<h2 id="related-work">Related work</h2><section id="search-algorithms"><p>trees</p></section><h2 id="notice-of-meeting">Notice</h2><h3 id="comments">Remarks</h3><div id="social-history"><p>past</p></div><div class="share-price"><p>price</p></div>'
+    want = ["Related work", "trees", "Notice", "Remarks", "past", "price"]
+    chrome = '<div id="comments"><p>x</p></div><div class="cookie-banner"><p>y</p></div>'
+    assert wrapper.extract(f"<body><article>{slugs}{chrome}</article>").split("\n\n") == want
+    # a class with a chrome word is chrome in the content if it stands there in other pages as well
+    htmls = [page(f"<p>text {i} of the host</p><div class='post-share-x'><p>tell {i} others</p></div>" + (slugs if not i else "")) for i in range(8)]
+    pages = spark.createDataFrame([(i, f"https://h.example/{i}", h) for i, h in enumerate(htmls)], "page_id long, url string, html string")
+    out = {r.page_id: r.text.split("\n\n") for r in wrapper.main_texts(pages).collect()}
+    assert out == {i: [f"text {i} of the host", *(want if not i else [])] for i in range(8)}
+
+
 def test_wrapper_of_a_host_of_copies(spark):
     # near copies with other adverts are most pages; one odd page lacks the constant
     def story(i, extra=""):
