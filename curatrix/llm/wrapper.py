@@ -36,6 +36,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -228,37 +229,81 @@ def follow(root: Node, path: list[str]) -> Node | None:
     return node
 
 
-#: Alignment of reference pages looks so deep and at so many children of a node; extraction has no such bounds.
-MAX_MATCH_DEPTH, MAX_MATCH_CHILDREN = 60, 200
+def inner(node: Node) -> list[Node]:
+    """Child elements that are no chrome."""
+    return [c for c in node.children if not isinstance(c, str) and not c.chrome and not c.by_word]
 
 
-def match(a: Node, b: Node, depth: int = 0) -> tuple[int, list[tuple[Node, Node]]]:
-    """Simple tree matching: size of a largest order-keeping match of two trees, and its pairs."""
-    if a.mark() != b.mark() or depth > MAX_MATCH_DEPTH:
+def bottom_up(root: Node) -> list[Node]:
+    """The tree's elements that are no chrome, children before their parents."""
+    out, work = [], [root]
+    while work:
+        x = work.pop()
+        out.append(x)
+        work.extend(inner(x))
+    return out[::-1]
+
+
+def match(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
+    """Simple tree matching: size of a largest order-keeping match of two trees, and its pairs.
+
+    Sizes depend on marks alone, so they are found once for each two shapes of subtrees.
+    """
+    numbers: dict[tuple[str, tuple[int, ...]], int] = {}
+    shape: dict[int, int] = {}
+    for root in (a, b):
+        for x in bottom_up(root):
+            shape[id(x)] = numbers.setdefault((x.mark(), tuple(shape[id(c)] for c in inner(x))), len(numbers))
+    marks, below = [k[0] for k in numbers], [k[1] for k in numbers]
+    sizes: dict[tuple[int, int], int] = {}
+
+    def align(s: int, t: int, pairs: bool = False) -> tuple[int, list[tuple[int, int]]]:
+        """Size for the children of two shapes, and which of them go together; memory for a row and two bits a cell."""
+        if not below[s] or not below[t]:
+            return 0, []
+        xs, at = np.unique(below[s], return_inverse=True)
+        ys, to = np.unique(below[t], return_inverse=True)
+        gain = np.array([[sizes.get((x, y), 0) for y in ys.tolist()] for x in xs.tolist()], np.int64)
+        row = np.zeros(len(to) + 1, np.int64)
+        ups, lefts = [], []
+        for i in at.tolist():
+            new = np.zeros_like(row)
+            np.maximum.accumulate(np.maximum(row[1:], row[:-1] + gain[i][to]), out=new[1:])
+            if pairs:
+                ups.append(np.packbits(new == row))
+                lefts.append(np.packbits(new[1:] == new[:-1]))
+            row = new
+        found, i, j = [], len(at), len(to)
+        while pairs and i and j:
+            if ups[i - 1][j >> 3] >> (7 - (j & 7)) & 1:
+                i -= 1
+            elif lefts[i - 1][(j - 1) >> 3] >> (7 - ((j - 1) & 7)) & 1:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                found.append((i, j))
+        return int(row[-1]), found
+
+    if a.mark() != b.mark():
         return 0, []
-    left = [c for c in a.children if not isinstance(c, str) and not c.chrome and not c.by_word][:MAX_MATCH_CHILDREN]
-    right = [c for c in b.children if not isinstance(c, str) and not c.chrome and not c.by_word][:MAX_MATCH_CHILDREN]
-    if not left or not right:
-        return 1, [(a, b)]
-    # rows of sizes; the pairs come from the way back
-    size = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
-    kept = {}
-    for i, x in enumerate(left):
-        for j, y in enumerate(right):
-            w, pairs = match(x, y, depth + 1)
-            if w:
-                kept[i, j] = (w, pairs)
-            size[i + 1][j + 1] = max(size[i][j + 1], size[i + 1][j], size[i][j] + w)
-    found, i, j = [(a, b)], len(left), len(right)
-    while i and j:
-        if size[i][j] == size[i - 1][j]:
-            i -= 1
-        elif size[i][j] == size[i][j - 1]:
-            j -= 1
+    # explicit stacks: nesting may be deeper than Python's
+    todo = [(shape[id(a)], shape[id(b)])]
+    while todo:
+        s, t = todo[-1]
+        need = [] if (s, t) in sizes else [(x, y) for x in set(below[s]) for y in set(below[t]) if marks[x] == marks[y] and (x, y) not in sizes]
+        if need:
+            todo += need
         else:
-            i, j = i - 1, j - 1
-            found += kept[i, j][1]
-    return size[-1][-1] + 1, found
+            todo.pop()
+            if (s, t) not in sizes:
+                sizes[s, t] = align(s, t)[0] + 1
+    found, work = [], [(a, b)]
+    while work:
+        x, y = work.pop()
+        found.append((x, y))
+        left, right = inner(x), inner(y)
+        work += [(left[i], right[j]) for i, j in align(shape[id(x)], shape[id(y)], True)[1]]
+    return sizes[shape[id(a)], shape[id(b)]], found
 
 
 def unlike(pages: list[str]) -> list[Node]:
@@ -305,19 +350,18 @@ def induce(pages: list[str], holders: int | None = None) -> tuple[list[str], lis
             if own_a and own_a != own_b:
                 varying[id(a)] = max(varying.get(id(a), 0), len(own_a))
 
-    def weigh(node: Node, depth: int = 0) -> int:
-        if node.chrome or node.by_word or depth > MAX_MATCH_DEPTH:
-            return 0
-        return varying.get(id(node), 0) + sum(weigh(c, depth + 1) for c in node.children if not isinstance(c, str))
+    weight: dict[int, int] = {}
+    for x in bottom_up(first):
+        weight[id(x)] = varying.get(id(x), 0) + sum(weight[id(c)] for c in inner(x))
 
     # what of the content has no partner in shorter pages varies too: descend by all text, led by slots
-    path, node, total = [], first, weigh(first)
+    path, node, total = [], first, weight[id(first)]
     if not total:
         return None
     while True:
-        inner = [(weigh(c), c) for c in node.children if not isinstance(c, str) and c.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6")]
-        w, best = max(inner, key=lambda x: x[0], default=(0, None))
-        if best is None or w < 0.9 * total or sum(c.mark() == best.mark() for _, c in inner) > 1:
+        children = [(weight.get(id(c), 0), c) for c in node.children if not isinstance(c, str) and c.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6")]
+        w, best = max(children, key=lambda x: x[0], default=(0, None))
+        if best is None or w < 0.9 * total or sum(c.mark() == best.mark() for _, c in children) > 1:
             break
         path.append(best.mark())
         node = best

@@ -298,6 +298,20 @@ def test_wrapper_frames(spark):
     assert wrapper.main_texts(pages).count() == 9 and wrapper.main_texts(pages.limit(0)).count() == 0
 
 
+def test_long_and_deep_pages_are_aligned_whole():
+    def long(i):
+        return "<html><body>" + "".join(f"<hr class=x{j % 3}>" for j in range(300)) + f"<div class='post'><p>text {i}</p><p>more {i} of it</p></div></body></html>"
+
+    def deep(i):
+        return "<html><body>" + "<div>" * 100 + f"<div class='post'><p>text {i}</p><p>more {i} of it</p></div></body></html>"
+
+    for make in (long, deep):
+        path, _ = wrapper.induce([make(i) for i in range(4)])
+        assert path[-1] == "div.post"
+    a, b = (wrapper.parse("<div>" * n) for n in (4000, 5000))
+    assert wrapper.match(a, b)[0] == len(wrapper.match(a, b)[1]) == 4001
+
+
 def test_slugs_in_ids_are_content(spark):
     slugs = '<h2 id="related-work">Related work</h2><section id="search-algorithms"><p>trees</p></section><h2 id="notice-of-meeting">Notice</h2><h3 id="comments">Remarks</h3><div id="social-history"><p>past</p></div><div class="share-price"><p>price</p></div>'
     want = ["Related work", "trees", "Notice", "Remarks", "past", "price"]
