@@ -1,8 +1,8 @@
 """Operator 3, toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max index.
 
 Examples are labelled training documents, at most ``max_examples`` of each label.  Terms whose
-counts differ between the labels beyond chance (exact binomial tail and odds ratio) make up the
-vocabulary; documents and examples are TF-IDF vectors over it and one more term that every document
+counts in all labelled training documents differ between the labels beyond chance (exact binomial
+tail and odds ratio) make up the vocabulary, and those counts their IDF; documents and examples are TF-IDF vectors over it and one more term that every document
 has once, with the median weight: without it a single chance hit would look just like a text full of
 the same term.  The index keeps, for each term and
 each block of BLOCK examples, the largest weight; a query sums these into an upper bound for each
@@ -147,12 +147,15 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return np.array(xs), np.array(ys)
 
 
-def build(examples: list[tuple[int, int, dict[str, int]]], vocabulary: dict[str, tuple[int, int]], weight: tuple[float, float]) -> Index:
-    """An index from (doc_id, toxic, counts of vocabulary terms) of each example."""
+def build(examples: list[tuple[int, int, dict[str, int]]], vocabulary: dict[str, tuple[int, int]], weight: tuple[float, float], documents: int | None = None) -> Index:
+    """An index from (doc_id, toxic, counts of vocabulary terms) of each example.
+
+    The vocabulary's counts are of so many documents, of the examples by default.
+    """
     names = sorted(vocabulary)
     number = {t: i for i, t in enumerate(names)}
     n = len(examples)
-    idf = np.array([math.log(1 + n / (1 + sum(vocabulary[t]))) for t in names])
+    idf = np.array([math.log(1 + (documents or n) / (1 + sum(vocabulary[t]))) for t in names])
     idf = np.append(idf, np.median(idf) if names else 1.0)  # the term that every document has
     # examples that share their weightiest terms stand together, which keeps the block maxima tight
     rows = sorted(examples, key=lambda e: (sorted(((-c * idf[number[t]], t) for t, c in e[2].items()))[:3], e[0]))
@@ -208,8 +211,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
                 label += [toxic] * len(mine)
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(label, pa.int32())], ["term", "toxic"])
 
-    counted = rows.mapInArrow(words, "term string, toxic int").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).where("n >= 3")
-    size = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    # counted over all labelled training documents, aggregated before the shuffle
+    taught = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(marks, "doc_id")
+    counted = taught.mapInArrow(words, "term string, toxic int").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).where("n >= 3")
+    size = {r["toxic"]: r["count"] for r in taught.groupBy("toxic").count().collect()}
     n_clean, n_toxic = size.get(0, 0), size.get(1, 0)
     if not n_clean or not n_toxic:
         return None
@@ -219,7 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
             keep = [telling(t, n - t, n_toxic, n_clean) for t, n in zip(batch.column("toxic").to_pylist(), batch.column("n").to_pylist(), strict=True)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    vocabulary = {r["term"]: (r["toxic"], r["n"] - r["toxic"]) for r in counted.mapInArrow(select, counted.schema).collect()}  # terms of the examples
+    vocabulary = {r["term"]: (r["toxic"], r["n"] - r["toxic"]) for r in counted.mapInArrow(select, counted.schema).collect()}  # those that tell the labels apart
     known = set(vocabulary)
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,7 +233,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(maps, pa.map_(pa.string(), pa.int32()))], ["doc_id", "toxic", "counts"])
 
     examples = [(r["doc_id"], r["toxic"], r["counts"]) for r in rows.mapInArrow(count, "doc_id long, toxic int, counts map<string,int>").collect()]
-    return build(examples, vocabulary, (totals[0] / n_clean, totals[1] / n_toxic))
+    shown = Counter(e[1] for e in examples)
+    if not shown[0] or not shown[1]:
+        return None
+    return build(examples, vocabulary, (totals[0] / shown[0], totals[1] / shown[1]), n_clean + n_toxic)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> DataFrame:

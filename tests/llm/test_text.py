@@ -113,6 +113,17 @@ def test_toxicity_frames(odd, spark):
     assert toxicity.toxicity_scores(odd.limit(0), labels).count() == 0
 
 
+def test_terms_are_counted_over_all_labelled_documents(docs, spark):
+    # two examples of each label cannot teach a term, all the labelled documents can
+    texts = [f"vile words {i}" if i % 2 else f"kind words {i}" for i in range(200)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(200)], "doc_id long, quality int, toxic int")
+    index = toxicity.fit(docs(texts), labels, 2)
+    assert len(index.ids) == 4 and {"vile", "kind"} <= set(index.number)
+    n = labels.where(~toxicity.held_out()).count()
+    vile = labels.where(~toxicity.held_out()).where("toxic = 1").count()
+    assert abs(index.idf[index.number["vile"]] - math.log(1 + n / (1 + vile))) < 1e-12
+
+
 # --- personal data --------------------------------------------------------------------------------
 
 BASE = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
