@@ -3,7 +3,8 @@
 A pre-token of this kind of tokenizer never runs from a non-space character into a following
 space or newline, so a text may be cut in front of every single space or newline without changing
 its ids.  Frequent words are then encoded once per worker.  Texts in which a cut is not safe (two
-white-space characters in a row, other kinds of white space) are encoded whole.
+white-space characters in a row, other kinds of white space) are encoded whole, and so are texts that
+hold an added token's literal, which the library's default turns into that token's id.
 """
 
 from __future__ import annotations
@@ -24,13 +25,16 @@ _encoders: dict[tuple[str, int], "WordMemoEncoder"] = {}
 class WordMemoEncoder:
     """``encode(texts)`` gives each text's ids as little-endian uint32 bytes."""
 
-    def __init__(self, path: str, memo_words: int = MEMO_WORDS):
+    def __init__(self, path: str, memo_words: int = MEMO_WORDS, added: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
+        # literals of added tokens, if they are to give their ids
+        literals = [re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()] if added else []
+        self.added = re.compile("|".join(literals)) if literals else None
         self.memo_words = memo_words
         self.memo: dict[str, bytes | None] = {}  # word that follows a space or newline -> ids; None: unsafe
         size = self.tok.get_vocab_size()
@@ -42,6 +46,12 @@ class WordMemoEncoder:
         return len(piece) if piece else 0
 
     def whole(self, text: str) -> bytes:
+        if self.added and self.added.search(text):
+            self.tok.encode_special_tokens = False
+            try:
+                return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            finally:
+                self.tok.encode_special_tokens = True
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _learn(self, words: list[str]) -> dict[str, bytes | None]:
@@ -87,7 +97,9 @@ class WordMemoEncoder:
             for i in at:
                 ids[i] = new[words[i]]
             first = words[0]
-            if first and first[0] != "\n" and None not in ids and not OTHER_SPACE.search(first):
+            if self.added and self.added.search(text):
+                out.append(self.whole(text))
+            elif first and first[0] != "\n" and None not in ids and not OTHER_SPACE.search(first):
                 ids[0] = self.whole(first)  # it follows no space
                 out.append(b"".join(ids))
             else:
@@ -101,5 +113,5 @@ def encoder(path: str, memo_words: int = MEMO_WORDS) -> WordMemoEncoder:
     A smaller memo costs time and saves each worker some 200 bytes a word.
     """
     if (path, memo_words) not in _encoders:
-        _encoders[path, memo_words] = WordMemoEncoder(path, memo_words)
+        _encoders[path, memo_words] = WordMemoEncoder(path, memo_words, added=True)
     return _encoders[path, memo_words]

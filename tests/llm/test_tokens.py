@@ -7,7 +7,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from curatrix.llm import dac, packing, spm
+from curatrix.llm import bpe, dac, packing, spm
 from curatrix.llm.bpe import WordMemoEncoder
 from curatrix.llm.common import scratch
 
@@ -36,6 +36,14 @@ def test_word_memo_is_the_library(tok):
             assert [np.frombuffer(x, "<u4").tolist() for x in e.encode(batch)] == [tok.encode(t, add_special_tokens=False).ids for t in batch]
 
 
+def test_added_tokens_are_the_library_by_default():
+    plain, e = Tokenizer.from_file(BPE), bpe.encoder(BPE, 1000)
+    assert np.frombuffer(e.encode(["a<|endoftext|> b"])[0], "<u4").tolist() == [64, 50256, 275]
+    for lo in range(0, 3000, 500):
+        batch = texts(500, lo)
+        assert [np.frombuffer(x, "<u4").tolist() for x in e.encode(batch)] == [plain.encode(t, add_special_tokens=False).ids for t in batch]
+
+
 def test_sentencepiece_is_the_library():
     lib, codec = sentencepiece.SentencePieceProcessor(model_file=PIECES), spm.SentencePieceCodec(PIECES, 1000)
     for t in texts(4000, 9) + ["", " ", "\n", "a" * 3000, "ab " * 2000]:
