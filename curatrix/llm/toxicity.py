@@ -1,23 +1,29 @@
 """Operator 3, toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max index.
 
-Examples are labelled training documents, at most ``max_examples`` of each label.  Terms whose
-counts in all labelled training documents differ between the labels beyond chance (exact binomial
-tail and odds ratio) make up the vocabulary, and those counts their IDF; documents and examples are TF-IDF vectors over it and one more term that every document
-has once, with the median weight: without it a single chance hit would look just like a text full of
-the same term.  The index keeps, for each term and
-each block of BLOCK examples, the largest weight; a query sums these into an upper bound for each
-block, visits blocks in falling order of bounds and stops when the next bound cannot enter the
-nearest k any more, so the k nearest are exact.  Their votes, weighted by cosine and by what each
-example stands for among all labelled training documents, become a probability by isotonic
-regression on the examples' own leave-one-out votes.
-
-Only the index travels to the executors: examples x their vocabulary terms, bounded by
-``max_examples``.
-
-Defined results: null, empty and unrelated texts have no vector and get the rate of toxic examples
-among those without one; no usable labels: score 0; documents in several labels count as toxic if
-any says so; null labels or doc_ids teach nothing; equal texts get equal scores; ties between
-neighbours go to the smaller example number; other columns are ignored (or kept, by the filter).
+Examples are labelled training documents, at most ``max_examples`` of each label and EXAMPLE_CHARS
+characters of text, taken in the order of a hash.  The vocabulary is every term of theirs that at least
+MIN_DOCUMENTS documents hold, whatever its label; document frequencies are counted over all documents.
+Documents and examples are vectors of (1 + ln tf) x IDF x emphasis of the term.  The emphasis is
+1 + EMPHASIS x the lower confidence bound of the term's log odds between the labels: 1 for all terms that
+chance could explain.  Plain IDF (``emphasis`` = 0) ranks by rare words of any kind and loses two toxic
+documents of five; the README has both figures.
+
+The index keeps a dense matrix of the HEAD commonest terms, and for each other term and each block of BLOCK examples, the largest weight and where the block's
+postings begin; a query sums the
+former, on the largest product of a block with the dense part, into an upper bound for each block, visits blocks in falling order
+of bounds, and stops when no bound can enter the nearest k any more, so the k nearest are exact.  Their
+votes, weighted by cosine and by what each example stands for among all labelled training documents,
+become a probability by isotonic regression on votes that are out of fold: neither the index nor the
+emphasis of the terms has seen the example.
+
+Only the index travels to the executors: at most 2 x EXAMPLE_CHARS characters of examples and 12 bytes for
+each of their postings.
+
+Defined results: null, empty and unrelated texts have no vector and get the rate of toxic documents among
+the labelled ones; no usable labels: score 0; documents in several labels count as toxic if any says so;
+of rows that repeat an example's doc_id one text teaches; null labels or doc_ids teach nothing; equal texts
+get equal scores; ties between neighbours go to the smaller example number; long texts are read whole; an
+empty table gives no rows; other columns are ignored (or kept, by the filter).
 """
 
 from __future__ import annotations
@@ -27,23 +33,32 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, text_list
-from .quality import binomial_cdf
+from .common import batches, stored, text_list
 
 TERM = re.compile(r"\w+")
 FOLDS = 5
-MAX_EXAMPLES = 3000
+MAX_EXAMPLES = 1000
+#: Characters of text of each label's examples at most.
+EXAMPLE_CHARS = 8_000_000
+MIN_DOCUMENTS = 2
 NEAREST = 25
 BLOCK = 64
-#: A term is used if chance explains its split between the labels with at most this probability.
-CHANCE = 1e-4
-ODDS = 4.0
+#: Blocks that are visited before the bounds are looked at again.
+ROUND = 6
+#: Terms with the longest postings, which are kept as a dense matrix; documents multiplied with it at a time.
+HEAD, BATCH = 256, 128
+EMPHASIS = 4.0
+#: Standard scores of the confidence bound: of a hundred thousand terms a few reach it by chance.
+SURE = 4.0
+#: Folds of the examples for votes out of fold.
+PARTS = 4
 
 
 def held_out(id_col: str = "doc_id"):
@@ -55,14 +70,29 @@ def terms(text: str) -> list[str]:
     return TERM.findall(text.lower())
 
 
-def telling(toxic: int, clean: int, n_toxic: int, n_clean: int) -> bool:
-    """A term in so many toxic and clean examples tells them apart."""
-    n = toxic + clean
-    share = n_toxic / (n_toxic + n_clean)
-    odds = math.log((toxic + 0.5) / (n_toxic - toxic + 0.5)) - math.log((clean + 0.5) / (n_clean - clean + 0.5))
-    if odds >= math.log(ODDS):
-        return binomial_cdf(clean, n, 1 - share) <= CHANCE
-    return odds <= -math.log(ODDS) and binomial_cdf(toxic, n, share) <= CHANCE
+def spans(first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges first to end, one range behind the other."""
+    sizes = end - first
+    before = np.cumsum(sizes) - sizes
+    return np.arange(int(sizes.sum())) + np.repeat(first - before, sizes)
+
+
+def evidence(toxic: np.ndarray, both: np.ndarray, share: float) -> np.ndarray:
+    """Lower confidence bounds of the terms' log odds between the labels, 0 if chance may explain them.
+
+    Wilson bounds at SURE of the share of toxic documents among those with the term, against the share among all.
+    """
+    n, z = both, SURE * SURE
+    p = toxic / n
+    middle, half = (p + z / (2 * n)) / (1 + z / n), SURE / (1 + z / n) * np.sqrt(p * (1 - p) / n + z / (4 * n * n))
+    logit = lambda x: np.log(x / (1 - x))
+    low, high = np.clip(middle - half, 1e-12, 1 - 1e-12), np.clip(middle + half, 1e-12, 1 - 1e-12)
+    return np.maximum(0, np.maximum(logit(low) - logit(share), logit(share) - logit(high)))
+
+
+#: A term in a block: the largest weight there, its first posting and how many it has.
+ENTRY = np.dtype([("most", "f8"), ("first", "i8"), ("block", "i4"), ("size", "i4")])
+POSTING = np.dtype([("value", "f8"), ("example", "i8")])
 
 
 @dataclass
@@ -70,64 +100,91 @@ class Index:
     """Block-max inverted index of examples, and the calibration of their votes."""
 
     number: dict[str, int]
-    idf: np.ndarray
+    weight: np.ndarray  # of each term
     ids: np.ndarray  # the examples' doc_ids
     toxic: np.ndarray
     mass: np.ndarray  # labelled documents that each example stands for
-    postings: list[tuple[np.ndarray, np.ndarray]]  # of each term: examples ascending, weights
-    block_max: np.ndarray  # terms x blocks
+    begin: np.ndarray  # first entry of each term, and the end
+    entries: np.ndarray  # ENTRY, by term and block
+    postings: np.ndarray  # POSTING, by term and example
+    head: np.ndarray  # examples x the HEAD commonest terms, which are numbered first
+    home: np.ndarray  # block of each example
+    rate: float
     knots: tuple[np.ndarray, np.ndarray]  # votes, probabilities
-    empty_rate: float
-
-    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Term numbers and unit weights."""
-        get = self.number.get
-        tf = Counter([t for t in map(get, terms(text)) if t is not None])
-        if not tf:
-            return np.zeros(0, np.int64), np.zeros(0)
-        tf[len(self.idf) - 1] = 1
-        at = np.array(sorted(tf), np.int64)
-        return at, self.weigh(at, np.array([tf[t] for t in at.tolist()], float))
-
-    def weigh(self, at: np.ndarray, tf: np.ndarray) -> np.ndarray:
-        w = (1 + np.log(tf)) * self.idf[at] if len(at) else np.zeros(0)
-        return w / np.linalg.norm(w) if len(w) else w
-
-    def nearest(self, at: np.ndarray, w: np.ndarray, k: int = NEAREST, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of largest positive cosine, exactly; ``skip`` is left out."""
-        bound = w @ self.block_max[at]
-        lists = [self.postings[t] for t in at.tolist()]
-        best_ids, best = np.zeros(0, np.int64), np.zeros(0)
-        for block in np.argsort(-bound, kind="stable").tolist():
-            if bound[block] <= 0 or (len(best) == k and bound[block] < best[-1]):
-                break
-            lo = block * BLOCK
-            scores = np.zeros(BLOCK)
-            for (docs, weights), q in zip(lists, w.tolist(), strict=True):
-                a, z = np.searchsorted(docs, (lo, lo + BLOCK))
-                scores[docs[a:z] - lo] += q * weights[a:z]
-            found = np.flatnonzero(scores > 0)
-            found = found[found + lo != skip]
-            ids = np.concatenate([best_ids, found + lo])
-            values = np.concatenate([best, scores[found]])
-            order = np.lexsort((ids, -values))[:k]
-            best_ids, best = ids[order], values[order]
-        return best_ids, best
-
-    def vote(self, ids: np.ndarray, cosines: np.ndarray) -> float:
-        power = cosines * self.mass[ids]
-        return float(power @ self.toxic[ids] / power.sum())
-
-    def score(self, text: str) -> tuple[float, np.ndarray]:
-        at, w = self.vector(text)
+
+    def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
+        """Term numbers and unit weights of counted terms."""
+        n = len(counts)
+        at = np.fromiter(map(self.number.get, counts, repeat(-1, n)), np.int64, n)
+        tf = np.fromiter(counts.values(), float, n)[at >= 0]
+        at = at[at >= 0]
         if not len(at):
-            return self.empty_rate, np.zeros(0, np.int64)
-        ids, cosines = self.nearest(at, w)
-        if not len(ids):
-            return self.empty_rate, ids
-        vote = self.vote(ids, cosines)
+            return at, tf
+        order = np.argsort(at)
+        at, w = at[order], (1 + np.log(tf[order])) * self.weight[at[order]]
+        return at, w / np.linalg.norm(w)
+
+    def nearest(self, at: np.ndarray, w: np.ndarray, head: np.ndarray, head_most: np.ndarray, k: int = NEAREST) -> tuple[np.ndarray, np.ndarray]:
+        """The k examples of largest positive cosine, exactly.
+
+        ``head`` has the products with the examples over the first terms, ``head_most`` the largest of each block.
+        """
+        cut = np.searchsorted(at, self.head.shape[1])
+        at, w = at[cut:], w[cut:]
+        begin, end = self.begin[at], self.begin[at + 1]
+        entry = self.entries[spans(begin, end)]
+        q, of = np.repeat(w, end - begin), entry["block"]
+        bound = head_most + np.bincount(of, q * entry["most"], minlength=len(head_most))
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        best, values = np.zeros(0, np.int64), np.zeros(0)
+        for size in (ROUND, len(order)):
+            if len(values) == k:
+                order = order[bound[order] >= values[-1] - 1e-11]  # sums are rounded
+            if not len(order):
+                break
+            now = np.zeros(len(bound), bool)
+            now[order[:size]] = True
+            order = order[size:]
+            use = now[of]
+            first, n = entry["first"][use], entry["size"][use]
+            posts = self.postings[spans(first, first + n)]
+            rest = np.bincount(posts["example"], np.repeat(q[use], n) * posts["value"], minlength=len(head))
+            scores = np.where(now[self.home], head + rest, 0)
+            hits = np.flatnonzero(scores > (values[-1] - 1e-11 if len(values) == k else 0))
+            best, values = np.concatenate([best, hits]), np.concatenate([values, scores[hits].round(12)])
+            top = np.lexsort((best, -values))[:k]
+            best, values = best[top], values[top]
+        return best, values
+
+    def vote(self, found: np.ndarray, cosines: np.ndarray) -> float:
+        power = cosines * self.mass[found]
+        return float(power @ self.toxic[found] / power.sum())
+
+    def judge(self, many: list[Counter]) -> list[tuple[float | None, np.ndarray]]:
+        """The vote of each document, None without neighbours, and its nearest examples."""
+        out: list[tuple[float | None, np.ndarray]] = []
+        edges = np.arange(0, len(self.ids), BLOCK)
+        for lo in range(0, len(many), BATCH):
+            vectors = [self.vector(counts) for counts in many[lo : lo + BATCH]]
+            first = np.zeros((len(vectors), self.head.shape[1]))
+            for row, (at, w) in zip(first, vectors, strict=True):
+                cut = np.searchsorted(at, len(row))
+                row[at[:cut]] = w[:cut]
+            head = first @ self.head.T
+            most = np.maximum.reduceat(head, edges, axis=1)
+            for (at, w), x, y in zip(vectors, head, most, strict=True):
+                found, cosines = self.nearest(at, w, x, y) if len(at) else (at, w)
+                out.append((self.vote(found, cosines) if len(found) else None, found))
+        return out
+
+    def scores(self, texts: list[str]) -> list[tuple[float, np.ndarray]]:
+        """Each text's score and the ids of its nearest examples."""
         # isotonic steps are flat; a thousandth of the vote keeps the order within a step
-        return float(0.999 * np.interp(vote, *self.knots) + 0.001 * vote), self.ids[ids[:5]]
+        return [
+            (self.rate if vote is None else float(0.999 * np.interp(vote, *self.knots) + 0.001 * vote), self.ids[found[:5]])
+            for vote, found in self.judge([Counter(terms(t)) for t in texts])
+        ]
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -147,47 +204,75 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return np.array(xs), np.array(ys)
 
 
-def build(examples: list[tuple[int, int, dict[str, int]]], vocabulary: dict[str, tuple[int, int]], weight: tuple[float, float], documents: int | None = None) -> Index:
-    """An index from (doc_id, toxic, counts of vocabulary terms) of each example.
-
-    The vocabulary's counts are of so many documents, of the examples by default.
-    """
-    names = sorted(vocabulary)
+def make(examples: list[tuple[int, int, Counter]], documents: dict[str, int], total: int, mass: tuple[float, float], emphasis: float) -> Index:
+    """An uncalibrated index of (doc_id, toxic, counts of terms) of each example."""
+    held = Counter(t for _, _, counts in examples for t in counts)
+    names = sorted((t for t in held if documents.get(t, 0) >= MIN_DOCUMENTS), key=lambda t: (-held[t], t))
     number = {t: i for i, t in enumerate(names)}
-    n = len(examples)
-    idf = np.array([math.log(1 + (documents or n) / (1 + sum(vocabulary[t]))) for t in names])
-    idf = np.append(idf, np.median(idf) if names else 1.0)  # the term that every document has
-    # examples that share their weightiest terms stand together, which keeps the block maxima tight
-    rows = sorted(examples, key=lambda e: (sorted(((-c * idf[number[t]], t) for t, c in e[2].items()))[:3], e[0]))
-    blocks = -(-n // BLOCK)
-    index = Index(number, idf, np.array([e[0] for e in rows], np.int64), np.array([e[1] for e in rows], float), np.array([weight[e[1]] for e in rows]), [], np.zeros((len(idf), blocks)), (np.array([0.0, 1.0]), np.array([0.0, 1.0])), 0.0)
-    vectors, lists = [], [([], []) for _ in idf]
-    for i, (_, _, counts) in enumerate(rows):
-        at = np.array([*sorted(number[t] for t in counts), len(names)], np.int64)
-        w = index.weigh(at, np.array([*(counts[names[t]] for t in at[:-1].tolist()), 1], float))
-        vectors.append((at, w))
-        for t, x in zip(at.tolist(), w.tolist(), strict=True):
-            lists[t][0].append(i)
-            lists[t][1].append(x)
-            index.block_max[t, i // BLOCK] = max(index.block_max[t, i // BLOCK], x)
-    index.postings = [(np.array(a, np.int64), np.array(b, float)) for a, b in lists]
-    mass = index.mass
-    votes, kept, empty = [], [], []
-    for i, (at, w) in enumerate(vectors):
-        ids, cosines = index.nearest(at, w, skip=i) if len(at) > 1 else (at[:0], w[:0])
-        if len(ids):
-            votes.append(index.vote(ids, cosines))
-            kept.append(i)
-        else:
-            empty.append(i)
-    if empty:
-        index.empty_rate = float(mass[empty] @ index.toxic[empty] / mass[empty].sum())
-    if kept:
-        index.knots = isotonic(np.array(votes), index.toxic[kept], mass[kept])
+    both, toxic = np.zeros(len(names)), np.zeros(len(names))
+    rows = []
+    for key, label, counts in examples:
+        found = sorted((number[t], c) for t, c in counts.items() if t in number)
+        at, tf = np.array(found, np.int64).T if found else np.zeros((2, 0), np.int64)
+        both[at] += 1
+        toxic[at] += label
+        rows.append((key, label, at, tf))
+    share = sum(r[1] for r in rows) / len(rows)
+    idf = np.log1p(total / np.array([documents[t] for t in names], float)) if names else np.zeros(0)
+    weight = idf * (1 + emphasis * evidence(toxic, both, share)) if 0 < share < 1 and names else idf
+    vectors = []
+    for key, label, at, tf in rows:
+        w = (1 + np.log(tf)) * weight[at] if len(at) else np.zeros(0)
+        vectors.append((key, label, at, w / np.linalg.norm(w) if len(w) else w))
+    # examples of one language (its commonest terms), then of the same weighty terms, stand together, which keeps the block maxima tight
+    common = lambda at: int(at[np.argmin(idf[at])]) if len(at) else -1
+    vectors.sort(key=lambda v: (tuple(v[2][np.argsort(-v[3], kind="stable")[:1]].tolist()) if len(v[2]) and v[3].max() > 0.3 else (-1,), common(v[2]), tuple(v[2][np.argsort(-v[3], kind="stable")[:3]].tolist()), v[0]))
+    n = len(vectors)
+    sizes = [len(v[2]) for v in vectors]
+    term = np.concatenate([v[2] for v in vectors]) if n else np.zeros(0, np.int64)
+    value = np.concatenate([v[3] for v in vectors]) if n else np.zeros(0)
+    example = np.repeat(np.arange(n), sizes)
+    order = np.lexsort((example, term))
+    term, value, example = term[order], value[order], example[order]
+    in_head = term < HEAD
+    head = np.zeros((n, min(HEAD, len(names))))
+    head[example[in_head], term[in_head]] = value[in_head]
+    term, value, example = term[~in_head], value[~in_head], example[~in_head]
+    block = example // BLOCK
+    start = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])])) if len(term) else np.zeros(0, np.int64)
+    entries, postings = np.zeros(len(start), ENTRY), np.zeros(len(term), POSTING)
+    if len(start):
+        entries["most"], entries["first"], entries["block"] = np.maximum.reduceat(value, start), start, block[start]
+        entries["size"] = np.diff(np.append(start, len(term)))
+        postings["value"], postings["example"] = value, example
+    labels = np.array([v[1] for v in vectors], float)
+    masses = np.array([mass[v[1]] for v in vectors])
+    return Index(
+        number, weight, np.array([v[0] for v in vectors], np.int64), labels, masses, np.searchsorted(term[start], np.arange(len(names) + 1)), entries, postings,
+        head, np.arange(n) // BLOCK, float(masses @ labels / masses.sum()), (np.array([0.0, 1.0]), np.array([0.0, 1.0])),
+    )
+
+
+def build(examples: list[tuple[int, int, Counter]], documents: dict[str, int], total: int, mass: tuple[float, float] = (1.0, 1.0), emphasis: float = EMPHASIS) -> Index:
+    """An index whose votes are calibrated out of fold; ``documents`` of ``total`` hold each term."""
+    index = make(examples, documents, total, mass, emphasis)
+    votes, truth, power = [], [], []
+    for part in range(PARTS):
+        rest = [e for i, e in enumerate(examples) if i % PARTS != part]
+        if not rest:
+            continue
+        other = make(rest, documents, total, mass, emphasis)
+        for (_, label, _), (vote, _) in zip(examples[part::PARTS], other.judge([e[2] for e in examples[part::PARTS]]), strict=True):
+            if vote is not None:
+                votes.append(vote)
+                truth.append(label)
+                power.append(mass[label])
+    if votes:
+        index.knots = isotonic(np.array(votes), np.array(truth, float), np.array(power))
     return index
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> Index | None:
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, emphasis: float = EMPHASIS) -> Index | None:
     """Learn from labelled documents outside the held-out fold; None if a label is missing."""
     marks = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     totals = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
@@ -197,55 +282,53 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
     for label in (0, 1):
         part = marks.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)
         picked = part if picked is None else picked.unionByName(part)
-    chosen = [(r["doc_id"], r["toxic"]) for r in picked.collect()]  # 2 x max_examples rows at most
     spark = docs.sparkSession
-    small = spark.createDataFrame(chosen, "doc_id long, toxic int")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(small), "doc_id")
-
-    def words(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(it, 200):
-            found, label = [], []
-            for text, toxic in zip(text_list(batch.column("text")), batch.column("toxic").to_pylist(), strict=True):
-                mine = set(terms(text))
-                found += mine
-                label += [toxic] * len(mine)
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(label, pa.int32())], ["term", "toxic"])
-
-    # counted over all labelled training documents, aggregated before the shuffle
-    taught = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(marks, "doc_id")
-    counted = taught.mapInArrow(words, "term string, toxic int").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).where("n >= 3")
-    size = {r["toxic"]: r["count"] for r in taught.groupBy("toxic").count().collect()}
-    n_clean, n_toxic = size.get(0, 0), size.get(1, 0)
-    if not n_clean or not n_toxic:
+    # 2 x max_examples rows at most
+    small = spark.createDataFrame([(r["doc_id"], r["toxic"]) for r in picked.collect()], "doc_id long, toxic int")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(small), "doc_id")
+    texts = stored(rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min_by("text", F.xxhash64("text")).alias("text")), "examples")
+    room = {0: EXAMPLE_CHARS, 1: EXAMPLE_CHARS}
+    chosen = []
+    for r in sorted(texts.select("doc_id", "toxic", F.length("text").alias("n"), F.xxhash64("doc_id").alias("h")).collect(), key=lambda r: (r["h"], r["doc_id"])):
+        if r["n"] <= room[r["toxic"]]:
+            room[r["toxic"]] -= r["n"]
+            chosen.append(r["doc_id"])
+    keep = spark.createDataFrame([(k,) for k in chosen], "doc_id long")
+    place = {k: i for i, k in enumerate(chosen)}
+    # at most EXAMPLE_CHARS characters of each label
+    examples = [(r["doc_id"], r["toxic"], Counter(terms(r["text"]))) for r in sorted(texts.join(F.broadcast(keep), "doc_id").collect(), key=lambda r: place[r["doc_id"]])]
+    shown = Counter(e[1] for e in examples)
+    if not shown[0] or not shown[1]:
         return None
-
-    def select(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            keep = [telling(t, n - t, n_toxic, n_clean) for t, n in zip(batch.column("toxic").to_pylist(), batch.column("n").to_pylist(), strict=True)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    vocabulary = {r["term"]: (r["toxic"], r["n"] - r["toxic"]) for r in counted.mapInArrow(select, counted.schema).collect()}  # those that tell the labels apart
-    known = set(vocabulary)
+    names = sorted({t for _, _, counts in examples for t in counts})
+    shared = spark.sparkContext.broadcast({t: i for i, t in enumerate(names)})
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(it, 200):
-            maps = [list(Counter(t for t in terms(text) if t in known).items()) for text in text_list(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(maps, pa.map_(pa.string(), pa.int32()))], ["doc_id", "toxic", "counts"])
+        """Documents that hold each of the examples' terms, in this partition."""
+        held, get = np.zeros(len(shared.value) + 1, np.int64), shared.value.get
+        for batch in batches(it):
+            for text in text_list(batch.column(0)):
+                mine = set(map(get, set(terms(text))))
+                mine.discard(None)
+                held[np.fromiter(mine, np.int64, len(mine))] += 1
+        some = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(held[some])], ["term", "n"])
 
-    examples = [(r["doc_id"], r["toxic"], r["counts"]) for r in rows.mapInArrow(count, "doc_id long, toxic int, counts map<string,int>").collect()]
-    shown = Counter(e[1] for e in examples)
-    if not shown[0] or not shown[1]:
-        return None
-    return build(examples, vocabulary, (totals[0] / shown[0], totals[1] / shown[1]), n_clean + n_toxic)
+    # counted over all documents, aggregated before the shuffle
+    counted = docs.select("text").mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    documents = {names[r["term"]]: r["n"] for r in counted.collect()}  # the examples' terms
+    shared.unpersist()
+    return build(examples, documents, docs.count(), (totals[0] / shown[0], totals[1] / shown[1]), emphasis)
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, emphasis: float = EMPHASIS) -> DataFrame:
     """A row for each document: doc_id, held_out, score, predicted, and the nearest examples' ids."""
-    index = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, max_examples))
+    index = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, max_examples, emphasis))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(it):
-            found = [index.value.score(t) if index.value else (0.0, []) for t in text_list(batch.column("text"))]
+            texts = text_list(batch.column("text"))
+            found = index.value.scores(texts) if index.value else [(0.0, [])] * len(texts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array([s for s, _ in found], pa.float64()), pa.array([int(s >= 0.5) for s, _ in found], pa.int32()), pa.array([list(e) for _, e in found], pa.list_(pa.int64()))],
                 ["doc_id", "held_out", "score", "predicted", "nearest"],
@@ -255,12 +338,12 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, nearest array<long>")
 
 
-def toxicity_filter(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> DataFrame:
+def toxicity_filter(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, emphasis: float = EMPHASIS) -> DataFrame:
     """The documents that score below 0.5, with all their columns."""
-    index = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, max_examples))
+    index = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, max_examples, emphasis))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(it):
-            yield batch.filter(pa.array([not index.value or index.value.score(t)[0] < 0.5 for t in text_list(batch.column("text"))], pa.bool_()))
+            yield batch.filter(pa.array([s < 0.5 for s, _ in index.value.scores(text_list(batch.column("text")))], pa.bool_())) if index.value else batch
 
     return docs.mapInArrow(run, docs.schema)

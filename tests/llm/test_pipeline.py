@@ -18,7 +18,7 @@ def test_stages_by_brute_force(spark, sf):
         steps[name] = {r.doc_id: r for r in docs.collect()}
     assert set(steps["quality rules"]) == good
     index = toxicity.fit(corpus_pipeline.quality(spark, table(spark, sf, "documents"), sf), labels)
-    calm = {i for i in good if index is None or index.score(rows[i].text)[0] < 0.5}
+    calm = {i for i in good if index is None or index.scores([rows[i].text])[0][0] < 0.5}
     assert set(steps["toxicity"]) == calm
     sets = {i: frozenset(tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))) for i in calm if (w := rows[i].text.encode().lower().split())}
     home = {i: i for i in calm}
