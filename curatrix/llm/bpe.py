@@ -11,13 +11,14 @@ from __future__ import annotations
 
 import os
 import re
+from collections import Counter
 
 import numpy as np
 
 OTHER_SPACE = re.compile(r"[^\S \n]")
 
-#: Words remembered by each Python worker; beyond it new words are encoded again when they recur.
-MEMO_WORDS = 800_000
+#: Words remembered by each Python worker, some 250 bytes each; beyond it new words are encoded again when they recur.
+MEMO_WORDS = 100_000
 
 _encoders: dict[tuple[str, int], "WordMemoEncoder"] = {}
 
@@ -79,7 +80,7 @@ class WordMemoEncoder:
         split = [t.replace("\n", " \n").split(" ") for t in texts]
         parts = [list(map(get, words)) for words in split]
         gaps: list[list[int]] = []
-        missing: set[str] = set()
+        missing: Counter[str] = Counter()
         for words, ids in zip(split, parts, strict=True):
             at: list[int] = []
             if None in ids:
@@ -90,8 +91,9 @@ class WordMemoEncoder:
                 missing.update([words[i] for i in at])
             gaps.append(at)
         new = self._learn(list(missing)) if missing else {}
-        if len(self.memo) + len(new) <= self.memo_words:
-            self.memo.update((w, ids) for w, ids in new.items() if ids is not None)
+        # most words are met once only: those that recur within a batch are worth remembering
+        again = [w for w, n in missing.items() if n > 1]
+        self.memo.update((w, ids) for w in again[: self.memo_words - len(self.memo)] if (ids := new[w]) is not None)
         out = []
         for text, words, ids, at in zip(texts, split, parts, gaps, strict=True):
             for i in at:
@@ -115,3 +117,10 @@ def encoder(path: str, memo_words: int = MEMO_WORDS) -> WordMemoEncoder:
     if (path, memo_words) not in _encoders:
         _encoders[path, memo_words] = WordMemoEncoder(path, memo_words, added=True)
     return _encoders[path, memo_words]
+
+
+def encoder_size(path: str) -> int:
+    """Ids of this vocabulary, from its file alone."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path).get_vocab_size()

@@ -34,6 +34,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_CONF, None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError(f"{CHECKPOINT_CONF} has to name a folder that driver and executors share")
     if _own_dir is None:
         _own_dir = tempfile.mkdtemp(prefix="curatrix-")
         atexit.register(shutil.rmtree, _own_dir, ignore_errors=True)
@@ -108,7 +110,7 @@ def release() -> None:
         pass
 
 
-def batches(it: Iterator[pa.RecordBatch], size: int = 500, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def batches(it: Iterator[pa.RecordBatch], size: int = 500, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Re-slice record batches to at most ``size`` rows and so many bytes (or one row)."""
     try:
         yield from _slices(it, size, most_bytes)

@@ -14,9 +14,11 @@ A segment is, little-endian::
 A file is segments, each behind its length (u64) and in front of one newline byte; that byte lets
 Spark's own text writer, with its commit protocol, put binary files on any file system, and
 ``binaryFile`` read them.  Files follow one another in name order, documents in ascending id order.
+Ranges of ids are found on the ids alone, texts are encoded where they are read, and only ids are
+shuffled, two bytes each where the vocabulary allows it.
 
 Defined results: null text is the empty text (only the end id); null doc_id sorts first; rows with
-equal doc_id are ordered by a hash of their text; other columns of the input are ignored; an empty
+equal doc_id are ordered by the checksum of their ids; other columns of the input are ignored; an empty
 table gives no documents.
 """
 
@@ -31,14 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import encoder
+from .bpe import encoder, encoder_size
 from .common import batches, crc_u32, scratch, shuffle_partitions, stored, text_list
 
 MAGIC = b"DAC1"
 CHUNK_BITS = 8
 BLOCK_BITS = 512
-#: A segment is closed at this many tokens, which bounds a task's memory.
+#: A segment is closed at this many tokens, which bounds a task's memory; a file holds so many segments.
 SEGMENT_TOKENS = 1 << 20
+FILE_SEGMENTS = 64
 
 
 def pack_segment(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
@@ -137,8 +140,31 @@ def read_segments(content: bytes | memoryview) -> Iterator[Segment]:
 def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode whole texts, end each with ``end_id``, write the files to ``path`` in ascending id order."""
 
+    rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
+    wide = encoder_size(vocabulary) > 1 << 16 or end_id >= 1 << 16
+    parts = shuffle_partitions(docs.sparkSession)
+    # ranges of ids by a pass over the ids alone; ranges for null ids are as many as their share asks for
+    cuts = [i / parts for i in range(1, parts)] or [0.5]
+    seen = rows.agg(F.count("*").alias("n"), F.count("key").alias("some"), F.percentile_approx("key", cuts, max(10_000, 20 * parts)).alias("cuts")).first()
+    spare = -(-parts * (seen["n"] - seen["some"]) // max(1, seen["n"]))
+    bounds = np.array(seen["cuts"] or [], np.int64)
+
     def encode(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(vocabulary), np.array([end_id], "<u4").tobytes()
+        for batch in batches(it, 500, 2 << 20):
+            keys, found, at, crcs = batch.column(0), [], [], []
+            lows = np.searchsorted(bounds, keys.fill_null(0).to_numpy(), "left") + spare
+            highs = np.searchsorted(bounds, keys.fill_null(0).to_numpy(), "right") + spare
+            for raw, lo, hi, null in zip(enc.encode(text_list(batch.column(1))), lows.tolist(), highs.tolist(), keys.is_null().to_pylist(), strict=True):
+                ids = np.frombuffer(raw + end, "<u4")
+                crc = crc_u32(ids)
+                lo, hi = (0, max(0, spare - 1)) if null else (lo, hi)
+                at.append(lo + (crc * (hi - lo + 1) >> 32))  # an id that fills several ranges is spread in the order of checksums
+                crcs.append(crc)
+                found.append(raw + end if wide else ids.astype("<u2").tobytes())
+            yield pa.RecordBatch.from_arrays([keys, pa.array(at, pa.int32()), pa.array(crcs, pa.int64()), pa.array(found, pa.binary())], ["key", "at", "crc", "ids"])
+
+    def segments(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list = []
         held: list[np.ndarray] = []
         n = 0
@@ -147,22 +173,21 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int,
             body = pack_segment(keys, held)
             return pa.RecordBatch.from_arrays([pa.array([struct.pack("<Q", len(body)) + body], pa.binary())], ["segment"])
 
-        for batch in batches(it, 2000, 8 << 20):
-            ids = [np.frombuffer(raw + end, "<u4") for raw in enc.encode(text_list(batch.column(1)))]
-            for key, x in zip(batch.column(0).to_pylist(), ids, strict=True):
+        for batch in batches(it, 500, 2 << 20):
+            for key, raw in zip(batch.column("key").to_pylist(), batch.column("ids").to_pylist(), strict=True):
                 keys.append(key)
-                held.append(x)
-                n += len(x)
+                held.append(np.frombuffer(raw, "<u4" if wide else "<u2"))
+                n += len(held[-1])
                 if n >= SEGMENT_TOKENS:
                     yield flush()
                     keys, held, n = [], [], 0
         if keys:
             yield flush()
 
-    rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
-    order = [F.col("key").asc_nulls_first(), F.xxhash64("text").asc()]
-    segments = rows.repartitionByRange(shuffle_partitions(docs.sparkSession), *order).sortWithinPartitions(*order).mapInArrow(encode, "segment binary")
-    segments.select(F.col("segment").cast("string").alias("value")).write.text(path)
+    encoded = rows.mapInArrow(encode, "key long, at int, crc long, ids binary")
+    order = [F.col("key").asc_nulls_first(), F.col("crc").asc()]
+    packed = encoded.repartitionById(parts + spare + 1, F.col("at")).sortWithinPartitions(*order).mapInArrow(segments, "segment binary")
+    packed.select(F.col("segment").cast("string").alias("value")).write.option("maxRecordsPerFile", FILE_SEGMENTS).text(path)
 
 
 def read_token_files(spark, path: str) -> DataFrame:
@@ -170,14 +195,15 @@ def read_token_files(spark, path: str) -> DataFrame:
 
     def decode(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(it, 1):
-            file = int(re.search(r"part-(\d+)", batch.column(0)[0].as_py())[1])
+            part, more = re.search(r"part-(\d+).*?(?:-c(\d+))?\.[^/]*$", batch.column(0)[0].as_py()).groups()
+            file = int(part) << 24 | int(more or 0)
             start = place = 0
             for seg in read_segments(batch.column(1)[0].as_buffer()):
                 ids, bounds = seg.tokens(0, seg.n_tokens), seg.starts.astype(np.int64)
                 n = seg.n_docs
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(n, file, np.int32)),
+                        pa.array(np.full(n, file, np.int64)),
                         pa.array(np.arange(place, place + n, dtype=np.int64)),
                         pa.array(seg.doc_ids.astype(np.int64), mask=seg.null_ids.astype(bool)),
                         pa.array(start + bounds[:-1]),
@@ -190,7 +216,7 @@ def read_token_files(spark, path: str) -> DataFrame:
                 place += n
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(decode, "file int, place long, doc_id long, file_start long, n_tokens long, ids_crc32 long")
+    return files.mapInArrow(decode, "file long, place long, doc_id long, file_start long, n_tokens long, ids_crc32 long")
 
 
 def token_output(docs: DataFrame, vocabulary: str, end_id: int = 0, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -208,5 +234,5 @@ def token_output(docs: DataFrame, vocabulary: str, end_id: int = 0, path: str |
     for file, size in sizes:
         before.append((file, n))
         n += size
-    bases = spark.createDataFrame(before, "file int, base long")
+    bases = spark.createDataFrame(before, "file long, base long")
     return found.join(F.broadcast(bases), "file").select("doc_id", (F.col("base") + F.col("file_start")).alias("start"), "n_tokens", "ids_crc32", "file", "place")

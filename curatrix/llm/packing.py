@@ -116,7 +116,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, i
 
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(vocabulary, memo_words), np.array([end_id], "<u4").tobytes()
-        for batch in batches(it, 2000, 8 << 20):
+        for batch in batches(it, 500, 2 << 20):
             out: list[list] = [[], [], [], [], []]
             for key, raw in zip(batch.column(0).to_pylist(), enc.encode(text_list(batch.column(1))), strict=True):
                 ids = np.frombuffer(raw + end, "<u4")
