@@ -3,6 +3,11 @@
 Quality rules and toxicity drop documents, near-duplicates keep the smallest doc_id of each group,
 personal data is masked, and what is left is packed into training sequences.  Each stage is written
 as Parquet and read again by the next.
+
+Defined results of the stages: null and empty texts have no words and fail the quality rules, as short texts
+do; a null doc_id has no label, links with nothing and stays; repeated rows are judged alike and, of equal
+texts, the smallest doc_id stays; very long texts are read whole; columns of other names pass through the first
+four stages; an empty table gives an empty one of the same columns.
 """
 
 from __future__ import annotations
@@ -43,7 +48,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Workers that other stages use as well keep a small memo of words.
     """
-    return pack_documents(docs, BYTE_BPE, end_id=2, capacity=1024, memo_words=200_000)
+    return pack_documents(docs, BYTE_BPE, end_id=2, capacity=1024, memo_words=50_000)
 
 
 STAGES = [
