@@ -1,21 +1,24 @@
 """Operator 10, quality rules with risk-controlled thresholds.
 
 Each rule is a ratio of a document's counts, put into one of ``GRID`` + 1 buckets; a cutoff rejects
-buckets from it upward.  Labelled documents that pass the fixed base rules are the holdout.  For a
-stratum and rule, a cutoff is certified when the exact binomial (Clopper-Pearson) upper bound on its
-rate of rejected good documents is at most ``risk`` / number of rules, at confidence ``delta`` /
-(strata x rules): Bonferroni over strata and rules, and within each a fixed sequence of tests from
-the loosest cutoff to the tightest that ends at the first failure, which needs no further
-correction.  With probability 1 - ``delta`` at least, no stratum's rules together then reject more
-than ``risk`` of good documents.  Of the certified cutoffs the one with most rejected bad documents
-less ``PRICE`` times the good ones is taken, the loosest of equals; one that gains nothing so is not
-used.  Only the histogram goes to the driver: strata x rules x buckets x 2 counts at most.
+buckets from it upward.  Labelled documents that pass the fixed base rules are dealt in two halves by a
+hash of their id.  In each stratum the first half lays down a path: step after step one rule's cutoff
+is lowered, always where it rejects most bad documents for the good ones it costs, so each step rejects
+all that the steps before it do.  The second half is the holdout: a step is certified when the exact
+binomial (Clopper-Pearson) upper bound on the rate of good documents that its rules *together* reject is
+at most ``risk``.  Steps are tested in the order of the path until the first failure, which needs no
+correction within a stratum; strata share ``delta`` by Holm's method, a stratum whose whole path is
+certified passing its share on.  With probability 1 - ``delta`` at least, in no stratum more than
+``risk`` of good documents are rejected.  Of the certified steps the one with most rejected bad
+documents less ``PRICE`` times the good ones in the holdout is taken, the earliest of equals; none if
+none gains.  Only histograms go to the driver: strata x rules x buckets x 2 counts, and strata x steps
+x 2, at most.
 
 Defined results: null or empty text has no words and fails the base; a null or unlisted language
 belongs to stratum "other"; documents without label, with null label or null doc_id take no part in
 the fit; of several labels of one doc_id the lowest quality counts; no labels: only the base
 rejects; repeated rows are judged alike; other columns are kept by :func:`quality_filter` and
-ignored by :func:`quality_report`.
+ignored by :func:`quality_report`; very long texts are measured whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,8 +30,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import batches, stored, text_list
 
@@ -38,8 +42,8 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Rules: what is counted, for each word or line, on a scale from 0 to 1.
 RULES = ("repeated words", "symbols", "repeated lines", "capital words", "commonest word", "long words")
 GRID = 100
-#: Bad documents that one rejected good document must pay for.
-PRICE = 10
+#: Bad documents that a rejected good one must be worth, and that a step of a path must reject at least.
+PRICE, LEAST = 10, 3
 STRATA = ("en", "de", "fr", "es")
 
 
@@ -107,26 +111,65 @@ def certified(rejected: int, good: int, risk: float, delta: float) -> bool:
     return good > 0 and rejected < risk * good and binomial_cdf(rejected, good, risk) <= delta
 
 
-def choose(histogram: dict[tuple[str, int, int, int], int], risk: float, delta: float) -> Thresholds:
-    """Cutoffs from counts of (stratum, rule, bucket, quality)."""
-    tests = (len(STRATA) + 1) * len(RULES)
+def path(histogram: dict[tuple[int, int, int], int]) -> list[tuple[int, int]]:
+    """Steps (rule, cutoff) that lower cutoffs, from counts of (rule, bucket, quality) of one stratum.
+
+    Each takes the rule and cutoff with most bad documents for each good one (and a half) between the
+    new cutoff and the last.
+    """
+    count = [[[histogram.get((rule, b, q), 0) for b in range(GRID + 1)] for q in (0, 1)] for rule in range(len(RULES))]
+    cutoffs, out = [GRID + 1] * len(RULES), []
+    while True:
+        best = None
+        for rule, (bad, good) in enumerate(count):
+            n_bad = n_good = 0
+            for cut in range(cutoffs[rule] - 1, 0, -1):
+                n_bad += bad[cut]
+                n_good += good[cut]
+                if n_bad >= LEAST and n_bad > PRICE * n_good and bad[cut]:
+                    rank = (n_bad / (n_good + 0.5), -rule, cut)
+                    if best is None or rank > best[0]:
+                        best = (rank, rule, cut)
+        if best is None:
+            return out
+        _, rule, cut = best
+        cutoffs[rule] = cut
+        out.append((rule, cut))
+
+
+def steps_of(steps: list[tuple[int, int]]) -> list[list[int]]:
+    """For each rule and bucket the first step that rejects it; the number of steps if none does."""
+    table = [[len(steps)] * (GRID + 1) for _ in RULES]
+    for i, (rule, cut) in reversed(list(enumerate(steps))):
+        table[rule][cut:] = [i] * (GRID + 1 - cut)
+    return table
+
+
+def choose(paths: dict[str, list[tuple[int, int]]], counts: dict[tuple[str, int, int], int], risk: float, delta: float) -> Thresholds:
+    """Cutoffs from each stratum's path and the holdout's counts of (stratum, first rejecting step, quality)."""
+    open_paths = {s for s, steps in paths.items() if steps}
+    passed = dict.fromkeys(paths, 0)
+    rejected, good = {}, {}
+    for s, steps in paths.items():
+        rejected[s] = [[sum(counts.get((s, j, q), 0) for j in range(i + 1)) for i in range(len(steps))] for q in (0, 1)]
+        good[s] = sum(counts.get((s, j, 1), 0) for j in range(len(steps) + 1))
+    while open_paths:
+        share = delta / len(open_paths)
+        for s in open_paths:
+            while passed[s] < len(paths[s]) and certified(rejected[s][1][passed[s]], good[s], risk, share):
+                passed[s] += 1
+        done = {s for s in open_paths if passed[s] == len(paths[s])}
+        if not done:
+            break
+        open_paths -= done
     cutoffs, report = {}, []
-    for stratum in (*STRATA, "other"):
-        for rule in range(len(RULES)):
-            count = [[histogram.get((stratum, rule, b, q), 0) for b in range(GRID + 1)] for q in (0, 1)]
-            good, best = sum(count[1]), (0, 0)
-            bad_above = good_above = 0
-            for cut in range(GRID, 0, -1):
-                bad_above += count[0][cut]
-                good_above += count[1][cut]
-                if not certified(good_above, good, risk / len(RULES), delta / tests):
-                    break
-                if bad_above - PRICE * good_above > best[0]:
-                    best = (bad_above - PRICE * good_above, cut)
-                    told = (stratum, RULES[rule], cut / GRID, good_above, good, bad_above, sum(count[0]))
-            if best[1]:
-                cutoffs[(stratum, rule)] = best[1]
-                report.append(told)
+    for s, steps in paths.items():
+        gains = [rejected[s][0][i] - PRICE * rejected[s][1][i] for i in range(passed[s])]
+        if gains and max(gains) > 0:
+            last = gains.index(max(gains))
+            for rule, cut in steps[: last + 1]:
+                cutoffs[(s, rule)] = cut
+            report.append((s, last + 1, len(steps), rejected[s][1][last], good[s], rejected[s][0][last]))
     return Thresholds(cutoffs, tuple(report))
 
 
@@ -151,31 +194,51 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 def fit(stats: DataFrame, labels: DataFrame, risk: float = 0.05, delta: float = 0.05) -> Thresholds:
     """Risk-controlled thresholds from labelled documents' stats."""
     marks = labels.where("doc_id is not null and quality in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
-    held = stats.where(~F.col("base_failed")).select("doc_id", "stratum", "buckets").join(marks, "doc_id")
-    rows = held.select("stratum", "quality", F.posexplode("buckets").alias("rule", "bucket")).groupBy("stratum", "rule", "bucket", "quality").count().collect()
-    return choose({(r["stratum"], r["rule"], r["bucket"], r["quality"]): r["count"] for r in rows}, risk, delta)
+    # the holdout is told by the id; the stats of labelled documents are written, as both halves need them
+    half = (F.pmod(F.xxhash64("doc_id", F.lit("holdout")), F.lit(2)) == 1).alias("holdout")
+    held = stored(stats.where(~F.col("base_failed")).select("doc_id", "stratum", "buckets").join(marks, "doc_id").select("stratum", "quality", "buckets", half), "labelled-quality")
+    rows = held.where("not holdout").select("stratum", "quality", F.posexplode("buckets").alias("rule", "bucket")).groupBy("stratum", "rule", "bucket", "quality").count().collect()
+    paths = {s: path({(r["rule"], r["bucket"], r["quality"]): r["count"] for r in rows if r["stratum"] == s}) for s in (*STRATA, "other")}
+    step = F.lit(None).cast("int")
+    for s, steps in paths.items():
+        if steps:
+            firsts = [F.array(*[F.lit(x) for x in table])[F.col("buckets")[rule]] for rule, table in enumerate(steps_of(steps))]
+            step = F.when(F.col("stratum") == s, F.least(*firsts)).otherwise(step)
+    counted = held.where("holdout").select("stratum", step.alias("step"), "quality").where("step is not null").groupBy("stratum", "step", "quality").count().collect()
+    return choose(paths, {(r["stratum"], r["step"], r["quality"]): r["count"] for r in counted}, risk, delta)
+
+
+def rejected(limits: Thresholds, stratum: str = "stratum", buckets: str = "buckets") -> Column:
+    """The verdict of the cutoffs."""
+    out = F.lit(False)
+    for (s, rule), cut in limits.cutoffs.items():
+        out = out | ((F.col(stratum) == s) & (F.col(buckets)[rule] >= cut))
+    return out
 
 
 def quality_report(docs: DataFrame, labels: DataFrame, risk: float = 0.05, delta: float = 0.05) -> DataFrame:
     """A row for each document: its counts, whether the base fails it, and the verdict."""
     stats = stored(measured(docs), "quality")
     limits = fit(stats, labels, risk, delta)
-    reject = F.lit(False)
-    for (stratum, rule), cut in limits.cutoffs.items():
-        reject = reject | ((F.col("stratum") == stratum) & (F.col("buckets")[rule] >= cut))
-    return stats.select("doc_id", *COUNTS, "base_failed", (~F.col("base_failed") & ~reject).alias("kept"))
+    return stats.select("doc_id", *COUNTS, "base_failed", (~F.col("base_failed") & ~rejected(limits)).alias("kept"))
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, risk: float = 0.05, delta: float = 0.05) -> DataFrame:
-    """The documents that are kept, with all their columns."""
-    limits = fit(measured(docs), labels, risk, delta)
+    """The documents that are kept, with all their columns.
+
+    Texts are measured once: those that the base lets through are written with their buckets.
+    """
+    extra = "__curatrix_quality"
+    kind = T.StructType([T.StructField("stratum", T.StringType()), T.StructField("buckets", T.ArrayType(T.IntegerType()))])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(it):
-            keep = []
-            for text, lang in zip(text_list(batch.column("text")), batch.column("lang").to_pylist(), strict=True):
-                counts, buckets = measure(text)
-                keep.append(not base_failed(counts) and not limits.rejects(stratum_of(lang), buckets))
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            found = [measure(t) for t in text_list(batch.column("text"))]
+            marks = [{"stratum": stratum_of(x), "buckets": b} for x, (_, b) in zip(batch.column("lang").to_pylist(), found, strict=True)]
+            wide = pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks, pa.struct([("stratum", pa.string()), ("buckets", pa.list_(pa.int32()))]))], [*batch.schema.names, extra])
+            yield wide.filter(pa.array([not base_failed(counts) for counts, _ in found], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    passed = stored(docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(extra, kind)])), "quality")
+    stats = passed.select(F.col("doc_id").cast("long").alias("doc_id"), f"{extra}.stratum", f"{extra}.buckets", F.lit(False).alias("base_failed"))
+    limits = fit(stats, labels, risk, delta)
+    return passed.where(~rejected(limits, f"{extra}.stratum", f"{extra}.buckets")).select(*docs.columns)

@@ -42,10 +42,48 @@ def test_certificates_hold_under_the_worst_case():
     assert wrong / 2000 < 0.05
 
 
-def test_choose_rejects_bad_and_spares_good():
-    h = {("en", 1, 2, 1): 5000, ("en", 1, 60, 0): 80, ("en", 1, 61, 1): 1, ("de", 1, 2, 1): 100, ("de", 1, 60, 0): 80}
-    limits = quality.choose(h, 0.05, 0.05)
-    assert limits.cutoffs == {("en", 1): 60}  # 79 bad for the price of one good; de has too few labels
+def test_path_lowers_the_cutoffs_that_pay():
+    h = {(1, 2, 1): 5000, (1, 60, 0): 80, (1, 61, 1): 1, (2, 90, 0): 50, (4, 30, 0): 2, (5, 30, 0): 90, (5, 30, 1): 20}
+    steps = quality.path(h)
+    assert steps == [(2, 90), (1, 60)]  # 4 has too few bad documents, 5 costs too many good ones
+    table = quality.steps_of(steps)
+    assert table[1][59:62] == [2, 1, 1] and table[2][89:91] == [2, 0] and table[0] == [2] * 101
+
+
+def test_choose_certifies_rules_jointly():
+    paths = {"en": [(2, 90), (1, 60)], "de": [(1, 50)], "fr": [], "es": [(1, 5)], "other": []}
+    # en: both steps hold; de: 90 good documents, none rejected, suffice at a third of delta; es: the step rejects too many
+    counts = {("en", 0, 0): 50, ("en", 1, 0): 60, ("en", 1, 1): 2, ("en", 2, 1): 1000, ("de", 0, 0): 9, ("de", 1, 1): 90, ("es", 0, 0): 500, ("es", 0, 1): 40, ("es", 1, 1): 400}
+    limits = quality.choose(paths, counts, 0.05, 0.05)
+    assert limits.cutoffs == {("en", 2): 90, ("en", 1): 60, ("de", 1): 50}
+    assert quality.choose(paths, counts | {("de", 1, 1): 40}, 0.05, 0.05).cutoffs == {("en", 2): 90, ("en", 1): 60}
+
+
+def test_joint_false_rejections_stay_below_the_risk():
+    # three rules that each reject 2.5% of good documents: together above 5%, certified at most delta of the time
+    rnd, wrong = np.random.default_rng(0), 0
+    for _ in range(1000):
+        first = np.where(rnd.random((600, 3)) < 0.025, np.arange(3), 3).min(axis=1)
+        counts = {("en", int(k), 1): int(n) for k, n in zip(*np.unique(first, return_counts=True), strict=True)} | {("en", k, 0): 200 for k in range(3)}
+        wrong += len(quality.choose({"en": [(0, 50), (1, 50), (2, 50)]}, counts, 0.05, 0.05).cutoffs) == 3
+    assert wrong / 1000 < 0.05
+
+
+def test_cutoffs_by_brute_force(spark, sf):
+    d = sf.replace("0.001", "0.1")
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    limits = quality.fit(quality.measured(docs), labels)
+    assert {s for s, _ in limits.cutoffs} == set(quality.STRATA)
+    rows = {r.doc_id: r for r in docs.collect()}
+    kept = {r.doc_id: r.kept for r in quality.quality_report(docs, labels).collect()}
+    for i, r in rows.items():
+        counts, buckets = quality.measure(r.text)
+        assert kept[i] == (not quality.base_failed(counts) and not any((r.lang, k) in limits.cutoffs and b >= limits.cutoffs[r.lang, k] for k, b in enumerate(buckets)))
+    assert {r.doc_id for r in quality.quality_filter(docs, labels).select("doc_id").collect()} == {i for i, k in kept.items() if k}
+    good = [r for r in labels.where("quality = 1").collect() if not quality.base_failed(quality.measure(rows[r.doc_id].text)[0])]
+    for lang in quality.STRATA:
+        own = [kept[r.doc_id] for r in good if rows[r.doc_id].lang == lang]
+        assert own.count(False) <= 0.05 * len(own)
 
 
 def test_quality_frames(odd, spark):
