@@ -240,7 +240,7 @@ def _common_shingles(docs: DataFrame, total: int, width: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64))], ["shingle"])
 
     # equal texts count once: what only copies share is no common passage
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, total))) < SAMPLE_DOCS).select("text").distinct()
+    sample = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, total))) < SAMPLE_DOCS).select("text").distinct()
     counted = sample.mapInArrow(sets, "shingle long").groupBy("shingle").count().where(F.col("count") >= COMMON_IN_SAMPLE)
     return np.sort(np.array([r["shingle"] for r in counted.select("shingle").collect()], np.int64).view(U64))
 
@@ -284,7 +284,7 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4,
     total = sets.count()
     usable = sets.where("doc_id is not null and n_shingles > 0")
     classes = stored(usable.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "set-classes")
-    hot = {r["f1"]: r["rep"] for r in classes.where(F.col("n") * HOT_SHARE > total).select("f1", "rep").collect()}
+    hot = {(r["f1"], r["f2"]): r["rep"] for r in classes.where(F.col("n") * HOT_SHARE > total).select("f1", "f2", "rep").collect()}
     common = spark.sparkContext.broadcast(_common_shingles(rows, total, width))
     buckets = shuffle_partitions(spark)
 
@@ -292,17 +292,18 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4,
         """Signatures of a batch, packed by bucket: set fingerprints, signatures of each, signatures."""
         for batch in batches(it):
             values, at = shingle_sets(batch.column(1), width)
-            f1, _ = fingerprints(values, at)
+            f1, f2 = fingerprints(values, at)
             size = np.diff(at)
             wanted = (size > 0) & ~np.asarray(batch.column(0).is_null())
+            both = list(zip(f1.tolist(), f2.tolist(), strict=True))
             if hot:
-                wanted &= np.array([hot.get(f, d) == d for f, d in zip(f1.tolist(), batch.column(0).to_pylist(), strict=True)], bool)
-            _, first = np.unique(f1, return_index=True)  # copies in one batch emit once
-            once = np.zeros(len(f1), bool)
-            once[first] = True
-            # of equal sets in one batch the wanted one may not be the first
-            wanted_f = np.unique(f1[wanted])
-            wanted = once & np.isin(f1, wanted_f) & (size > 0)
+                wanted &= np.array([hot.get(f, d) == d for f, d in zip(both, batch.column(0).to_pylist(), strict=True)], bool)
+            # copies in one batch emit once
+            first: dict[tuple[int, int], int] = {}
+            for i in np.flatnonzero(wanted).tolist():
+                first.setdefault(both[i], i)
+            wanted = np.zeros(len(size), bool)
+            wanted[list(first.values())] = True
             owner = np.repeat(np.arange(len(size)), size)
             keep = wanted[owner]
             sig, ref = signatures(values[keep], owner[keep], np.where(wanted, size, 0), common.value, num, den)
@@ -371,9 +372,10 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4,
     met = stored(packed.mapInArrow(meet, "u long, v long, star boolean"), "met")
     pairs = met.where("not star").select("u", "v").distinct()
     asked = pairs.select(F.explode(F.array("u", "v")).alias("f1")).distinct().join(classes.select("f1", "f2", "rep"), "f1")
-    known = stored(asked.join(sets.select(F.col("doc_id").alias("rep"), "f1", "f2", "sketch", "n_shingles"), ["rep", "f1", "f2"]).select("f1", "sketch", "n_shingles").dropDuplicates(["f1"]), "sketches")
+    known = stored(asked.join(sets.select(F.col("doc_id").alias("rep"), "f1", "f2", "sketch", "n_shingles"), ["rep", "f1", "f2"]).dropDuplicates(["f1", "f2"]).select("f1", "sketch", "n_shingles"), "sketches")
     side = lambda k: known.select(F.col("f1").alias(k), F.col("sketch").alias(f"{k}_sketch"), F.col("n_shingles").alias(f"{k}_size"))
     close = pairs.join(side("u"), "u").join(side("v"), "v").mapInArrow(allowed, "u long, v long")
+    # of two sets with one f1 either may allow the pair; both come along with it
     edges = close.unionByName(met.where("star").select("u", "v"))
     reach = connected_components(edges, "candidates")
     # v is a component's smallest set, which has no row of its own
