@@ -2,12 +2,16 @@
 
 Equal vectors of a label are one class (its smallest id stands for it, its size is its weight), so a
 hot vector costs one row.  A class's signs towards ``bits`` fixed hyperplanes are its code in a
-table; classes of one label that share a code in any of several tables are compared exactly, by
-cosine in double precision.  ``bits`` follows the number of classes, and the number of tables
-follows from the recall asked for at the threshold itself (pairs above it are found more often).
-A pair that meets in several tables counts in the first one only.  Buckets above ``BLOCK`` rows are
-compared in pairs of blocks by separate tasks.  No pairs leave a task: a bucket gives each member
-its number of links and a local component, and components are joined up over the cluster.
+table, all its codes together its sketch.  ``bits`` follows the number of classes, and the number of
+tables follows from the recall asked for at the threshold itself (pairs above it are found more often).
+
+Sketches, not vectors, travel to the buckets of all tables.  In a bucket of one label and code, two
+sketches that differ in more bits than MARGIN standard deviations above what the threshold lets expect
+are no candidates, and a pair that met in an earlier table was dealt with there.  Only classes with a
+candidate left in a bucket come again with their vectors, and are compared by cosine in double precision.
+Buckets above ``BLOCK`` rows are compared in pairs of blocks by separate tasks.  No pairs leave a task: a
+bucket gives each member its number of links and a local component, and components are joined up over
+the cluster.
 
 Defined results: a vector that is null, empty, zero, or holds a null or non-finite component, and
 any vector whose label is null, has no links and is its own component; vectors of different length
@@ -32,6 +36,8 @@ from .components import connected_components
 BLOCK = 4096
 #: Classes that a bucket of random vectors should hold, about.
 BUCKET = 64
+#: Standard deviations of a sketch's differing bits that a pair at the threshold may lie above the mean.
+MARGIN = 4.5
 
 
 def tables_for(threshold: float, bits: int, recall: float) -> int:
@@ -47,6 +53,67 @@ def sign_codes(vectors: np.ndarray, bits: int, tables: int, seed: int) -> np.nda
     return signs @ (1 << np.arange(bits, dtype=np.int64))
 
 
+def packed_codes(codes: np.ndarray, bits: int) -> np.ndarray:
+    """Codes (rows x tables) as rows of bytes."""
+    return np.packbits(codes[:, :, None] >> np.arange(bits) & 1, axis=2, bitorder="little").reshape(len(codes), -1)
+
+
+def unpacked_codes(sketches: np.ndarray, tables: int) -> np.ndarray:
+    per = sketches.shape[1] // tables
+    return (sketches.reshape(len(sketches), tables, per).astype(np.int64) << (8 * np.arange(per))).sum(axis=2)
+
+
+def most_differing(threshold: float, bits: int) -> int:
+    """Bits in which sketches of a pair at the threshold differ, but for rare luck."""
+    p = math.acos(threshold) / math.pi
+    return math.floor(bits * p + MARGIN * math.sqrt(bits * p * (1 - p)))
+
+
+def has_candidate(sketches: np.ndarray, block: np.ndarray, within: bool, table: int, tables: int, most: int) -> np.ndarray:
+    """Which rows of a bucket have another that is near by sketch and was not met in an earlier table."""
+    n = len(sketches)
+    wide = np.zeros((n, -(-sketches.shape[1] // 8) * 8), np.uint8)
+    wide[:, : sketches.shape[1]] = sketches
+    words, codes = wide.view(np.uint64), unpacked_codes(sketches, tables)[:, :table]
+    found = np.zeros(n, bool)
+    step = max(1, (1 << 20) // n)
+    for lo in range(0, n, step):
+        apart = np.zeros((min(step, n - lo), n), np.int64)
+        for w in words.T:
+            apart += np.bitwise_count(w[lo : lo + step, None] ^ w)
+        i, j = np.nonzero(apart <= most)
+        i += lo
+        keep = (i < j) if within else (i < j) & (block[i] != block[j])
+        i, j = i[keep], j[keep]
+        for a in range(0, len(i), 1 << 18):
+            x, y = i[a : a + (1 << 18)], j[a : a + (1 << 18)]
+            fresh = ~(codes[x] == codes[y]).any(axis=1)
+            found[x[fresh]] = found[y[fresh]] = True
+    return found
+
+
+def grouped(it: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """Rows of equal keys, which follow one another, as one batch each."""
+    last, held = None, []
+    for batch in it:
+        marks = [batch.column(c).to_numpy(zero_copy_only=False) for c in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for m in marks:
+            change[1:] |= m[1:] != m[:-1]
+        starts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for lo, hi in zip(starts[:-1], starts[1:], strict=True):
+            if lo == hi:
+                continue
+            this = tuple(m[lo] for m in marks)
+            if this != last and held:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0] if len(held) > 1 else held[0]
+                held = []
+            last = this
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0] if len(held) > 1 else held[0]
+
+
 def unit(vectors: np.ndarray) -> np.ndarray:
     wide = vectors.astype(np.float64)
     wide /= np.abs(wide).max(axis=1, keepdims=True)  # squares of very small or large components stay in range
@@ -109,82 +176,70 @@ def near_duplicate_vectors(
         for whole in it:
             for lo in range(0, whole.num_rows, 1000):
                 batch = whole.slice(lo, 1000)
-                lists = batch.column("vector")
-                dims = np.diff(lists.offsets.to_numpy())
+                dims = np.diff(batch.column("vector").offsets.to_numpy())
                 for dim in np.unique(dims):
                     part = batch.filter(pa.array(dims == dim))
                     x = part.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
                     codes = sign_codes(unit(x), bits, tables, seed)
                     m = len(codes)
-                    again = np.repeat(np.arange(m), tables)
-                    out = part.take(pa.array(again))
-                    all_codes = pa.ListArray.from_arrays(np.arange(0, (m * tables + 1) * tables, tables, dtype=np.int32), pa.array(codes[again].ravel()))
+                    sketches = pa.array([row.tobytes() for row in packed_codes(codes, bits)], pa.binary())
+                    again = pa.array(np.repeat(np.arange(m), tables))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.tile(np.arange(tables, dtype=np.int32), m)), pa.array(np.full(m * tables, dim, np.int32)), out.column("label"), pa.array(codes.ravel()), out.column("id"), out.column("weight"), all_codes, out.column("vector")],
-                        ["t", "dim", "label", "code", "id", "weight", "codes", "vector"],
+                        [pa.array(np.tile(np.arange(tables, dtype=np.int32), m)), pa.array(np.full(m * tables, dim, np.int32)), part.column("label").take(again), pa.array(codes.ravel()), part.column("id").take(again), sketches.take(again)],
+                        ["t", "dim", "label", "code", "id", "sketch"],
                     )
 
     kinds = {f.name: f.dataType.simpleString() for f in classes.schema}
     key = ["t", "dim", "label", "code"]
-    schema = f"t int, dim int, label {kinds['label']}, code long, id long, weight long, codes array<long>, vector {kinds['vector']}"
-    entries = classes.select("id", "weight", "label", "vector").mapInArrow(hashed, schema)
+    entries = classes.select("id", "label", "vector").mapInArrow(hashed, f"t int, dim int, label {kinds['label']}, code long, id long, sketch binary")
     # Buckets too large for one comparison, with their number of blocks: at most entries / BLOCK rows.
     hot = stored(entries.groupBy(*key).count().where(F.col("count") > BLOCK).select(*key, F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "hot-buckets")
     if hot.count():
         blocked = entries.join(hot, key, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct(F.least("block", b).alias("a"), F.greatest("block", b).alias("b")))
-        entries = blocked.withColumn("pair", F.explode(pairs)).select(*key, F.col("pair.a").alias("a"), F.col("pair.b").alias("b"), "block", "id", "weight", "codes", "vector")
+        entries = blocked.withColumn("pair", F.explode(pairs)).select(*key, F.col("pair.a").alias("a"), F.col("pair.b").alias("b"), "block", "id", "sketch")
     else:
-        entries = entries.select(*key, F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(0).alias("block"), "id", "weight", "codes", "vector")
+        entries = entries.select(*key, F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(0).alias("block"), "id", "sketch")
+    order = [*key, "a", "b"]
+    most = most_differing(threshold, bits * tables)
+
+    def sketch_rows(group: pa.RecordBatch) -> np.ndarray:
+        return np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(group.num_rows, -1)
+
+    def near(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Members of buckets that have a candidate there."""
+        for group in grouped(it, tuple(order)):
+            if group.num_rows > 1:
+                keep = has_candidate(sketch_rows(group), group.column("block").to_numpy(), group.column("a")[0] == group.column("b")[0], group.column("t")[0].as_py(), tables, most)
+                if keep.any():
+                    yield group.filter(pa.array(keep))
 
     def buckets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = ("t", "dim", "label", "code", "a", "b")
-        held: list[pa.RecordBatch] = []
         out: list[list[np.ndarray]] = [[], [], []]
 
-        def solve(group: pa.RecordBatch) -> None:
-            if group.num_rows < 2:
-                return
-            ids, weights, block = (group.column(c).to_numpy() for c in ("id", "weight", "block"))
-            codes = group.column("codes").flatten().to_numpy().reshape(len(ids), tables)
-            x = group.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
-            links, local = compare(ids, weights, block, group.column("a")[0].as_py() == group.column("b")[0].as_py(), codes, group.column("t")[0].as_py(), x, threshold)
-            some = links > 0
-            if some.any():
-                for column, values in zip(out, (ids[some], links[some], local[some]), strict=True):
-                    column.append(values)
-
         def flush() -> pa.RecordBatch:
             columns = [pa.array(np.concatenate(c)) for c in out]
             for c in out:
                 c.clear()
             return pa.RecordBatch.from_arrays(columns, ["id", "links", "local"])
 
-        last = None
-        for batch in it:
-            marks = [batch.column(c).to_numpy(zero_copy_only=False) for c in keys]
-            change = np.zeros(batch.num_rows, bool)
-            for m in marks:
-                change[1:] |= m[1:] != m[:-1]
-            starts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
-            for lo, hi in zip(starts[:-1], starts[1:], strict=True):
-                if lo == hi:
-                    continue
-                this = tuple(m[lo] for m in marks)
-                if this != last and held:
-                    solve(pa.Table.from_batches(held).combine_chunks().to_batches()[0] if len(held) > 1 else held[0])
-                    held = []
-                last = this
-                held.append(batch.slice(lo, hi - lo))
+        for group in grouped(it, tuple(order)):
+            ids, weights, block = (group.column(c).to_numpy() for c in ("id", "weight", "block"))
+            x = group.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+            codes = unpacked_codes(sketch_rows(group), tables)
+            links, local = compare(ids, weights, block, group.column("a")[0] == group.column("b")[0], codes, group.column("t")[0].as_py(), x, threshold)
+            some = links > 0
+            if some.any():
+                for column, values in zip(out, (ids[some], links[some], local[some]), strict=True):
+                    column.append(values)
             if sum(map(len, out[0])) > 50_000:
                 yield flush()
-        if held:
-            solve(pa.Table.from_batches(held).combine_chunks().to_batches()[0] if len(held) > 1 else held[0])
         if out[0]:
             yield flush()
 
-    order = [*key, "a", "b"]
-    found = stored(entries.repartition(*order).sortWithinPartitions(*order).mapInArrow(buckets, "id long, links long, local long"), "vector-links")
+    candidates = stored(entries.repartition(*order).sortWithinPartitions(*order).mapInArrow(near, entries.schema), "vector-candidates")
+    with_vectors = candidates.join(classes.select("id", "weight", "vector"), "id")
+    found = stored(with_vectors.repartition(*order).sortWithinPartitions(*order).mapInArrow(buckets, "id long, links long, local long"), "vector-links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     reach = connected_components(found.where("id <> local").select(F.col("id").alias("u"), F.col("local").alias("v")), "vector-components")
     solved = (

@@ -188,6 +188,14 @@ def test_jaccard_classes(docs, odd, monkeypatch):
     assert partenum.jaccard_classes(odd.limit(0)).count() == 0 and partenum.distinct_documents(odd).columns == odd.columns
 
 
+def test_rows_without_ids_are_not_sampled_or_linked(docs, spark):
+    texts = [f"the same words stand here in row {i % 3} of the table" for i in range(30)]
+    df = docs(texts).selectExpr("CAST(NULL AS bigint) AS doc_id", "text")
+    out = partenum.jaccard_classes(df).collect()
+    assert len(out) == 30 and all(r.doc_id is None and r.component_id is None and r.n_shingles for r in out)
+    assert partenum.distinct_documents(df).count() == 30
+
+
 # --- vectors --------------------------------------------------------------------------------------
 
 
@@ -222,6 +230,19 @@ def test_vectors_by_brute_force(spark, monkeypatch):
     assert lsh.near_duplicate_vectors(df.limit(0)).count() == 0
 
 
+def test_sketches_hold_the_codes_and_bound_the_angle():
+    rnd = np.random.default_rng(3)
+    codes = rnd.integers(0, 1 << 11, (50, 7))
+    packed = lsh.packed_codes(codes, 11)
+    assert (lsh.unpacked_codes(packed, 7) == codes).all()
+    most = lsh.most_differing(0.93, 200)
+    x = lsh.unit(rnd.normal(size=(2000, 64)))
+    y = lsh.unit(x + rnd.normal(size=x.shape) * 0.048)
+    close = (x * y).sum(1) >= 0.93
+    apart = (lsh.sign_codes(x, 10, 20, 17) ^ lsh.sign_codes(y, 10, 20, 17))
+    assert close.sum() > 500 and (np.bitwise_count(apart).sum(1)[close] <= most).mean() > 0.999
+
+
 def test_recall_on_the_table(spark, sf):
     d = sf.replace("0.001", "0.1")
     df = spark.read.parquet(f"{d}/embeddings.parquet")
