@@ -20,7 +20,14 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 _own_dir: str | None = None
 
 
+#: Rows of the Arrow batches between Spark and Python, where the session has no bound of its own; texts may be long.
+ARROW_ROWS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(bound) == "10000":  # Spark's default
+        spark.conf.set(bound, str(ARROW_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
