@@ -281,9 +281,9 @@ def schema_align_union(spark, d):
     return union(align(a, target), align(b, target))
 
 
-@query("SELECT l_orderkey, l_quantity, l_extendedprice, l_discount FROM lineitem WHERE l_linenumber = 1")
+@query("SELECT l_orderkey, l_quantity, l_extendedprice, l_discount FROM lineitem")
 def column_slice(spark, d):
-    rows = table(spark, d, "lineitem").where("l_linenumber = 1")
+    rows = table(spark, d, "lineitem")
     return column_range(rows.select("l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"), "l_orderkey", "l_discount")
 
 
@@ -420,7 +420,7 @@ def verdict_parse_scope(spark, d):
 @query()
 def verdict_requests(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "source", "text")
-    return verdicts.requests(docs, "record_scope", "any-model", 512, "Decide whether the document is in scope.", "source", "text", "doc_id")
+    return verdicts.requests(docs, verdicts.scope_tool(), "any-model", 512, "Decide whether the document is in scope.", "source", "text", "doc_id")
 
 
 REVIEWED = """
