@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +18,8 @@ SCOPE_FIELDS = T.StructType(
         *[T.StructField(f, T.StringType()) for f in ("plant_based", "fermentation", "cultivated", "cross_cutting")],
     ]
 )
-LABEL_FIELDS = T.StructType([T.StructField("primary_category", T.StringType()), T.StructField("secondary_category", T.StringType())])
+#: Answers to older requests have the longer names.
+LABEL_FIELDS = T.StructType([T.StructField(f, T.StringType()) for f in ("primary", "secondary", "primary_category", "secondary_category")])
 
 
 def scope_tool(name: str = "record_scope") -> dict:
@@ -35,21 +38,34 @@ def scope_tool(name: str = "record_scope") -> dict:
 
 def label_tool(name: str, description: str, categories: list[str], secondary: bool = True) -> dict:
     """JSON schema of a label verdict."""
-    fields = {"primary_category": {"type": "string", "enum": categories}}
-    if secondary:
-        fields["secondary_category"] = {"type": "string", "enum": categories}
-    return {"name": name, "description": description, "input_schema": {"type": "object", "properties": fields, "required": ["primary_category"]}}
+    fields = {f: {"type": "string", "enum": categories} for f in ("primary", *(["secondary"] if secondary else []))}
+    return {"name": name, "description": description, "input_schema": {"type": "object", "properties": fields, "required": list(fields)}}
+
+
+def tool_value(tool: dict, text: Column | None = None) -> Column:
+    """The tool as a struct; ``text`` may give each row the JSON of another tool of the same shape."""
+    literal = json.dumps(tool)
+    return F.from_json(F.lit(literal) if text is None else text, F.schema_of_json(F.lit(literal)))
+
 
+def requests(
+    df: DataFrame, tool: str | dict, model: str, max_tokens: int, prompt: Column | str, title: str = "title", body: str = "abstract", id_col: str = "id", tool_text: Column | None = None
+) -> DataFrame:
+    """custom_id and the request's parameters, one row for each document; ids travel as they are.
 
-def requests(df: DataFrame, tool: str, model: str, max_tokens: int, prompt: Column | str, title: str = "title", body: str = "abstract", id_col: str = "id") -> DataFrame:
-    """custom_id and the request's parameters, one row for each document; ids travel as they are."""
+    A tool given as its schema is sent along, a tool given by name only is chosen.  ``tool_text`` is JSON of
+    the same shape where the schema differs from row to row.
+    """
+    name = tool if isinstance(tool, str) else tool["name"]
+    sent = [] if isinstance(tool, str) else [F.array(tool_value(tool, tool_text)).alias("tools")]
     prompt = F.lit(prompt) if isinstance(prompt, str) else prompt
     params = F.struct(
         F.lit(model).alias("model"),
         F.lit(max_tokens).alias("max_tokens"),
         F.lit(0).alias("temperature"),
         F.array(F.struct(F.lit("text").alias("type"), prompt.alias("text"), F.struct(F.lit("ephemeral").alias("type")).alias("cache_control"))).alias("system"),
-        F.struct(F.lit("tool").alias("type"), F.lit(tool).alias("name")).alias("tool_choice"),
+        *sent,
+        F.struct(F.lit("tool").alias("type"), F.lit(name).alias("name")).alias("tool_choice"),
         F.array(F.struct(F.lit("user").alias("role"), message(title, body).alias("content"))).alias("messages"),
     )
     return df.select(F.col(id_col).alias("custom_id"), F.to_json(params).alias("params"))
@@ -91,11 +107,11 @@ def parse_labels(results: DataFrame, categories: Column | list[str], prefix: str
     """Primary and secondary label; an unknown primary is a parse error, an unknown secondary is null."""
     parsed = results.withColumn("parsed", F.from_json("payload", LABEL_FIELDS))
     good = F.col("result_type") == "succeeded"
-    primary = F.when(good, normalised(F.col("parsed.primary_category"), categories))
+    primary = F.when(good, normalised(F.coalesce("parsed.primary", "parsed.primary_category"), categories))
     return parsed.select(
         F.col("custom_id").alias("id"),
         primary.alias(f"primary_{prefix}_LLM"),
-        F.when(primary.isNotNull(), normalised(F.col("parsed.secondary_category"), categories)).alias(f"secondary_{prefix}_LLM"),
+        F.when(primary.isNotNull(), normalised(F.coalesce("parsed.secondary", "parsed.secondary_category"), categories)).alias(f"secondary_{prefix}_LLM"),
         F.when(~good, F.col("result_type")).when(primary.isNotNull(), "ok").otherwise("parse_error").alias(f"{prefix}_status_LLM"),
         F.when(good, F.col("stop_reason")).alias(f"{prefix}_stop_reason_LLM"),
     )

@@ -8,6 +8,9 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark.sql import DataFrame
+
+from ..sources.connectors import BatchClient, wait
 from ..sources.files import read_json, write_json
 
 
@@ -37,6 +40,26 @@ def incomplete_batch(folder: str, kind: str) -> dict | None:
     return next((b for b in found if not b.get("completed_at")), None)
 
 
+def submitted(folder: str | None, kind: str, client: BatchClient, requests: DataFrame, poll: float) -> tuple[str, Callable[[], None]]:
+    """The ended batch of a kind, and what marks it completed once its answers are stored.
+
+    A batch that was submitted and not completed is waited for; only without one the requests are submitted.
+    Without a folder they always are.
+    """
+    found = incomplete_batch(folder, kind) if folder else None
+    if not found:
+        found = {"batch": client.submit(requests), "kind": kind, "file": f"batch_{kind}_{datetime.now():%y%m%d_%H%M%S}_{uuid.uuid4().hex[:6]}.json", "completed_at": None}
+        if folder:
+            write_json(os.path.join(folder, found["file"]), found)
+    wait(client, found["batch"], poll)
+
+    def completed() -> None:
+        if folder:
+            write_json(os.path.join(folder, found["file"]), found | {"completed_at": datetime.now().isoformat()})
+
+    return found["batch"], completed
+
+
 @dataclass
 class Pipeline:
     """Steps (name, function of the run) in order; a step that fails leaves those before it done."""

@@ -6,6 +6,7 @@ Tables: ``<run>`` (what a run found), ``<run>_reverse``, ``classified`` (all cur
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -23,6 +24,7 @@ from ..operators import curate, labels, names, review, search, verdicts
 from ..sources import connectors, files
 from ..sources.connectors import BatchClient
 from ..sources.store import TableStore
+from .pipeline import submitted
 
 VERSION = ["family_id", "jurisdiction", "priority_year"]
 PREDICTIONS = ["truncated", "proba_scope", "pred_scope", "threshold_scope", "proba_pillar", "pred_pillar", "pred_combined", "date_ML"]
@@ -50,6 +52,7 @@ class Corpus:
     label_types: tuple[labels.LabelType, ...] = labels.PATENT_LABELS
     model: str = "any-model"
     prompts: dict[str, str] = field(default_factory=dict)
+    batches: str | None = None  # folder for what has been submitted, so that a repeated stage waits for it
 
     @property
     def spark(self) -> SparkSession:
@@ -149,13 +152,13 @@ def scope(c: Corpus, run: str, client: BatchClient, poll: float = 600) -> None:
     """Ask about a representative of each positive group; the verdict goes to the whole group."""
     rows = c.store.read(run).where(F.col("pred_combined") == 1)
     reps = curate.representatives(rows, [c.group], year=c.year) if c.families else rows
-    batch = client.submit(verdicts.requests(reps, "record_scope", c.model, 512, c.prompts.get("scope", "")))
-    connectors.wait(client, batch, poll)
+    batch, completed = submitted(c.batches, f"scope-{run}", client, verdicts.requests(reps, verdicts.scope_tool(), c.model, 512, c.prompts.get("scope", "")), poll)
     found = verdicts.parse_scope(client.results(c.spark, batch)).withColumn("date_LLM", stamp())
     keyed = reps.select("id", *([c.group] if c.families else [])).join(found, "id")
     source = keyed.drop("id") if c.families else keyed
     for table in (run, "classified"):
         c.store.update(table, source.where(F.col(c.group).isNotNull()), c.group, VERDICTS)
+    completed()
 
 
 def reverse_families(c: Corpus, corpus: DataFrame, run: str) -> None:
@@ -223,8 +226,9 @@ def label(c: Corpus, client: BatchClient, poll: float = 300) -> None:
         prompt = F.lit(c.prompts.get(kind.name, ""))
         if kind.by_pillar:
             prompt = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in kind.categories for x in (p, c.prompts.get(f"{kind.name}.{p}", ""))]), F.col("pillar_curated")), F.lit(""))
-        batch = client.submit(verdicts.requests(asked, f"label_{kind.name}", c.model, 150, prompt))
-        connectors.wait(client, batch, poll)
+        tools = {p: verdicts.label_tool(f"label_{kind.name}", f"Record the {kind.output} of the document.", cats, kind.secondary) for p, cats in kind.categories.items()}
+        text = F.try_element_at(F.create_map(*[F.lit(x) for p, t in tools.items() for x in (p, json.dumps(t))]), F.col("pillar_curated")) if kind.by_pillar else None
+        batch, completed = submitted(c.batches, f"label-{kind.name}", client, verdicts.requests(asked, next(iter(tools.values())), c.model, 150, prompt, tool_text=text), poll)
         every = [x for group in kind.categories.values() for x in group]
         answers = verdicts.parse_labels(client.results(c.spark, batch), every, kind.name)
         given = asked.drop(*columns).join(answers, "id")
@@ -233,6 +237,7 @@ def label(c: Corpus, client: BatchClient, poll: float = 300) -> None:
             given = given.withColumn(columns[2], F.when((F.col(columns[2]) == "ok") & ~F.coalesce(fits, F.lit(False)), "parse_error").otherwise(F.col(columns[2])))
         spread = labels.spread(rows.drop(*columns), given, columns).withColumn("date_labelled", stamp())
         c.store.update("classified", spread, "id", [*columns, "date_labelled"], merge_max=("date_labelled",))
+        completed()
     done = c.store.read("labelled").select("id") if c.store.exists("labelled") else None
     c.store.append_or_create("labelled", labels.assemble(c.store.read("classified"), done, c.label_types))
 

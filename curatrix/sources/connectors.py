@@ -63,7 +63,8 @@ class PagedSearch(DataSource):
     """``spark.read.format("paged_search")``: a search service asked page by page on executors.
 
     Options: ``client`` (module:function that gives a callable (query, skip, limit) -> list of dicts),
-    ``query``, ``pages``, ``limit``; the schema is given with ``.schema``.
+    ``query``, ``limit``, and ``pages``, how many are asked for side by side; the last goes on until a page is not
+    full, so no row is lost whatever their number.  The schema is given with ``.schema``.
     """
 
     @classmethod
@@ -79,7 +80,7 @@ class PagedReader(DataSourceReader):
         self.options, self.names = dict(options), schema.fieldNames()
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(n) for n in range(int(self.options.get("pages", 1)))]
+        return [InputPartition(n) for n in range(max(int(self.options.get("pages", 1)), 1))]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         import importlib
@@ -87,8 +88,13 @@ class PagedReader(DataSourceReader):
         module, function = self.options["client"].split(":")
         fetch = getattr(importlib.import_module(module), function)()
         limit = int(self.options.get("limit", 1000))
-        for row in fetch(self.options.get("query", ""), partition.value * limit, limit):
-            yield tuple(row.get(n) for n in self.names)
+        last, page = max(int(self.options.get("pages", 1)), 1) - 1, partition.value
+        while True:
+            rows = list(fetch(self.options.get("query", ""), page * limit, limit))
+            yield from (tuple(row.get(n) for n in self.names) for row in rows)
+            if partition.value < last or len(rows) < limit:
+                return
+            page += 1
 
 
 class BatchClient(Protocol):

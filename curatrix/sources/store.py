@@ -1,7 +1,7 @@
 """Tables as Parquet folders with versions: append, keyed update and delete, resume.
 
 Parquet has no UPDATE or DELETE, so a change writes the next version beside the current one and then
-moves a small pointer file, written under another name and renamed; readers see the old table or
+moves a small pointer file, written under another name and renamed over it in one step; readers see the old table or
 the new one.  Paths go through Hadoop's file systems, so any store that Spark reads will do.
 """
 
@@ -66,9 +66,12 @@ class TableStore:
         out = self._fs.create(new, True)
         out.write(path.encode())
         out.close()
-        if self._fs.exists(pointer):
-            self._fs.delete(pointer, False)
-        self._fs.rename(new, pointer)
+        gateway, jvm = self.spark.sparkContext._gateway, self.spark.sparkContext._jvm
+        rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        overwrite = gateway.new_array(rename, 1)
+        overwrite[0] = rename.valueOf("OVERWRITE")
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        files.rename(self._fs.makeQualified(new), self._fs.makeQualified(pointer), overwrite)
 
     def create(self, name: str, df: DataFrame) -> None:
         if self.exists(name):

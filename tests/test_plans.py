@@ -1,10 +1,11 @@
+import json
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from curatrix.operators import classify, verdicts
-from curatrix.plans.pipeline import Pipeline, incomplete
+from curatrix.plans.pipeline import Pipeline, incomplete, submitted
 from curatrix.plans.queries import QUERIES, SQL
 from curatrix.sources import connectors, files
 
@@ -80,3 +81,40 @@ def test_stamp(spark):
     from curatrix.functions.text import stamp
 
     assert spark.range(1).select(stamp(F.lit(datetime(2024, 5, 6)))).first()[0] == "240506"
+
+
+def test_requests_carry_their_tool(spark):
+    df = spark.createDataFrame([("a", "T", None, "p"), ("b", None, "B", "q")], "id string, title string, abstract string, pillar string")
+    tools = {p: verdicts.label_tool("label_x", "Record it.", [p, "Other"]) for p in ("p", "q")}
+    text = F.try_element_at(F.create_map(*[F.lit(x) for p, t in tools.items() for x in (p, json.dumps(t))]), F.col("pillar"))
+    got = {r.custom_id: json.loads(r.params) for r in verdicts.requests(df, tools["p"], "m", 150, "prompt", tool_text=text).collect()}
+    assert got["a"]["tools"] == [tools["p"]] and got["b"]["tools"] == [tools["q"]] and got["a"]["tool_choice"]["name"] == "label_x"
+    assert "tools" not in json.loads(verdicts.requests(df, "named", "m", 1, "").first().params)
+
+
+def test_a_batch_is_submitted_once(spark, tmp_path):
+    class Client:
+        sent = 0
+
+        def submit(self, requests):
+            Client.sent += 1
+            return f"batch-{Client.sent}"
+
+        def state(self, batch):
+            return "ended"
+
+    first, _ = submitted(str(tmp_path), "scope-r", Client(), None, 0)  # a crash before its answers are stored
+    again, completed = submitted(str(tmp_path), "scope-r", Client(), None, 0)
+    assert first == again == "batch-1" and Client.sent == 1
+    completed()
+    other, _ = submitted(str(tmp_path), "scope-r", Client(), None, 0)
+    assert other == "batch-2"
+    assert submitted(None, "scope-r", Client(), None, 0)[0] == "batch-3"
+
+
+def test_paged_search_reads_to_the_end(spark):
+    spark.dataSource.register(connectors.PagedSearch)
+    for pages in (None, 1, 2, 9):
+        reader = spark.read.format("paged_search").schema("id string, q string").option("client", "tests.test_plans:fetch").option("limit", 2)
+        found = (reader.option("pages", pages) if pages else reader).load()
+        assert sorted(r.id for r in found.collect()) == ["0", "1", "2", "3", "4"]
