@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -14,6 +15,7 @@ from .packing import pack_documents
 from .partenum import jaccard_classes
 from .pii import personal_data
 from .quality import quality_report
+from .runs import periodic_runs, run_report
 from .sharding import shard_documents
 from .spm import encode_documents
 from .toxicity import toxicity_scores
@@ -63,6 +65,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def tail_repeats(doc_id: int | None, words: list[str]) -> list[str]:
+    """In every tenth document (by a hash of its id) the words from some place on repeat; a null id changes nothing."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_report(periodic_runs(table(spark, sf_dir, "documents"), shortest=6, repeats=4, rewrite=tail_repeats))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -77,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_best_fit_packing,
             op9_embedding_near_duplicates,
             op10_quality_rules,
+            op13_periodic_runs,
         )
     }
 

@@ -29,7 +29,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS[0]) < n:
         size = 1 << (n - 1).bit_length()
         for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
@@ -64,7 +64,7 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     after[:-1] = space[1:]
     after[at[1:][at[1:] > 0] - 1] = True
     ends = np.flatnonzero(~space & after) + 1
-    up, down = _powers(len(raw) + 1)
+    up, down = powers(len(raw) + 1)
     total = np.zeros(len(raw) + 1, U64)
     np.cumsum(_BYTE[raw] * up[: len(raw)], out=total[1:])
     words = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U64))

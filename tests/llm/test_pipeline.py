@@ -57,4 +57,4 @@ def test_odd_rows_go_through(spark, docs, sf):
 
 
 def test_a_query_for_each_operator():
-    assert [n.split("_")[0] for n in queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries()] == [f"op{i}" for i in range(1, 14)]
