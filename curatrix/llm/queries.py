@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .dac import token_output
+from .langid import languages
 from .lsh import near_duplicate_vectors
 from .packing import pack_documents
 from .partenum import jaccard_classes
@@ -22,6 +23,7 @@ from .toxicity import toxicity_scores
 from .wrapper import main_texts
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+MULTILINGUAL = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -65,6 +67,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"), MULTILINGUAL, folds=4, fold=2)
+
+
 def tail_repeats(doc_id: int | None, words: list[str]) -> list[str]:
     """In every tenth document (by a hash of its id) the words from some place on repeat; a null id changes nothing."""
     h, n = zlib.crc32(str(doc_id).encode()), len(words)
@@ -94,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_best_fit_packing,
             op9_embedding_near_duplicates,
             op10_quality_rules,
+            op12_language_id,
             op13_periodic_runs,
         )
     }
