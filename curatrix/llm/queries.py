@@ -16,6 +16,7 @@ from .packing import pack_documents
 from .partenum import jaccard_classes
 from .pii import personal_data
 from .quality import quality_report
+from .resample import importance_resample
 from .runs import periodic_runs, run_report
 from .sharding import shard_documents
 from .spm import encode_documents
@@ -67,6 +68,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10, seed="2024", orders=(1, 1), buckets=10_000, least_words=20)
+
+
 def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(table(spark, sf_dir, "documents"), MULTILINGUAL, folds=4, fold=2)
 
@@ -100,6 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_best_fit_packing,
             op9_embedding_near_duplicates,
             op10_quality_rules,
+            op11_importance_resampling,
             op12_language_id,
             op13_periodic_runs,
         )
@@ -134,5 +140,24 @@ FROM embeddings JOIN (SELECT x, min(c) AS c FROM reach GROUP BY x) ON x = vec_id
 """
 
 
+RESAMPLING_SQL = r"""
+WITH crc AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)) AS t),
+words AS (
+  SELECT o, i, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM (SELECT 's' AS o, doc_id AS i, text FROM documents UNION ALL SELECT 't', 0, text FROM benchmark)),
+bytes AS (SELECT w, list_transform(range(strlen(w)), lambda k: CAST('0x' || hex(w)[2 * k + 1:2 * k + 2] AS BIGINT)) AS b FROM (SELECT DISTINCT w FROM words)),
+buckets AS (SELECT w, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) % 10000 AS b FROM bytes, crc),
+counts AS (SELECT b, count(*) FILTER (o = 's') AS s, count(*) FILTER (o = 't') AS t FROM words JOIN buckets USING (w) GROUP BY b),
+gains AS (SELECT b, floor(1000 * ln((t + 1.0::DOUBLE) * (a.s_all + 10000) / ((s + 1.0::DOUBLE) * (a.t_all + 10000)))) AS g FROM counts, (SELECT sum(s)::DOUBLE AS s_all, sum(t)::DOUBLE AS t_all FROM counts) a),
+means AS (SELECT i, count(*) AS n, CAST(floor(sum(g) / count(*)) AS BIGINT) AS weight FROM words JOIN buckets USING (w) JOIN gains USING (b) WHERE o = 's' GROUP BY i),
+scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || sha256('2024:' || doc_id)[1:8] AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM documents LEFT JOIN means ON i = doc_id),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r FROM scored WHERE n_features >= 20)
+SELECT s.doc_id, s.n_features, s.weight, s.score, CASE WHEN r <= (SELECT count(*) FROM ranked) * 10 // 100 THEN r END AS rank FROM scored s LEFT JOIN ranked USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_ngram_jaccard_join": JACCARD_SQL, "op9_embedding_near_duplicates": VECTOR_SQL}
+    return {"op11_importance_resampling": RESAMPLING_SQL, "op5_ngram_jaccard_join": JACCARD_SQL, "op9_embedding_near_duplicates": VECTOR_SQL}
