@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import batches, stored, text_list
+from .shingles import U64, mix, powers
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -48,20 +49,82 @@ LONGEST = 64
 PRIOR, FLOOR = 200.0, 0.05
 #: Distinct words that a task counts before it hands them on, and that a worker remembers with their scores.
 COUNTED, REMEMBERED = 200_000, 60_000
-#: Words scored side by side.
-SIDE = 20_000
+#: Bytes of words scored side by side.
+SIDE = 1 << 19
 _TINY, _BACK, _MOST = 1e-100, 1e100, 1e300
 #: A factor exp(LIFT) for each byte keeps the sums of the fit in range.
 LIFT = 2.5
 
-_vocabularies: dict[str, dict[bytes, int]] = {}
-
-
-def vocabulary(path: str) -> dict[bytes, int]:
+_GROUPED = 40  # above the longest piece: places of hits are told by end * _GROUPED + length
+
+_vocabularies: dict[str, "Vocabulary"] = {}
+
+
+class Vocabulary:
+    """Pieces, numbered in order, and where they are in words: told by 64-bit hashes of windows of bytes."""
+
+    _rng = np.random.default_rng(20240307)
+    BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
+    BITS = 22
+
+    def __init__(self, pieces: list[bytes]):
+        self.size, self.longest = len(pieces), max(map(len, pieces))
+        if self.longest >= _GROUPED:
+            raise ValueError(f"pieces have to be shorter than {_GROUPED} bytes")
+        raw = np.frombuffer(b"".join(pieces), np.uint8)
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        hashes, lengths = np.zeros(self.size, U64), np.diff(ends, prepend=0)
+        self._prepare(raw)
+        for k in np.unique(lengths).tolist():
+            own = np.flatnonzero(lengths == k)
+            hashes[own] = self._hash(ends[own] - k, k)
+        self.order = np.argsort(hashes)
+        self.sorted = hashes[self.order]
+        if (self.sorted[1:] == self.sorted[:-1]).any():
+            raise ValueError("pieces are not distinct")
+        self.maybe = np.zeros(1 << self.BITS, bool)
+        self.maybe[hashes >> U64(64 - self.BITS)] = True
+
+    def _prepare(self, raw: np.ndarray) -> None:
+        up, self._down = powers(len(raw) + 1)
+        self._sums = np.zeros(len(raw) + 1, U64)
+        np.cumsum(self.BYTE[raw] * up[: len(raw)], out=self._sums[1:])
+
+    def _hash(self, at: np.ndarray, k: int) -> np.ndarray:
+        return mix((self._sums[at + k] - self._sums[at]) * self._down[at] + U64(k))
+
+    def hits(self, words: list[bytes]) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+        """All pieces in the words: (start, end, which words, their pieces), by end, then length; a word is once in each."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        self._prepare(raw)
+        ends = np.cumsum(sizes)
+        owner = np.repeat(np.arange(len(words)), sizes)
+        left = ends[owner] - np.arange(len(raw))
+        at, keys, pieces, which = np.arange(len(raw)), [], [], []
+        for k in range(1, min(self.longest, int(sizes.max())) + 1):
+            at = at[left[at] >= k]
+            h = self._hash(at, k)
+            near = np.flatnonzero(self.maybe[h >> U64(64 - self.BITS)])
+            place = np.minimum(np.searchsorted(self.sorted, h[near]), self.size - 1)
+            near, place = (x[self.sorted[place] == h[near]] for x in (near, place))
+            own = owner[at[near]]
+            end = sizes[own] - left[at[near]] + k
+            keys.append(end * _GROUPED + k)
+            pieces.append(self.order[place])
+            which.append(own)
+        key = np.concatenate(keys)
+        order = np.argsort(key.astype(np.uint16) if key.max() < 1 << 16 else key, kind="stable")
+        key, piece, word = key[order], np.concatenate(pieces)[order], np.concatenate(which)[order]
+        cuts = np.flatnonzero(np.diff(key, prepend=-1))
+        return [(int(v // _GROUPED - v % _GROUPED), int(v // _GROUPED), word[lo:hi], piece[lo:hi]) for v, lo, hi in zip(key[cuts].tolist(), cuts, [*cuts[1:], len(key)], strict=True)]
+
+
+def vocabulary(path: str) -> Vocabulary:
     """Pieces of a file of base64 pieces and ids, numbered in its order; read once by each worker."""
     if path not in _vocabularies:
         with open(path, "rb") as f:
-            _vocabularies[path] = {base64.b64decode(line.split()[0]): n for n, line in enumerate(f)}
+            _vocabularies[path] = Vocabulary([base64.b64decode(line.split()[0]) for line in f])
     return _vocabularies[path]
 
 
@@ -81,63 +144,54 @@ class Model:
 
 
 def by_length(words: list[bytes]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    """Words of the same length, at most ``SIDE`` at a time, with their places."""
+    """Words of nearly the same length, of at most ``SIDE`` bytes together (or one word), with their places."""
     groups = defaultdict(list)
     for n, w in enumerate(words):
-        groups[len(w)].append(n)
-    for places in groups.values():
-        for lo in range(0, len(places), SIDE):
-            part = places[lo : lo + SIDE]
+        groups[(len(w) - 1).bit_length()].append(n)
+    for k, places in groups.items():
+        step = max(1, SIDE >> k)
+        for lo in range(0, len(places), step):
+            part = places[lo : lo + step]
             yield np.array(part), [words[n] for n in part]
 
 
-def hits(words: list[bytes], vocab: dict[bytes, int], longest: int, j: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each start i of a piece that ends at j in some of the words: i, which words, and their pieces."""
-    for i in range(max(0, j - longest), j):
-        found = [vocab.get(w[i:j], -1) for w in words]
-        if max(found) >= 0:
-            ids = np.array(found)
-            rows = np.flatnonzero(ids >= 0)
-            yield i, rows, ids[rows]
-
-
-def log_probabilities(words: list[str], vocab: dict[bytes, int], pieces: np.ndarray) -> np.ndarray:
+def log_probabilities(words: list[str], vocab: Vocabulary, pieces: np.ndarray) -> np.ndarray:
     """Logs of the words' probabilities, a column for each language, by the forward algorithm."""
-    longest = max(map(len, vocab))
     out = np.zeros((len(words), pieces.shape[1]))
     for places, part in by_length([b" " + w.encode() for w in words]):
-        n = len(part[0])
+        sizes = np.fromiter(map(len, part), np.int64, len(part))
         shift = np.zeros((len(part), pieces.shape[1]))
-        alpha = {0: np.ones((len(part), pieces.shape[1]))}
-        for j in range(1, n + 1):
-            alpha.pop(j - longest - 1, None)
-            alpha[j] = now = np.zeros_like(alpha[j - 1])
-            for i, rows, ids in hits(part, vocab, longest, j):
-                now[rows] += alpha[i][rows] * pieces[ids]
-            if now.min() < _TINY:  # lift all that later positions still use
-                low = now < _TINY
-                for a in alpha.values():
-                    a[low] = np.minimum(a[low] * _BACK, _MOST)
-                shift[low] += np.log(_BACK)
-        out[places] = np.log(np.maximum(alpha[n], 1e-300)) - shift
+        alpha = np.zeros((int(sizes.max()) + 1, len(part), pieces.shape[1]))
+        alpha[0] = 1.0
+        done = 0
+        for i, j, rows, ids in vocab.hits(part):
+            if j > done:  # all sums up to ``done`` are complete; lift the small ones, and all that later sums still use with them
+                if done % 8 == 0 and (low := (alpha[done] < _TINY) & (sizes >= done)[:, None]).any():
+                    window = alpha[max(0, done - vocab.longest) : done + 1]
+                    window[:, low] = np.minimum(window[:, low] * _BACK, _MOST)
+                    shift[low] += np.log(_BACK)
+                done = j
+            alpha[j, rows] += alpha[i, rows] * pieces[ids]
+        out[places] = np.log(np.maximum(alpha[sizes, np.arange(len(part))], 1e-300)) - shift
     return out
 
 
-def expected_uses(words: list[bytes], lang: np.ndarray, count: np.ndarray, vocab: dict[bytes, int], pieces: np.ndarray) -> np.ndarray:
+def expected_uses(words: list[bytes], lang: np.ndarray, count: np.ndarray, vocab: Vocabulary, pieces: np.ndarray) -> np.ndarray:
     """Expected uses of each piece (row) in each language (column), summed over the words' cuts."""
-    longest, (size, languages) = max(map(len, vocab)), pieces.shape
+    size, languages = pieces.shape
     total = np.zeros(size * languages)
+    flat = pieces.ravel()
     for places, part in by_length(words):
-        n, which, times = len(part[0]), lang[places], count[places]
-        spans = [(i, j, rows, ids * languages + which[rows]) for j in range(1, n + 1) for i, rows, ids in hits(part, vocab, longest, j)]
-        weights = [pieces.ravel()[cells] * np.exp(LIFT * (j - i)) for i, j, _, cells in spans]
-        alpha, beta = np.zeros((n + 1, len(part))), np.zeros((n + 1, len(part)))
-        alpha[0] = beta[n] = 1.0
+        which, times, sizes = lang[places], count[places], np.fromiter(map(len, part), np.int64, len(part))
+        spans = [(i, j, rows, ids * languages + which[rows]) for i, j, rows, ids in vocab.hits(part)]
+        weights = [flat[cells] * np.exp(LIFT * (j - i)) for i, j, _, cells in spans]
+        alpha, beta = np.zeros((int(sizes.max()) + 1, len(part))), np.zeros((int(sizes.max()) + 1, len(part)))
+        alpha[0] = beta[sizes, np.arange(len(part))] = 1.0
         for (i, j, rows, _), w in zip(spans, weights, strict=True):
             alpha[j, rows] += alpha[i, rows] * w
         for (i, j, rows, _), w in zip(reversed(spans), reversed(weights), strict=True):
             beta[i, rows] += beta[j, rows] * w
-        share = times / np.maximum(alpha[n], 1e-300)
+        share = times / np.maximum(alpha[sizes, np.arange(len(part))], 1e-300)
         uses = [alpha[i, rows] * w * beta[j, rows] * share[rows] for (i, j, rows, _), w in zip(spans, weights, strict=True)]
         total += np.bincount(np.concatenate([cells for *_, cells in spans]), np.concatenate(uses), len(total))
     return total.reshape(size, languages)
@@ -184,7 +238,7 @@ def fit(docs: DataFrame, path: str, text_col: str = "text", lang_col: str = "lan
     totals = dict(sorted((r["lang"], r["n"]) for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()))  # a row for each language
     if not totals:
         return None
-    names, size = tuple(totals), len(vocabulary(path))
+    names, size = tuple(totals), vocabulary(path).size
     pieces = np.full((size, len(names)), 1.0 / size)
     for _ in range(rounds):
         model = spark.sparkContext.broadcast(pieces)  # pieces x languages

@@ -17,33 +17,35 @@ def cuts(word, vocab):
             yield from ([vocab[word[:k]], *rest] for rest in cuts(word[k:], vocab))
 
 
-VOCAB = {p: i for i, p in enumerate([b" ", b"a", b"b", b"c", b"ab", b" a", b"bc", b"abc", b"ca", b" ab"])}
+PIECES = [b" ", b"a", b"b", b"c", b"ab", b" a", b"bc", b"abc", b"ca", b" ab"]
+NUMBERS = {p: i for i, p in enumerate(PIECES)}
+VOCAB = langid.Vocabulary(PIECES)
 
 
 def test_forward_sums_all_cuts():
     rnd, gen = random.Random(0), np.random.default_rng(0)
-    pieces = gen.dirichlet(np.ones(len(VOCAB)), 3).T
+    pieces = gen.dirichlet(np.ones(len(PIECES)), 3).T
     words = ["".join(rnd.choice("abc") for _ in range(rnd.randint(1, 9))) for _ in range(200)]
     got = langid.log_probabilities(words, VOCAB, pieces)
     for w, row in zip(words, got, strict=True):
-        want = sum(np.prod(pieces[c], axis=0) for c in cuts(b" " + w.encode(), VOCAB))
+        want = sum(np.prod(pieces[c], axis=0) for c in cuts(b" " + w.encode(), NUMBERS))
         assert np.allclose(np.exp(row), want)
 
 
 def test_very_long_words_do_not_underflow():
-    pieces = np.full((len(VOCAB), 2), [[1e-9, 1e-7]])
+    pieces = np.full((len(PIECES), 2), [[1e-9, 1e-7]])
     one, two = (langid.log_probabilities(["abc" * n], VOCAB, pieces)[0] for n in (300, 600))
     assert np.isfinite(one).all() and np.allclose(two / one, 2, atol=0.02) and one[1] > one[0]
 
 
 def test_expected_uses_by_enumeration():
     rnd, gen = random.Random(1), np.random.default_rng(1)
-    pieces = gen.dirichlet(np.ones(len(VOCAB)), 2).T
+    pieces = gen.dirichlet(np.ones(len(PIECES)), 2).T
     words = [b" " + "".join(rnd.choice("abc") for _ in range(rnd.randint(1, 7))).encode() for _ in range(60)]
     lang, count = gen.integers(0, 2, 60), gen.integers(1, 9, 60).astype(float)
     want = np.zeros_like(pieces)
     for w, k, n in zip(words, lang, count, strict=True):
-        ways = list(cuts(w, VOCAB))
+        ways = list(cuts(w, NUMBERS))
         weights = np.array([np.prod(pieces[c, k]) for c in ways])
         for c, share in zip(ways, weights / weights.sum() * n, strict=True):
             for p in c:
