@@ -65,6 +65,15 @@ def split_words(text: bytes) -> Iterator[list[bytes]]:
         at = end + 1
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers in ascending order (theirs does not matter here), as differences, all first bytes, all second ones ...: most are zero."""
+    return np.diff(np.sort(numbers), prepend=np.int32(0)).astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<i4").ravel().cumsum()
+
+
 def record(size: int, **columns: pa.Array) -> pa.RecordBatch:
     """Rows of ``BLOCKS``, null where no column is given."""
     return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(size, k) for c, k in zip(COLUMNS, KINDS, strict=True)], COLUMNS)
@@ -108,7 +117,7 @@ class Block:
                 block=pa.array(np.full(len(part), block)),
                 doc_id=pa.array([i for i, _ in part], pa.int64()),
                 n_words=pa.array([len(g[0]) for _, g in part], pa.int64()),
-                grams=pa.array([g.astype("<i4").tobytes() for g in grams], pa.binary()),
+                grams=pa.array(list(map(packed, grams)), pa.binary()),
             )
         spelled = np.arange(first[1], dtype=np.int32)[:, None]
         for k, known in enumerate(self.known):
@@ -194,7 +203,7 @@ def weighted(blocks: DataFrame, where: DataFrame, gain: np.ndarray) -> DataFrame
 
     def run(docs: pa.Table, buckets: pa.Table) -> pa.Table:
         docs = docs.combine_chunks()
-        grams = [np.frombuffer(x, "<i4") for x in docs.column("grams").to_pylist()]
+        grams = [unpacked(x) for x in docs.column("grams").to_pylist()]
         n = np.array([len(x) for x in grams], np.int64)
         own = np.zeros(int(buckets.column("no").to_numpy().max(initial=-1)) + 1, np.int64)
         own[buckets.column("no").to_numpy()] = gain[buckets.column("bucket").to_numpy()]
