@@ -48,7 +48,7 @@ LONGEST = 64
 #: Weight of the background distribution, in pieces, and of each piece in that.
 PRIOR, FLOOR = 200.0, 0.05
 #: Distinct words that a task counts before it hands them on, and that a worker remembers with their scores.
-COUNTED, REMEMBERED = 200_000, 60_000
+COUNTED, REMEMBERED = 200_000, 250_000
 #: Bytes of words scored side by side.
 SIDE = 1 << 19
 _TINY, _BACK, _MOST = 1e-100, 1e100, 1e300
