@@ -3,21 +3,20 @@
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.nulls import differs, holds
 from .curate import unseen
+from .splits import folds
 
 
 # --- encoders -----------------------------------------------------------------------------------
@@ -112,27 +111,9 @@ def logistic(df: DataFrame, c: float = 0.1, label: str = "label", max_iter: int
     return LogisticRegression(labelCol=label, weightCol="weight", regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-9).fit(rows)
 
 
-def fourier(df: DataFrame, gamma: float, size: int = 512, seed: int = 42, column: str = "embeddings", dimensions: int = 64) -> DataFrame:
-    """Random Fourier features, whose products approximate the RBF kernel exp(-gamma |x - y|^2)."""
-    rng = np.random.default_rng(seed)
-    w = rng.normal(0, math.sqrt(2 * gamma), (dimensions, size))
-    b = rng.uniform(0, 2 * math.pi, size)
-
-    @F.pandas_udf("array<double>")
-    def lift(x: pd.Series) -> pd.Series:
-        return pd.Series(list(np.sqrt(2 / size) * np.cos(np.stack(x.to_numpy()).astype(float) @ w + b)))
-
-    return df.withColumn("features", array_to_vector(lift(F.col(column).cast("array<double>"))))
-
-
-def folds(df: DataFrame, label: str = "label", id_col: str = "id", k: int = 5) -> DataFrame:
-    """Stratified folds by hash of the id: no ranking, so no class has to fit one task."""
-    return df.withColumn("fold", F.pmod(F.xxhash64(F.col(label), F.col(id_col)), F.lit(k)).cast("int"))
-
-
 def cross_validated(df: DataFrame, fit: Callable[[DataFrame], object], k: int = 5, label: str = "label", id_col: str = "id") -> DataFrame:
-    """Out-of-fold ``proba`` of the positive class."""
-    dealt = folds(df, label, id_col, k)
+    """Out-of-fold ``proba`` of the positive class; folds hold each label in proportion."""
+    dealt = folds(df, id_col, label, k)
     out = None
     for f in range(k):
         model = fit(dealt.where(F.col("fold") != f))
@@ -141,33 +122,6 @@ def cross_validated(df: DataFrame, fit: Callable[[DataFrame], object], k: int =
     return out
 
 
-class CalibratedSVM:
-    """A linear machine on Fourier features, its margins made probabilities by isotonic regression.
-
-    An approximation of an RBF support vector classifier with isotonic calibration.
-    """
-
-    def __init__(self, gamma: float = 0.01, c: float = 100.0, dimensions: int = 64, size: int = 512):
-        self.gamma, self.c, self.dimensions, self.size = gamma, c, dimensions, size
-
-    def fit(self, df: DataFrame, label: str = "label", id_col: str = "id") -> CalibratedSVM:
-        rows = folds(balanced(fourier(df, self.gamma, self.size, dimensions=self.dimensions), label), label, id_col)
-        n = rows.count()
-        svc = LinearSVC(labelCol=label, weightCol="weight", regParam=1.0 / (self.c * n), maxIter=100)
-        margins = None
-        for f in range(5):
-            part = svc.fit(rows.where(F.col("fold") != f)).transform(rows.where(F.col("fold") == f))
-            part = part.select(F.col(label).cast("double").alias("label"), vector_to_array("rawPrediction")[1].alias("margin"), "weight")
-            margins = part if margins is None else margins.unionByName(part)
-        self.model = svc.fit(rows)
-        self.calibration = IsotonicRegression(featuresCol="margin", labelCol="label", weightCol="weight", predictionCol="proba").fit(margins)
-        return self
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        scored = self.model.transform(fourier(df, self.gamma, self.size, dimensions=self.dimensions))
-        return self.calibration.transform(scored.withColumn("margin", vector_to_array("rawPrediction")[1])).drop("features", "rawPrediction", "prediction", "margin")
-
-
 def pillar_model(df: DataFrame, c: float = 0.1, column: str = "pillar", missing: str | None = "NA") -> PipelineModel:
     """Multinomial logistic regression over pillar names; a null pillar is ``missing``, if given."""
     rows = df.withColumn(column, F.coalesce(column, F.lit(missing))) if missing else df.where(F.col(column).isNotNull())

@@ -34,6 +34,27 @@ def map_lists(df: DataFrame, column: str, known: DataFrame, output: str, id_col:
     return df.join(lists, id_col, "left").withColumn(output, F.when(F.col(column).isNull(), None).otherwise(F.coalesce("__list", F.array().cast("array<string>")))).drop("__list")
 
 
+def positioned(df: DataFrame, output: str = "position") -> DataFrame:
+    """``df``, as it is read from files, with each row's place: file, start of the split, and order within it.
+
+    Splits of a file can be read in any order; their starts tell the order.
+    """
+    return df.withColumn(output, F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row")))
+
+
+def ordered_union(*columns: tuple[DataFrame, str, str], output: str = "company") -> DataFrame:
+    """Distinct values of several columns (frame, column, position) with ``ordinal``, where each is met first.
+
+    All of the first column come before those of the second.  Nulls are left out.  Positions are
+    compared, never numbered through, so there is one minimum a value and no global order.
+    """
+    rows = None
+    for n, (df, column, position) in enumerate(columns):
+        part = df.select(F.col(column).cast("string").alias(output), F.struct(F.lit(n).alias("column"), F.col(position).alias("position")).alias("ordinal")).where(F.col(output).isNotNull())
+        rows = part if rows is None else rows.unionByName(part)
+    return rows.groupBy(output).agg(F.min("ordinal").alias("ordinal"))
+
+
 def prepared(text: str) -> str:
     """Lower case, everything but letters and digits a space, trimmed."""
     return re.sub(r"[\W_]", " ", text.lower()).strip()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.nulls import holds
 from ..functions.schema import align, column_range, union
 from ..functions.text import as_list, has_content, joined_text, message, stamp, strip_markup, too_long, words
-from ..operators import classify, curate, labels, names, review, search, verdicts
+from ..operators import classify, curate, kernel, labels, names, review, search, splits, verdicts
 from ..sources import connectors
 from ..sources.store import deleted, updated
 
@@ -330,6 +330,37 @@ def combine_predictions(spark, d):
     return rows.select("doc_id", classify.combine("pillar", "toxic").alias("pred_combined"))
 
 
+HASHED = "CAST('0x' || md5('42:' || id)[1:15] AS BIGINT) AS key"
+
+
+@query(f"""
+WITH rows AS (SELECT *, {HASHED} FROM (SELECT o_orderkey, o_orderpriority, CAST(o_orderkey AS VARCHAR) AS id FROM orders)),
+sizes AS (SELECT o_orderpriority AS p, count(*) AS n FROM rows GROUP BY 1), total AS (SELECT sum(n) AS n, CAST(ceil(round(0.2 * sum(n), 9)) AS HUGEINT) AS wanted FROM sizes),
+shares AS (SELECT p, s.n, s.n * wanted // t.n AS base, wanted - sum(s.n * wanted // t.n) OVER () AS spare, row_number() OVER (ORDER BY s.n * wanted % t.n DESC, s.n DESC, p NULLS FIRST) AS place FROM sizes s, total t),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY key, id) AS r FROM rows)
+SELECT o_orderkey, o_orderpriority, r <= base + CASE WHEN place <= spare THEN 1 ELSE 0 END AS is_test FROM ranked JOIN shares ON p IS NOT DISTINCT FROM o_orderpriority
+""")
+def train_test_split(spark, d):
+    return splits.split(table(spark, d, "orders").select("o_orderkey", "o_orderpriority"), "o_orderkey", 0.2, "o_orderpriority")
+
+
+@query(f"""
+WITH rows AS (SELECT *, {HASHED} FROM (SELECT event_id, CAST(event_id AS VARCHAR) AS id FROM events))
+SELECT event_id, row_number() OVER (ORDER BY key, id) <= CAST(ceil(round(0.25 * count(*) OVER (), 9)) AS BIGINT) AS is_test FROM rows
+""")
+def train_test_split_plain(spark, d):
+    return splits.split(table(spark, d, "events").select("event_id"), "event_id", 0.25)
+
+
+@query(f"""
+WITH rows AS (SELECT *, {HASHED} FROM (SELECT l_orderkey, l_linenumber, l_returnflag, l_orderkey || '-' || l_linenumber AS id FROM lineitem))
+SELECT l_orderkey, l_linenumber, l_returnflag, CAST((row_number() OVER (PARTITION BY l_returnflag ORDER BY key, id) - 1) % 5 AS INTEGER) AS fold FROM rows
+""")
+def stratified_folds(spark, d):
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", F.concat("l_orderkey", F.lit("-"), "l_linenumber").alias("id"))
+    return splits.folds(rows, "id", "l_returnflag", 5).drop("id")
+
+
 WEIGHTS = [((7 * i) % 11 - 5) / 10 for i in range(64)]
 
 
@@ -344,7 +375,7 @@ def embed_score_linear(spark, d):
 
 @query()
 def embed_classify_lr(spark, d):
-    """Balanced logistic regression on embeddings: label 0 against the rest, with out-of-sample scores."""
+    """Balanced logistic regression on embeddings: label 0 against the rest, fitted on all rows and applied to them."""
     from pyspark.ml.functions import vector_to_array
 
     rows = classify.features(table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("embeddings"), (F.col("label") == 0).cast("double").alias("label")))
@@ -352,10 +383,28 @@ def embed_classify_lr(spark, d):
     return model.transform(rows).select("id", F.round(vector_to_array("probability")[1], 6).alias("proba_scope"))
 
 
+@query()
+def embed_cross_validated(spark, d):
+    """The same out of sample: each row by the model of the folds that it is not in."""
+    rows = classify.features(table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("embeddings"), (F.col("label") == 0).cast("double").alias("label")))
+    return classify.cross_validated(rows.where("label is not null"), lambda part: classify.logistic(part, 0.1)).select("id", F.round("proba", 6).alias("proba_scope"))
+
+
 @query()
 def embed_classify_svm(spark, d):
-    rows = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("embeddings"), (F.col("label") == 0).cast("double").alias("label"))
-    return classify.CalibratedSVM().fit(rows).transform(rows).select("id", F.round("proba", 6).alias("proba_scope"))
+    """Calibrated kernel machines, label 0 against the rest; the kernel is as wide as the vectors are far apart."""
+    rows = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("embeddings"), F.when(F.col("label") == 0, "in").when(F.col("label").isNotNull(), "out").alias("scope"))
+    model, _ = kernel.fit(rows, "scope", c=100.0, gamma=0.01, size=128)
+    return model.transform(rows).select("id", F.round(F.col("probabilities")[0], 6).alias("proba_scope"))
+
+
+@query()
+def pillar_svm(spark, d):
+    """One kernel machine for each of several classes against the rest, calibrated and normalised."""
+    pillar = F.when(F.col("label") < 4, F.element_at(F.array(*[F.lit(p) for p in labels.PILLARS]), F.col("label") + 1)).otherwise("NA")
+    rows = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("embeddings"), pillar.alias("pillar"))
+    model, _ = kernel.fit(rows, "pillar", c=1000.0, gamma=0.01, size=128)
+    return model.best(rows, probability="proba_pillar", name="pred_pillar").select("id", "pred_pillar", F.round("proba_pillar", 6).alias("proba_pillar"))
 
 
 @query()
@@ -525,6 +574,18 @@ def name_map_upper(spark, d):
     return names.mapped(F.col("raw"), known, rows, "upper_name").select("c_custkey", F.col("upper_name").alias("clean"))
 
 
+@query("""
+WITH part_rows AS (SELECT string_split(p_name, ' ')[1] AS a, string_split(p_name, ' ')[-1] AS b, row_number() OVER (ORDER BY p_partkey) - 1 AS n FROM part),
+all_rows AS (SELECT a AS company, 0 AS c, n FROM part_rows UNION ALL SELECT b, 1, n FROM part_rows)
+SELECT company, CAST(min(c) AS INTEGER) AS first_column, CAST(arg_min(n, c * 1000000000000 + n) AS BIGINT) AS first_row FROM all_rows WHERE company IS NOT NULL GROUP BY company
+""")
+def company_list(spark, d):
+    """The values of two columns in the order in which they are met; a Parquet file tells the rows' numbers."""
+    part = table(spark, d, "part").select(F.split("p_name", " ").alias("words"), F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias("position"))
+    part = part.select(F.element_at("words", 1).alias("a"), F.element_at("words", -1).alias("b"), "position")
+    return names.ordered_union((part, "a", "position"), (part, "b", "position")).select("company", F.col("ordinal.column").alias("first_column"), F.col("ordinal.position.row").alias("first_row"))
+
+
 @query()
 def fuzzy_name_match(spark, d):
     """Part names with their words turned around or a letter lost, against the list of part names."""

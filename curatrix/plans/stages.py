@@ -20,7 +20,7 @@ from ..functions.nulls import holds
 from ..functions.schema import add_columns
 from ..functions.text import joined_text, stamp, strip_markup, too_long
 from ..operators import classify as ml
-from ..operators import curate, labels, names, review, search, verdicts
+from ..operators import curate, kernel, labels, names, review, search, splits, verdicts
 from ..sources import connectors, files
 from ..sources.connectors import BatchClient
 from ..sources.store import TableStore
@@ -47,8 +47,12 @@ class Corpus:
     kind: str | None = None  # of publications, only those of this type
     load_encoder: Callable[[], ml.Encoder] = ml.hash_encoder
     max_fn: float = 0.01
-    scope_c: float = 0.1
-    pillar_c: float = 0.1
+    test_size: float | None = None  # the threshold from so large a test set; None: from out-of-fold scores
+    scope_c: float | None = None  # None: 100 with a kernel, 0.1 without
+    pillar_c: float | None = None  # None: 1000 with a kernel, 0.1 without
+    with_kernel: bool | None = None  # calibrated kernel machines or logistic regression; None: machines for families
+    gamma: float = 0.01
+    landmarks: int = 512
     label_types: tuple[labels.LabelType, ...] = labels.PATENT_LABELS
     model: str = "any-model"
     prompts: dict[str, str] = field(default_factory=dict)
@@ -58,6 +62,10 @@ class Corpus:
     def spark(self) -> SparkSession:
         return self.store.spark
 
+    @property
+    def kernels(self) -> bool:
+        return self.families if self.with_kernel is None else self.with_kernel
+
     @property
     def group(self) -> str:
         return "family_id" if self.families else "id"
@@ -98,27 +106,57 @@ def train(c: Corpus, training: DataFrame) -> float:
     if not c.store.exists("training_embeddings"):
         c.store.replace("training_embeddings", c.spark.createDataFrame([], "id string, embeddings array<float>"))
     c.store.append("training_embeddings", ml.embed_new(training, c.store.read("training_embeddings"), text, c.load_encoder))
-    rows = ml.features(training.drop("embeddings").join(c.store.read("training_embeddings"), "id"))
-    rows = rows.withColumn("label", holds(F.col("scope") == "in").cast("double"))
-    scores = ml.cross_validated(rows, lambda part: ml.logistic(part, c.scope_c))
+    rows = training.drop("embeddings").join(c.store.read("training_embeddings"), "id")
+    rows = rows.withColumn("scope", F.when(holds(F.col("scope") == "in"), "in").otherwise("out"))
+    fit_rows, test_rows = rows, None
+    if c.test_size is not None:
+        marked = splits.split(rows, "id", c.test_size, "scope")
+        fit_rows, test_rows = marked.where("not is_test"), marked.where("is_test")
+    scores = (_train_kernels if c.kernels else _train_logistic)(c, fit_rows, test_rows)
     threshold = ml.fn_threshold(scores, max_fn=c.max_fn).first()["threshold"]
     if threshold is None:
         raise ValueError("no threshold keeps false negatives below the bound")
-    ml.logistic(rows, c.scope_c).write().overwrite().save(f"{c.models}/scope")
-    pillars = ml.pillar_model(rows.drop("label"), c.pillar_c, missing="NA" if c.families else None)
-    pillars.write().overwrite().save(f"{c.models}/pillar")
+    pillars = rows.withColumn("pillar", F.coalesce("pillar", F.lit("NA"))) if c.families else rows.where(F.col("pillar").isNotNull())
+    if c.kernels:
+        kernel.fit(pillars, "pillar", c=c.pillar_c or 1000.0, gamma=c.gamma, size=c.landmarks)[0].save(c.spark, f"{c.models}/pillar")
+    else:
+        ml.pillar_model(ml.features(pillars), c.pillar_c or 0.1, missing=None).write().overwrite().save(f"{c.models}/pillar")
     files.save_threshold(c.spark, f"{c.models}/threshold", threshold)
     return threshold
 
 
+def _train_kernels(c: Corpus, rows: DataFrame, test: DataFrame | None) -> DataFrame:
+    """Save the scope machines; label and proba of rows that they have not seen."""
+    model, dealt = kernel.fit(rows, "scope", c=c.scope_c or 100.0, gamma=c.gamma, size=c.landmarks, cross_validate=test is None)
+    model.final().save(c.spark, f"{c.models}/scope")
+    scored = model.transform(dealt, outer="outer") if test is None else model.transform(test.select("id", "embeddings", F.col("scope").alias("name")))
+    return scored.select("id", (F.col("name") == "in").cast("double").alias("label"), F.col("probabilities")[model.names.index("in")].alias("proba"))
+
+
+def _train_logistic(c: Corpus, rows: DataFrame, test: DataFrame | None) -> DataFrame:
+    """The same with logistic regression."""
+    rows, test = (None if x is None else ml.features(x.withColumn("label", (F.col("scope") == "in").cast("double"))) for x in (rows, test))
+    fit = lambda part: ml.logistic(part, c.scope_c or 0.1)
+    model = fit(rows)
+    model.write().overwrite().save(f"{c.models}/scope")
+    return ml.cross_validated(rows, fit) if test is None else model.transform(test).select("id", "label", vector_to_array("probability")[1].alias("proba"))
+
+
 def _predict(c: Corpus, rows: DataFrame) -> DataFrame:
     """Predictions of rows with embeddings."""
     threshold = files.load_threshold(c.spark, f"{c.models}/threshold")
-    scope = LogisticRegressionModel.load(f"{c.models}/scope").transform(ml.features(rows))
-    scored = scope.withColumn("proba_scope", vector_to_array("probability")[1]).drop("probability", "rawPrediction", "prediction")
+    if c.kernels:
+        scope = kernel.CalibratedMachines.load(c.spark, f"{c.models}/scope")
+        scored = scope.transform(rows, output="__p").withColumn("proba_scope", F.col("__p")[scope.names.index("in")]).drop("__p")
+    else:
+        scored = LogisticRegressionModel.load(f"{c.models}/scope").transform(ml.features(rows))
+        scored = scored.withColumn("proba_scope", vector_to_array("probability")[1]).drop("probability", "rawPrediction", "prediction")
     scored = scored.withColumns({"threshold_scope": F.lit(threshold), "pred_scope": (F.col("proba_scope") >= threshold).cast("int")})
-    out = ml.predict_pillar(PipelineModel.load(f"{c.models}/pillar"), scored)
-    return out.withColumns({"pred_combined": ml.combine(), "date_ML": stamp(), "truncated": too_long(joined_text("title", "abstract"))}).drop("features")
+    if c.kernels:
+        out = kernel.CalibratedMachines.load(c.spark, f"{c.models}/pillar").best(scored, probability="proba_pillar", name="pred_pillar")
+    else:
+        out = ml.predict_pillar(PipelineModel.load(f"{c.models}/pillar"), scored).drop("features")
+    return out.withColumns({"pred_combined": ml.combine(), "date_ML": stamp(), "truncated": too_long(joined_text("title", "abstract"))})
 
 
 def classify(c: Corpus, run: str) -> None:
@@ -190,6 +228,16 @@ def clean_names(c: Corpus, known: DataFrame, companies: DataFrame, column: str =
     c.store.update("classified", out, "id", [output])
 
 
+def company_files(spark: SparkSession, variants: str, database: str) -> tuple[DataFrame, DataFrame]:
+    """The map of variants and the list of companies, from the CSV files of both.
+
+    Companies are the clean names of the first file and the names of the second, each where it is first.
+    """
+    known = names.positioned(files.read_csv(spark, variants, files.header(spark, variants))).select(F.col("Name").alias("name"), F.col("Cleaned-up Name").alias("clean"), F.col("position").alias("ordinal"))
+    listed = names.positioned(files.read_csv(spark, database, files.header(spark, database))).select("Company", "position")
+    return known, names.ordered_union((known, "clean", "ordinal"), (listed, "Company", "position"))
+
+
 def review_rows(c: Corpus, path: str, reviewer: str = "auto") -> None:
     """Decide by the rules; what they leave open goes to a CSV file for people."""
     open_rows = c.store.read("classified")

@@ -37,6 +37,11 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schema, multiLine=True, escape='"')
 
 
+def header(spark: SparkSession, path: str) -> str:
+    """A schema of text columns with the names of a CSV file's first line."""
+    return ", ".join(f"`{c}` string" for c in spark.read.csv(path, header=True, escape='"').columns)
+
+
 def write_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
     """CSV with header; one file only where people are to read it."""
     (df.coalesce(1) if one_file else df).write.mode("overwrite").csv(path, header=True, escape='"')

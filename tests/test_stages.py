@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from curatrix.operators import classify as ml
@@ -81,3 +82,30 @@ def test_single_records_and_human_review(spark, tmp_path):
     stages.merge_reviewed(c, f"{tmp_path}/back")
     assert {(r.id, r.scope_curated, r.reviewer) for r in store.read("classified").collect()} == {("p1", "in", "me"), ("p2", "out", "auto")}
     assert ml.hash_encoder()(["a b"]).shape == (1, 64)
+
+
+@pytest.mark.parametrize("kernels", [True, False])
+@pytest.mark.parametrize("share", [None, 0.25])
+def test_training_with_a_test_set_or_folds(spark, tmp_path, kernels, share):
+    c = stages.Corpus(TableStore(spark, f"file://{tmp_path}/db"), f"file://{tmp_path}/models", families=False, with_kernel=kernels, test_size=share, max_fn=0.2)
+    training = spark.createDataFrame([(f"t{i}", f"oat milk {i}" if i % 2 else f"steel {i}", "x", "in" if i % 2 else "out", "PB" if i % 4 == 1 else "F") for i in range(80)], "id string, title string, abstract string, scope string, pillar string")
+    threshold = stages.train(c, training)
+    assert 0 < threshold <= 1
+    rows = training.select("id", "title", "abstract").join(c.store.read("training_embeddings"), "id")
+    out = {r.id: r for r in stages._predict(c, rows).collect()}
+    assert len(out) == 80 and sum((r.pred_scope == 1) == (int(i[1:]) % 2 == 1) for i, r in out.items()) > 60
+    assert {r.pred_pillar for r in out.values()} <= {"PB", "F"} and all(0 <= r.proba_pillar <= 1 for r in out.values())
+    assert "embeddings" in rows.columns and "features" not in next(iter(out.values())).asDict()
+
+
+def test_company_files(spark, tmp_path):
+    (tmp_path / "list.csv").write_text("Name,Cleaned-up Name\nacme inc,Acme\nbeta ag,Beta\nacme inc,Acme Group\n")
+    (tmp_path / "db.csv").write_text("Company\nZeta\nBeta\n\"Acme, Ltd\"\n")
+    known, companies = stages.company_files(spark, f"file://{tmp_path}/list.csv", f"file://{tmp_path}/db.csv")
+    assert [r.company for r in companies.orderBy("ordinal").collect()] == ["Acme", "Beta", "Acme Group", "Zeta", "Acme, Ltd"]
+    from curatrix.operators import names
+
+    df = spark.createDataFrame([("acme inc",), ("ACME GROUPS",)], "name string")
+    assert [r.clean_name for r in names.mapped(F.col("raw"), known, df.withColumnRenamed("name", "raw"), "clean_name").collect()] == ["ACME GROUP", "ACME GROUPS"]
+    found = {r.name: r.match for r in names.nearest_company(df, companies).collect()}
+    assert found["ACME GROUPS"] == "Acme Group"
