@@ -7,13 +7,14 @@ Tables: ``<run>`` (what a run found), ``<run>_reverse``, ``classified`` (all cur
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.pipeline import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.nulls import holds
@@ -24,6 +25,7 @@ from ..operators import curate, kernel, labels, names, review, search, splits, v
 from ..sources import connectors, files
 from ..sources.connectors import BatchClient
 from ..sources.store import TableStore
+from ..streaming.embeddings import embed_in_batches
 from .pipeline import submitted
 
 VERSION = ["family_id", "jurisdiction", "priority_year"]
@@ -52,6 +54,7 @@ class Corpus:
     pillar_c: float | None = None  # None: 1000 with a kernel, 0.1 without
     with_kernel: bool | None = None  # calibrated kernel machines or logistic regression; None: machines for families
     gamma: float = 0.01
+    embed_rows: int = 100_000  # of a batch, after which embeddings are safe
     landmarks: int = 512
     label_types: tuple[labels.LabelType, ...] = labels.PATENT_LABELS
     model: str = "any-model"
@@ -103,9 +106,7 @@ def acquire(c: Corpus, corpus: DataFrame, run: str) -> None:
 def train(c: Corpus, training: DataFrame) -> float:
     """Embed what is new, fit both models on everything, and choose the threshold from out-of-fold scores."""
     text = joined_text("title", "abstract")
-    if not c.store.exists("training_embeddings"):
-        c.store.replace("training_embeddings", c.spark.createDataFrame([], "id string, embeddings array<float>"))
-    c.store.append("training_embeddings", ml.embed_new(training, c.store.read("training_embeddings"), text, c.load_encoder))
+    _embed(c, "training_embeddings", training, text, "train")
     rows = training.drop("embeddings").join(c.store.read("training_embeddings"), "id")
     rows = rows.withColumn("scope", F.when(holds(F.col("scope") == "in"), "in").otherwise("out"))
     fit_rows, test_rows = rows, None
@@ -142,6 +143,13 @@ def _train_logistic(c: Corpus, rows: DataFrame, test: DataFrame | None) -> DataF
     return ml.cross_validated(rows, fit) if test is None else model.transform(test).select("id", "label", vector_to_array("probability")[1].alias("proba"))
 
 
+def _embed(c: Corpus, table: str, rows: DataFrame, text: Column, run: str) -> None:
+    """Embeddings of rows that have none, batch by batch; a repeated stage goes on behind the last batch."""
+    embed_in_batches(c.store, table, rows, text, c.load_encoder, f"{c.store.root}/_work/{table}", c.embed_rows, run)
+    # whatever a run that had its list of rows before left out, as when the rows have changed since
+    c.store.append(table, ml.embed_new(rows, c.store.read(table), text, c.load_encoder), f"embed-{run}-rest-{uuid.uuid4().hex}")
+
+
 def _predict(c: Corpus, rows: DataFrame) -> DataFrame:
     """Predictions of rows with embeddings."""
     threshold = files.load_threshold(c.spark, f"{c.models}/threshold")
@@ -170,9 +178,7 @@ def classify(c: Corpus, run: str) -> None:
     else:
         old, new = None, rows
     reps = curate.representatives(new, [c.group], year=c.year) if c.families else new
-    stored = c.store.read("embeddings") if c.store.exists("embeddings") else c.spark.createDataFrame([], "id string, embeddings array<float>")
-    fresh = ml.embed_new(reps, stored, joined_text("title", "abstract"), c.load_encoder)
-    c.store.append_or_create("embeddings", fresh)
+    _embed(c, "embeddings", reps, joined_text("title", "abstract"), run)
     decided = _predict(c, reps.join(c.store.read("embeddings"), "id")).select("id", c.group, *PREDICTIONS) if c.families else _predict(c, reps.join(c.store.read("embeddings"), "id")).select("id", *PREDICTIONS)
     done = curate.propagate(new, decided.drop("id") if c.families else decided, c.group, PREDICTIONS)
     if old is not None:

@@ -2,7 +2,15 @@
 
 Parquet has no UPDATE or DELETE, so a change writes the next version beside the current one and then
 moves a small pointer file, written under another name and renamed over it in one step; readers see the old table or
-the new one.  Paths go through Hadoop's file systems, so any store that Spark reads will do.
+the new one.  Paths go through Hadoop's file systems.  The rename is one step on HDFS and local disks; on an
+object store it is as atomic as its connector makes it.
+
+Rows are kept in folders ``__batch=...`` of the version.  An append with a batch id overwrites the folder
+of that id alone when it commits, so it can be repeated after a crash and leaves one copy.
+
+A change notes the version it starts from and refuses to move the pointer if another writer has moved it since;
+two that move it at the very same moment are not told apart, so a table has one writer at a time by agreement.
+Appends with different batch ids do not disturb one another.
 """
 
 from __future__ import annotations
@@ -15,6 +23,14 @@ from pyspark.sql import functions as F
 from ..functions.schema import add_columns, align
 
 
+#: Column that names the folder of an append.
+BATCH = "__batch"
+
+
+class ConcurrentWrite(RuntimeError):
+    """Another writer has changed the table since this change began."""
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -42,19 +58,25 @@ class TableStore:
             stream.close()
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.location(name))
+        return self.spark.read.option("recursiveFileLookup", "true").parquet(self.location(name))
 
     def columns(self, name: str) -> list[str]:
         return self.read(name).columns
 
-    def replace(self, name: str, df: DataFrame) -> None:
-        """Create the table or put ``df`` in its place.
+    def _current(self, name: str) -> str | None:
+        return self.location(name) if self.exists(name) else None
+
+    def replace(self, name: str, df: DataFrame, per_file: int = 0) -> None:
+        """Create the table or put ``df`` in its place, in files of at most ``per_file`` rows if that is given.
 
         The version before stays until the next change, for readers that have begun with it.
         """
+        old = self._current(name)
         path = f"{self.root}/{name}/v-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        old = self.location(name) if self.exists(name) else None
+        df.write.option("maxRecordsPerFile", per_file).parquet(f"{path}/{BATCH}=0")
+        if self._current(name) != old:
+            self._fs.delete(self._path(path), True)
+            raise ConcurrentWrite(f"table {name} has been changed by another writer")
         self._point(name, path)
         keep = {p.rsplit("/", 1)[1] for p in (path, old) if p}
         for entry in self._fs.listStatus(self._path(f"{self.root}/{name}")):
@@ -78,15 +100,22 @@ class TableStore:
             raise ValueError(f"table {name} exists")
         self.replace(name, df)
 
-    def append(self, name: str, df: DataFrame) -> None:
-        """Add rows, aligned to the table's columns."""
-        align(df, self.read(name).schema).write.mode("append").parquet(self.location(name))
-
-    def append_or_create(self, name: str, df: DataFrame) -> None:
+    def create_if_absent(self, name: str, df: DataFrame) -> bool:
+        """Create the table unless it is there; whether it was created."""
         if self.exists(name):
-            self.append(name, df)
-        else:
-            self.replace(name, df)
+            return False
+        self.replace(name, df)
+        return True
+
+    def append(self, name: str, df: DataFrame, batch: str | None = None) -> None:
+        """Add rows, aligned to the table's columns; a batch that has an id is there once, however often it is appended."""
+        rows = align(df, self.read(name).schema).withColumn(BATCH, F.lit(f"b-{batch or uuid.uuid4().hex}"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(self.location(name))
+
+    def append_or_create(self, name: str, df: DataFrame, batch: str | None = None) -> None:
+        """Append; a table that is not there is first made with no rows, so the batch id holds from the start."""
+        self.create_if_absent(name, df.limit(0))
+        self.append(name, df, batch)
 
     def add_columns(self, name: str, columns: dict[str, str]) -> None:
         if any(c not in self.columns(name) for c in columns):

@@ -1,8 +1,11 @@
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curatrix.functions.schema import align
-from curatrix.sources.store import TableStore, updated
+from curatrix.operators.classify import hash_encoder
+from curatrix.sources.store import ConcurrentWrite, TableStore, updated
+from curatrix.streaming.embeddings import embed_in_batches
 from curatrix.streaming.ingest import ingest
 
 
@@ -42,3 +45,80 @@ def test_stream_keeps_the_latest_version(spark, tmp_path):
         stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
         ingest(stream, store, "t", ["k"], ["publication_year"], f"{tmp_path}/cp").awaitTermination()
     assert {r.id for r in store.read("t").collect()} == {"c", "b"}
+
+
+def test_an_append_with_an_id_can_be_repeated(spark, tmp_path):
+    store = TableStore(spark, f"file://{tmp_path}/db")
+    frame = lambda *rows: spark.createDataFrame(list(rows), "id string, n int")
+    store.append_or_create("t", frame(("a", 1)), "x")
+    for _ in range(2):
+        store.append("t", frame(("b", 2), ("c", 3)), "y")
+        store.append_or_create("t", frame(("a", 1)), "x")
+    assert sorted(r.id for r in store.read("t").collect()) == ["a", "b", "c"] and store.columns("t") == ["id", "n"]
+    store.append("t", frame(("b", 5)), "y")  # the batch is replaced, whatever it held
+    assert sorted((r.id, r.n) for r in store.read("t").collect()) == [("a", 1), ("b", 5)]
+    store.append("t", frame(("d", 4)))
+    store.append("t", frame(("d", 4)))
+    store.append("t", store.read("t").where("id = 'a'"), "own")  # reads what it appends to
+    assert sorted(r.id for r in store.read("t").collect()) == ["a", "a", "b", "d", "d"]
+    store.append("t", frame(), "empty")
+    store.update("t", frame(("d", 7)), "id", ["n"])
+    assert sorted(r.n for r in store.read("t").collect()) == [1, 1, 5, 7, 7]
+    store.append("t", frame(("b", 6)), "y")  # ids of batches end with the version
+    assert store.read("t").count() == 6
+
+
+def test_an_append_that_fails_leaves_the_table(spark, tmp_path):
+    store = TableStore(spark, f"file://{tmp_path}/db")
+    store.create("t", spark.createDataFrame([("a", 1)], "id string, n int"))
+    bad = spark.range(10).select(F.col("id").cast("string").alias("id"), F.when(F.col("id") > 7, F.raise_error(F.lit("lost"))).otherwise(1).cast("int").alias("n"))
+    with pytest.raises(Exception, match="lost"):
+        store.append("t", bad, "y")
+    assert [r.id for r in store.read("t").collect()] == ["a"]
+    store.append("t", bad.where("id < '5'"), "y")
+    assert store.read("t").count() == 6
+
+
+def test_two_writers_are_told_apart(spark, tmp_path):
+    one, two = (TableStore(spark, f"file://{tmp_path}/db") for _ in range(2))
+    df = spark.createDataFrame([("a", 1)], "id string, n int")
+    one.create("t", df)
+
+    class Slow(TableStore):
+        looked = 0
+
+        def _current(self, name):
+            Slow.looked += 1
+            if Slow.looked == 2:  # another writer is done while this one writes
+                two.replace("t", df.withColumn("n", F.lit(2)))
+            return super()._current(name)
+
+    with pytest.raises(ConcurrentWrite):
+        Slow(spark, f"file://{tmp_path}/db").replace("t", df.withColumn("n", F.lit(3)))
+    assert [r.n for r in one.read("t").collect()] == [2]
+    assert one.create_if_absent("t", df) is False and one.create_if_absent("u", df) is True
+
+
+def test_a_killed_job_keeps_its_batches(spark, tmp_path):
+    store, work = TableStore(spark, f"file://{tmp_path}/db"), f"file://{tmp_path}/work"
+    rows = spark.range(50).select(F.col("id").cast("string").alias("id"), F.concat(F.lit("text "), F.col("id")).alias("text")).coalesce(1)
+    flag = tmp_path / "batches"
+    flag.mkdir()
+
+    def failing():
+        (flag / str(len(list(flag.iterdir())))).touch()
+        if len(list(flag.iterdir())) == 3:
+            raise RuntimeError("killed in batch 3")
+        return hash_encoder()
+
+    with pytest.raises(Exception, match="killed in batch 3"):
+        embed_in_batches(store, "e", rows, F.col("text"), failing, work, 10)
+    kept = {r.id for r in store.read("e").collect()}
+    assert len(kept) == 20
+    assert embed_in_batches(store, "e", rows, F.col("text"), hash_encoder, work, 10) == 3
+    found = [r.id for r in store.read("e").collect()]
+    assert len(found) == len(set(found)) == 50 and kept <= set(found)
+    assert embed_in_batches(store, "e", rows, F.col("text"), hash_encoder, work, 10) == 0
+    more = rows.unionByName(spark.createDataFrame([("new", "x"), (None, None)], "id string, text string"))
+    assert embed_in_batches(store, "e", more, F.col("text"), hash_encoder, work, 10, run="1") >= 1
+    assert store.read("e").where("id = 'new'").count() == 1
