@@ -6,17 +6,17 @@ the same questions from a table, with predicates that reach the scan.
 
 from __future__ import annotations
 
-import json
 import time
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 
 from ..operators.curate import first_of_each, seen
 from ..operators.search import has_code, in_years, matches
+from .exchange import service
 
 
 def by_phrases(corpus: DataFrame, queries: list[str], columns: tuple[str, ...], year: str, first: int, last: int) -> DataFrame:
@@ -64,7 +64,10 @@ class PagedSearch(DataSource):
 
     Options: ``client`` (module:function that gives a callable (query, skip, limit) -> list of dicts),
     ``query``, ``limit``, and ``pages``, how many are asked for side by side; the last goes on until a page is not
-    full, so no row is lost whatever their number.  The schema is given with ``.schema``.
+    full, so no row is lost whatever their number.  The schema is given with ``.schema``.  With the option ``year`` (a
+    column of whole numbers) comparisons with it are sent along as a span of years, where
+    ``spark.sql.python.filterPushdown.enabled`` is set.  Spark keeps the reader that took a filter with the loaded frame, so
+    with that option load a frame for each span; without it a frame can be filtered again and again.
     """
 
     @classmethod
@@ -77,20 +80,45 @@ class PagedSearch(DataSource):
 
 class PagedReader(DataSourceReader):
     def __init__(self, options: dict, schema):
-        self.options, self.names = dict(options), schema.fieldNames()
+        self.options, self.names, self.span = dict(options), schema.fieldNames(), None
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        """Keep what bounds the year; Spark goes on to check the rest."""
+        for f in filters:
+            if not self._bounds(f):
+                yield f
+
+    def _bounds(self, f: Filter) -> bool:
+        if "year" not in self.options or getattr(f, "attribute", None) != (self.options["year"],):
+            return False
+        first, last = self.span or (0, 9999)
+        if isinstance(f, EqualTo):
+            self.span = (max(first, f.value), min(last, f.value))
+        elif isinstance(f, (GreaterThan, GreaterThanOrEqual)):
+            self.span = (max(first, f.value + isinstance(f, GreaterThan)), last)
+        elif isinstance(f, (LessThan, LessThanOrEqual)):
+            self.span = (first, min(last, f.value - isinstance(f, LessThan)))
+        else:
+            return False
+        return True
+
+    def query(self) -> str:
+        where = f" where {self.options['year']} in [{self.span[0]}:{self.span[1]}]" if self.span else ""
+        return self.options.get("query", "") + where
 
     def partitions(self) -> list[InputPartition]:
+        if self.span and self.span[0] > self.span[1]:
+            return [InputPartition(None)]  # nothing is asked for
         return [InputPartition(n) for n in range(max(int(self.options.get("pages", 1)), 1))]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        import importlib
-
-        module, function = self.options["client"].split(":")
-        fetch = getattr(importlib.import_module(module), function)()
+        if partition.value is None:
+            return
+        fetch = service(self.options["client"])
         limit = int(self.options.get("limit", 1000))
         last, page = max(int(self.options.get("pages", 1)), 1) - 1, partition.value
         while True:
-            rows = list(fetch(self.options.get("query", ""), page * limit, limit))
+            rows = list(fetch(self.query(), page * limit, limit))
             yield from (tuple(row.get(n) for n in self.names) for row in rows)
             if partition.value < last or len(rows) < limit:
                 return
@@ -107,26 +135,6 @@ class BatchClient(Protocol):
     def results(self, spark: SparkSession, batch: str) -> DataFrame: ...
 
 
-class FileBatches:
-    """Batches as JSON lines in a folder, answered by a function: for tests and offline runs."""
-
-    def __init__(self, root: str, answer):
-        self.root, self.answer = root.rstrip("/"), answer
-
-    def submit(self, requests: DataFrame) -> str:
-        # the same requests are the same batch
-        batch = f"batch-{requests.agg(F.sum(F.xxhash64('custom_id', 'params') % (1 << 40))).first()[0] or 0:x}"
-        answer = F.udf(lambda p: json.dumps(self.answer(json.loads(p))), "string")
-        requests.select("custom_id", F.lit("succeeded").alias("result_type"), F.lit("tool_use").alias("stop_reason"), answer("params").alias("payload")).write.mode("overwrite").json(f"{self.root}/{batch}")
-        return batch
-
-    def state(self, batch: str) -> str:
-        return "ended"
-
-    def results(self, spark: SparkSession, batch: str) -> DataFrame:
-        return spark.read.schema("custom_id string, result_type string, stop_reason string, payload string").json(f"{self.root}/{batch}")
-
-
 def wait(client: BatchClient, batch: str, seconds: float = 600, sleep=time.sleep) -> None:
     """Poll until the batch has ended."""
     while client.state(batch) != "ended":

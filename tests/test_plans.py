@@ -9,6 +9,8 @@ from curatrix.plans.pipeline import Pipeline, incomplete, submitted
 from curatrix.plans.queries import QUERIES, SQL
 from curatrix.sources import connectors, files
 
+from .doubles import FileBatches
+
 
 def test_pipeline_resumes_where_it_failed(tmp_path):
     done, broken = [], [True]
@@ -30,7 +32,7 @@ def test_pipeline_resumes_where_it_failed(tmp_path):
 def test_batches_and_requests(spark, tmp_path):
     df = spark.createDataFrame([("a_1.x", "T", None)], "id string, title string, abstract string")
     reqs = verdicts.requests(df, "tool", "m", 512, "prompt")
-    client = connectors.FileBatches(f"file://{tmp_path}", lambda p: {"scope": "in", "n": p["max_tokens"], "m": p["messages"][0]["content"]})
+    client = FileBatches(f"file://{tmp_path}", lambda p: {"scope": "in", "n": p["max_tokens"], "m": p["messages"][0]["content"]})
     batch = client.submit(reqs)
     connectors.wait(client, batch, 0)
     r = client.results(spark, batch).first()

@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 from curatrix.operators import classify as ml
 from curatrix.plans import stages
 from curatrix.plans.pipeline import Pipeline
-from curatrix.sources.connectors import FileBatches
 from curatrix.sources.store import TableStore
 
+from .doubles import FileBatches
+
 SCHEMA = "id string, family_id long, jurisdiction string, priority_year int, publication_year int, kind string, title string, abstract string, cpc array<string>, assignee_names array<string>"
 
 
