@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -466,9 +467,16 @@ def verdict_parse_scope(spark, d):
     return verdicts.parse_scope(rows.select(F.col("doc_id").cast("string").alias("custom_id"), F.lit("succeeded").alias("result_type"), F.lit("tool_use").alias("stop_reason"), payload.alias("payload")))
 
 
-@query()
+REQUESTS = f"""
+SELECT CAST(doc_id AS VARCHAR) AS custom_id, '{{"model":"any-model","max_tokens":512,"temperature":0,"system":[{{"type":"text","text":"Decide whether the document is in scope.","cache_control":{{"type":"ephemeral"}}}}],"tools":[' ||
+  '{json.dumps(verdicts.scope_tool(), sort_keys=True, separators=(",", ":"))}' || '],"tool_choice":{{"type":"tool","name":"record_scope"}},"messages":[{{"role":"user","content":' ||
+  to_json('Title: ' || coalesce(source, 'None') || chr(10) || chr(10) || 'Abstract: ' || coalesce(text, 'None')) || '}}]}}' AS params FROM documents
+"""
+
+
+@query(REQUESTS)
 def verdict_requests(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "source", "text")
+    docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "source", "text")
     return verdicts.requests(docs, verdicts.scope_tool(), "any-model", 512, "Decide whether the document is in scope.", "source", "text", "doc_id")
 
 
@@ -606,3 +614,6 @@ def curate_documents(spark, d):
     docs = table(spark, d, "documents").withColumn("plain", strip_markup("text"))
     new = curate.unseen(docs.where(search.matches('"the and"', "plain")), table(spark, d, "labels"), "doc_id")
     return curate.representatives(new, ["source"], ("plain",), "lang", ("en", "de"), "n_chars", "doc_id").select("doc_id")
+
+
+from . import table_queries  # noqa: E402, F401  (registers its queries)

@@ -16,6 +16,11 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("value")).where("value <> ''")
 
 
+def codes(spark: SparkSession, path: str) -> DataFrame:
+    """Lines as they are, blank ones too."""
+    return spark.read.text(path).select("value")
+
+
 def query_lines(path: str) -> list[str]:
     """Search expressions of a small local file, a line each, blank ones left out."""
     with open(path, encoding="utf-8") as f:
