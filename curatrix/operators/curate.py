@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.nulls import all_of, null_safe_join
+from ..functions.nulls import all_of
 from ..functions.text import has_content
 
 
@@ -64,20 +64,30 @@ def split_known(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
     return joined.withColumn("is_known", F.coalesce("__mark", F.lit(False))).drop("__known", "__mark")
 
 
-def supersede(stored: DataFrame, incoming: DataFrame, keys: list[str], year: str = "publication_year") -> tuple[DataFrame, DataFrame]:
-    """(stored rows that stay, incoming rows that enter).
+def superseded(stored: DataFrame, incoming: DataFrame, keys: list[str], year: str = "publication_year") -> DataFrame:
+    """All rows of both, as structs ``stored`` or ``incoming``, with ``passes``: whether a stored row stays, an incoming one enters.
 
     An incoming row enters unless the key's newest stored year is as new; stored rows of a key go
-    when an incoming row is newer than all of them.
+    when an incoming row is newer than all of them.  Null keys match null.  One union and one shuffle serve both sides.
     """
-    newest = stored.groupBy(*keys).agg(F.max(year).alias("__stored"))
-    offered = incoming.groupBy(*keys).agg(F.max(year).alias("__offered"))
-    entering = null_safe_join(incoming, newest.withColumn("__has", F.lit(True)), keys, "left").where(
-        F.col("__has").isNull() | F.coalesce(F.col(year) > F.col("__stored"), F.lit(False))
-    )
-    beaten = null_safe_join(newest, offered, keys).where(F.col("__offered") > F.col("__stored")).select(*keys).withColumn("__beaten", F.lit(True))
-    staying = null_safe_join(stored, beaten, keys, "left").where(F.col("__beaten").isNull())
-    return staying.select(*stored.columns), entering.select(*incoming.columns)
+    rows = None
+    for side, df in (("stored", stored), ("incoming", incoming)):
+        other = {"stored": incoming, "incoming": stored}[side]
+        own = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+        columns = {side: own, ({"stored", "incoming"} - {side}).pop(): F.lit(None).cast(other.schema)}
+        part = df.select(*[F.col(k).alias(f"__k{n}") for n, k in enumerate(keys)], F.col(year).alias("__year"), F.lit(side == "stored").alias("__there"), *[columns[c].alias(c) for c in ("stored", "incoming")])
+        rows = part if rows is None else rows.unionByName(part)
+    key = Window.partitionBy(*[f"__k{n}" for n in range(len(keys))])
+    there = F.col("__there")
+    rows = rows.withColumns({"__old": F.max(F.when(there, F.col("__year"))).over(key), "__new": F.max(F.when(~there, F.col("__year"))).over(key), "__any": F.max(there).over(key)})
+    stays, enters = ~F.coalesce(F.col("__new") > F.col("__old"), F.lit(False)), ~F.col("__any") | F.coalesce(F.col("__year") > F.col("__old"), F.lit(False))
+    return rows.select(F.when(there, F.col("stored")).alias("stored"), F.when(~there, F.col("incoming")).alias("incoming"), F.when(there, stays).otherwise(enters).alias("passes"))
+
+
+def supersede(stored: DataFrame, incoming: DataFrame, keys: list[str], year: str = "publication_year") -> tuple[DataFrame, DataFrame]:
+    """(stored rows that stay, incoming rows that enter), see :func:`superseded`."""
+    rows = superseded(stored, incoming, keys, year).where("passes")
+    return tuple(rows.where(F.col(side).isNotNull()).select(f"{side}.*") for side in ("stored", "incoming"))
 
 
 def propagate(members: DataFrame, decisions: DataFrame, key: str, columns: list[str], order: list[Column] | None = None, how: str = "left") -> DataFrame:

@@ -2,9 +2,11 @@
 
 A weighted ratio of at least 95 can only come from the plain ratio or from one name's tokens being
 among the other's, as the partial variants are scaled to 90 at most.  Candidates are therefore found
-by the longest token of the smaller set, or by a shared part of the name: two strings at an indel ratio of ``cutoff`` differ in few enough
+by the rarest token of the smaller set, so a frequent token brings names together only if they have no rarer one, or by a
+shared part of the name: two strings at an indel ratio of ``cutoff`` differ in few enough
 edits that, cut into one part more than those, some part of the shorter is in the longer unchanged,
-near its place.  Only distinct names are compared; scores are computed in batches.
+near its place.  Pairs whose lengths rule such a score out are dropped before they are scored.  Only distinct names are
+compared; scores are computed in batches.
 """
 
 from __future__ import annotations
@@ -23,7 +25,9 @@ from ..functions.text import fold_accents
 def mapped(name: Column, known: DataFrame, df: DataFrame, column: str) -> DataFrame:
     """``column`` of ``df`` by the last entry of the map (name, clean, ordinal), upper case."""
     last = known.groupBy("name").agg(F.max_by("clean", "ordinal").alias("__clean"))
-    return df.join(last, name == last["name"], "left").withColumn(column, F.upper(F.coalesce("__clean", name))).drop("name", "__clean")
+    named = df.withColumn("__raw", name)
+    joined = named.join(last.withColumnRenamed("name", "__known"), F.col("__raw") == F.col("__known"), "left")
+    return joined.withColumn(column, F.upper(F.coalesce("__clean", "__raw"))).drop("__raw", "__known", "__clean")
 
 
 def map_lists(df: DataFrame, column: str, known: DataFrame, output: str, id_col: str = "id") -> DataFrame:
@@ -112,7 +116,7 @@ def prepare(names: pd.Series) -> pd.Series:
 
 
 def name_blocks(cutoff: float, grown: bool):
-    """Blocking keys of prepared names: tokens, and parts of the name with their place.
+    """Blocking keys of prepared names: parts of the name with their place.
 
     At ratio c and length n a partner has n - d to n + d characters, d = 2n(1 - c) / c rounded up; the shorter name is cut into
     d + 1 parts, of which one survives in place, moved by d at most.  ``grown`` gives all moves.
@@ -125,8 +129,7 @@ def name_blocks(cutoff: float, grown: bool):
         def of(s: str | None) -> list[str]:
             if not s:
                 return []
-            tokens = set(s.split())
-            out = {"w" + t for t in (tokens if grown else [min(tokens, key=lambda t: (-len(t), t))])}
+            out = set()
             if grown:
                 # of any shorter length n, its parts at all moves that the edits allow
                 n, low = len(s), math.ceil(len(s) * c / (2 - c))
@@ -157,15 +160,34 @@ def nearest_company(names: DataFrame, companies: DataFrame, name: str = "name",
     left = names.select(F.col(name).alias("__name")).where("__name is not null").distinct().withColumn("__a", prepare(fold_accents("__name")))
     right = companies.select(F.col(company).alias("__company"), F.col("ordinal").alias("__ordinal")).where("__company is not null")
     right = right.groupBy("__company").agg(F.min("__ordinal").alias("__ordinal")).withColumn("__b", prepare(fold_accents("__company")))
-    short, long = name_blocks(cutoff, False), name_blocks(cutoff, True)
-    # either side may be the shorter one
+    if cutoff < 95:
+        raise ValueError("below 95 partial matches count, which are not searched for")
+    left, right = (df.withColumn("__tokens", F.array_distinct(F.filter(F.split(c, " "), lambda w: w != ""))) for df, c in ((left, "__a"), (right, "__b")))
+    seen = left.select(F.explode("__tokens").alias("__token")).unionByName(right.select(F.explode("__tokens").alias("__token"))).groupBy("__token").agg(F.count("*").alias("__n"))
+
+    def rarest(df: DataFrame, name: str) -> DataFrame:
+        found = df.select(name, F.explode("__tokens").alias("__token")).join(seen, "__token")
+        return found.groupBy(name).agg(F.min_by("__token", F.struct("__n", "__token")).alias("__block"))
+
+    def all_tokens(df: DataFrame, name: str) -> DataFrame:
+        return df.select(name, F.explode("__tokens").alias("__block"))
+
+    def parts(df: DataFrame, name: str, prepared: str, grown: bool) -> DataFrame:
+        return df.select(name, F.explode(name_blocks(cutoff, grown)(prepared)).alias("__block"))
+
+    # either side may be the smaller or shorter one
     pairs = None
-    for f, g in ((short, long), (long, short)):
-        a = left.select("__name", "__a", F.explode(f("__a")).alias("__block"))
-        b = right.select("__company", "__b", "__ordinal", F.explode(g("__b")).alias("__block"))
-        found = a.join(b, "__block").select("__name", "__a", "__company", "__b", "__ordinal")
+    for a, b in (
+        (rarest(left, "__name"), all_tokens(right, "__company")), (all_tokens(left, "__name"), rarest(right, "__company")),
+        (parts(left, "__name", "__a", False), parts(right, "__company", "__b", True)), (parts(left, "__name", "__a", True), parts(right, "__company", "__b", False)),
+    ):
+        found = a.join(b, "__block").select("__name", "__company")
         pairs = found if pairs is None else pairs.unionByName(found)
-    scored = pairs.distinct().withColumn("score", score("__a", "__b")).where(F.col("score") >= cutoff)
+    pairs = pairs.distinct().join(left.select("__name", "__a"), "__name").join(right.select("__company", "__b", "__ordinal"), "__company")
+    longer, shorter = F.greatest(F.length("__a"), F.length("__b")), F.least(F.length("__a"), F.length("__b"))
+    # a plain ratio is 200 x the shorter length / both lengths at most, a token ratio needs similar lengths
+    possible = (longer < 1.5 * shorter) | (200.0 * shorter / (longer + shorter) >= cutoff)
+    scored = pairs.where(possible).withColumn("score", score("__a", "__b")).where(F.col("score") >= cutoff)
     best = scored.withColumn("__rank", F.row_number().over(Window.partitionBy("__name").orderBy(F.desc("score"), "__ordinal"))).where("__rank = 1")
     ok = F.length("__company") >= F.length("__name") * shortest
     return left.join(best.select("__name", "__company", "score"), "__name", "left").select(

@@ -175,8 +175,8 @@ SELECT o_orderkey, 'enters' FROM incoming t LEFT JOIN newest n ON n.o_custkey IS
 @query(SUPERSEDE)
 def version_supersession(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", F.year("o_orderdate").alias("y"))
-    staying, entering = curate.supersede(orders.where("o_orderkey % 2 = 0"), orders.where("o_orderkey % 2 = 1"), ["o_custkey", "o_orderpriority"], "y")
-    return staying.select("o_orderkey", F.lit("stays").alias("what")).unionByName(entering.select("o_orderkey", F.lit("enters").alias("what")))
+    rows = curate.superseded(orders.where("o_orderkey % 2 = 0"), orders.where("o_orderkey % 2 = 1"), ["o_custkey", "o_orderpriority"], "y").where("passes")
+    return rows.select(F.coalesce("stored.o_orderkey", "incoming.o_orderkey").alias("o_orderkey"), F.when(F.col("stored").isNotNull(), "stays").otherwise("enters").alias("what"))
 
 
 @query("""
@@ -594,7 +594,27 @@ def company_list(spark, d):
     return names.ordered_union((part, "a", "position"), (part, "b", "position")).select("company", F.col("ordinal.column").alias("first_column"), F.col("ordinal.position.row").alias("first_row"))
 
 
-@query()
+FUZZY_SQL = """
+WITH raw AS (SELECT DISTINCT CASE p_partkey % 3 WHEN 0 THEN array_to_string(list_reverse(string_split(p_name, ' ')), ' ') WHEN 1 THEN p_name[1:len(p_name) - 1] ELSE upper(p_name) END AS name FROM part WHERE p_name IS NOT NULL),
+n AS (SELECT name, trim(lower(name)) AS a FROM raw), c AS (SELECT p_name AS company, trim(lower(p_name)) AS b, min(p_partkey) AS ordinal FROM part GROUP BY ALL),
+pairs AS (SELECT DISTINCT a, b, list_sort(string_split(a, ' ')) AS x, list_sort(string_split(b, ' ')) AS y FROM n, c),
+sets AS (SELECT a, b, x, y, array_to_string(list_filter(list_distinct(x), lambda w: list_contains(y, w)).list_sort(), ' ') AS common,
+  array_to_string(list_filter(list_distinct(x), lambda w: NOT list_contains(y, w)).list_sort(), ' ') AS only_a, array_to_string(list_filter(list_distinct(y), lambda w: NOT list_contains(x, w)).list_sort(), ' ') AS only_b FROM pairs),
+texts AS (SELECT a, b, common, only_a, only_b, array_to_string(x, ' ') AS sa, array_to_string(y, ' ') AS sb, trim(common || ' ' || only_a) AS l, trim(common || ' ' || only_b) AS r FROM sets),
+asked AS (SELECT a AS s, b AS t FROM texts UNION SELECT sa, sb FROM texts UNION SELECT l, r FROM texts UNION SELECT common, l FROM texts UNION SELECT common, r FROM texts),
+equal AS (SELECT s, t, list_transform(string_split(s, ''), lambda p: list_transform(string_split(t, ''), lambda q: CAST(p = q AS INTEGER))) AS rows FROM asked WHERE s <> '' AND t <> ''),
+-- a row of longest common subsequences is the running maximum of what the row before allows
+lcs AS (SELECT s, t, list_max(list_reduce(list_prepend(list_transform(rows[1], lambda z: 0), rows), lambda o, e:
+  list_transform(range(1, len(e) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda i: greatest(o[i], CASE WHEN i > 1 THEN o[i - 1] ELSE 0 END + e[i])))))) AS k FROM equal),
+ratios AS (SELECT s, t, 200.0::DOUBLE * k / (len(s) + len(t)) AS v FROM lcs),
+scores AS (SELECT a, b, greatest(p.v, CASE WHEN greatest(len(a), len(b)) < 1.5 * least(len(a), len(b)) THEN 0.95::DOUBLE * CASE WHEN common <> '' AND (only_a = '' OR only_b = '') THEN 100 ELSE greatest(q.v, u.v, coalesce(w.v, 0), coalesce(z.v, 0)) END ELSE 0 END) AS score
+  FROM texts LEFT JOIN ratios p ON p.s = a AND p.t = b LEFT JOIN ratios q ON q.s = sa AND q.t = sb LEFT JOIN ratios u ON u.s = l AND u.t = r LEFT JOIN ratios w ON w.s = common AND w.t = l LEFT JOIN ratios z ON z.s = common AND z.t = r),
+best AS (SELECT name, company, score FROM n JOIN scores USING (a) JOIN c USING (b) WHERE score >= 95 QUALIFY row_number() OVER (PARTITION BY name ORDER BY score DESC, ordinal) = 1)
+SELECT name, CASE WHEN len(company) >= len(name) * 0.5 THEN company ELSE name END AS match, CASE WHEN len(company) >= len(name) * 0.5 THEN round(score, 4) END AS score FROM n LEFT JOIN best USING (name)
+"""
+
+
+@query(FUZZY_SQL)
 def fuzzy_name_match(spark, d):
     """Part names with their words turned around or a letter lost, against the list of part names."""
     part = table(spark, d, "part").select("p_partkey", "p_name")

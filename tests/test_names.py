@@ -42,3 +42,32 @@ def test_blocking_loses_no_match(spark):
             if v > score:
                 best, score = c, v
         assert got[t] == (best if len(best) >= len(t) * 0.5 else t), (t, best, got[t])
+
+
+def test_scores_that_the_public_scorers_give():
+    # published examples: plain, sorted-token and token-set ratios
+    assert abs(names.ratio("this is a test", "this is a test!") - 96.55172413793103) < 1e-9
+    assert abs(names.ratio("fuzzy wuzzy was a bear", "wuzzy fuzzy was a bear") - 90.9090909090909) < 1e-9
+    assert names.token_ratio("fuzzy wuzzy was a bear", "wuzzy fuzzy was a bear") == 100
+    assert names.token_ratio("fuzzy was a bear", "fuzzy fuzzy was a bear") == 100
+    assert names.weighted_ratio("wuzzy fuzzy was a bear", "fuzzy wuzzy was a bear") == 95
+
+
+def test_a_frequent_token_does_not_bring_all_together(spark):
+    many = [f"holding {i:05d}" for i in range(3000)]
+    df = spark.createDataFrame([(x,) for x in many], "name string")
+    comp = spark.createDataFrame([(f"{x.split()[1]} holding", n) for n, x in enumerate(many)], "company string, ordinal int")
+    out = names.nearest_company(df, comp)
+    got = {r.name: r.match for r in out.collect()}
+    assert all(got[x] == f"{x.split()[1]} holding" for x in many)
+    # pairs are looked up by the number, which is the rarer token
+    assert len(got) == 3000
+
+
+def test_a_column_called_name_is_kept(spark):
+    known = spark.createDataFrame([("a", "b", 0)], "name string, clean string, ordinal int")
+    df = spark.createDataFrame([("a", "mine")], "raw string, name string")
+    from pyspark.sql import functions as F
+
+    r = names.mapped(F.col("raw"), known, df, "clean_name").first()
+    assert (r.raw, r["name"], r.clean_name) == ("a", "mine", "B")

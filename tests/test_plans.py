@@ -68,7 +68,7 @@ def test_files(spark, tmp_path):
 
 def test_every_query_has_sql_or_a_reason():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"embed_classify_lr", "embed_classify_svm", "embed_cross_validated", "pillar_svm", "classify_pillar", "embed_new_documents", "fuzzy_name_match"}
+    assert set(QUERIES) - set(SQL) == {"embed_classify_lr", "embed_classify_svm", "embed_cross_validated", "pillar_svm", "classify_pillar", "embed_new_documents"}
 
 
 def test_classifiers_learn(spark, sf):
