@@ -92,12 +92,13 @@ def in_out(flag: str) -> Column:
 # --- models -------------------------------------------------------------------------------------
 
 
-def balanced(df: DataFrame, label: str = "label") -> DataFrame:
-    """Weights n / (classes x rows of the class)."""
-    sizes = df.groupBy(label).agg(F.count("*").alias("__n"))
-    stats = sizes.agg(F.sum("__n").alias("__all"), F.count("*").alias("__k"))
-    weights = sizes.crossJoin(stats).select(label, (F.col("__all") / (F.col("__k") * F.col("__n"))).alias("weight"))  # a row for each class
-    return df.join(F.broadcast(weights), label)
+def balanced(df: DataFrame, label: str = "label") -> tuple[DataFrame, int]:
+    """Weights n / (classes x rows of the class), and n; rows with a null label are left out."""
+    sizes = {r[0]: r["n"] for r in df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")).collect()}  # a row for each class
+    n, weight = sum(sizes.values()), F.lit(None).cast("double")
+    for value, rows in sizes.items():
+        weight = F.when(F.col(label) == value, F.lit(n / (len(sizes) * rows))).otherwise(weight)
+    return df.where(F.col(label).isNotNull()).withColumn("weight", weight), n
 
 
 def features(df: DataFrame, column: str = "embeddings") -> DataFrame:
@@ -106,8 +107,7 @@ def features(df: DataFrame, column: str = "embeddings") -> DataFrame:
 
 def logistic(df: DataFrame, c: float = 0.1, label: str = "label", max_iter: int = 1000):
     """Balanced logistic regression with inverse penalty ``c``, as summed losses have it."""
-    rows = balanced(df, label)
-    n = rows.count()
+    rows, n = balanced(df, label)
     return LogisticRegression(labelCol=label, weightCol="weight", regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-9).fit(rows)
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import fold_accents
+from ..sources import scratch
 
 
 def mapped(name: Column, known: DataFrame, df: DataFrame, column: str) -> DataFrame:
@@ -110,9 +111,9 @@ def score(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([weighted_ratio(x, y) for x, y in zip(a, b, strict=True)])
 
 
-@F.pandas_udf(T.StringType())
-def prepare(names: pd.Series) -> pd.Series:
-    return names.map(lambda s: None if s is None else prepared(s))
+def prepare(folded: Column) -> Column:
+    """The same of texts that are ASCII."""
+    return F.trim(F.regexp_replace(F.lower(folded), "[^a-z0-9]", " "))
 
 
 def name_blocks(cutoff: float, grown: bool):
@@ -151,6 +152,12 @@ def name_blocks(cutoff: float, grown: bool):
     return keys
 
 
+def _written(df: DataFrame) -> DataFrame:
+    path = scratch.folder(df.sparkSession, "names")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def nearest_company(names: DataFrame, companies: DataFrame, name: str = "name", company: str = "company", cutoff: float = 95.0, shortest: float = 0.5) -> DataFrame:
     """name, match, score: the best company of each distinct name, or the name itself.
 
@@ -162,7 +169,8 @@ def nearest_company(names: DataFrame, companies: DataFrame, name: str = "name",
     right = right.groupBy("__company").agg(F.min("__ordinal").alias("__ordinal")).withColumn("__b", prepare(fold_accents("__company")))
     if cutoff < 95:
         raise ValueError("below 95 partial matches count, which are not searched for")
-    left, right = (df.withColumn("__tokens", F.array_distinct(F.filter(F.split(c, " "), lambda w: w != ""))) for df, c in ((left, "__a"), (right, "__b")))
+    # distinct names are prepared once, as all that follows comes back to them
+    left, right = (_written(df.withColumn("__tokens", F.array_distinct(F.filter(F.split(c, " "), lambda w: w != "")))) for df, c in ((left, "__a"), (right, "__b")))
     seen = left.select(F.explode("__tokens").alias("__token")).unionByName(right.select(F.explode("__tokens").alias("__token"))).groupBy("__token").agg(F.count("*").alias("__n"))
 
     def rarest(df: DataFrame, name: str) -> DataFrame:
