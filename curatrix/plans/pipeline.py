@@ -1,8 +1,10 @@
-"""A stage graph that resumes: which steps of a run are done is kept in a small JSON file."""
+"""A stage graph that resumes: which steps of a run are done is kept in a small JSON file.
+
+Its folder may be on any file system that Arrow reads; on a cluster take one that outlives the driver.
+"""
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -11,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 
 from ..sources.connectors import BatchClient, wait
-from ..sources.files import read_json, write_json
+from ..sources.files import names_in, read_json, write_json
 
 
 def new_run(folder: str, config: dict, steps: list[str], now: datetime | None = None) -> dict:
@@ -23,39 +25,46 @@ def new_run(folder: str, config: dict, steps: list[str], now: datetime | None =
 
 
 def save(folder: str, run: dict) -> None:
-    write_json(os.path.join(folder, f"status_{run['run']}.json"), run)
+    write_json(f"{folder}/status_{run['run']}.json", run)
+
+
+def _latest(folder: str, start: str) -> list[dict]:
+    names = [n for n in names_in(folder) if n.startswith(start) and n.endswith(".json")]
+    return [read_json(f"{folder}/{n}") for n in reversed(names)]
 
 
 def incomplete(folder: str) -> dict | None:
     """The latest run with a step that is not done."""
-    names = sorted((n for n in os.listdir(folder) if n.startswith("status_") and n.endswith(".json")), reverse=True) if os.path.isdir(folder) else []
-    runs = (read_json(os.path.join(folder, n)) for n in names)
-    return next((r for r in runs if any(v != "done" for v in r["steps"].values())), None)
+    return next((r for r in _latest(folder, "status_") if any(v != "done" for v in r["steps"].values())), None)
 
 
 def incomplete_batch(folder: str, kind: str) -> dict | None:
     """The latest request batch of a kind that has not been completed."""
-    names = sorted((n for n in os.listdir(folder) if n.startswith(f"batch_{kind}_") and n.endswith(".json")), reverse=True) if os.path.isdir(folder) else []
-    found = (read_json(os.path.join(folder, n)) for n in names)
-    return next((b for b in found if not b.get("completed_at")), None)
+    return next((b for b in _latest(folder, f"batch_{kind}_") if not b.get("completed_at")), None)
 
 
-def submitted(folder: str | None, kind: str, client: BatchClient, requests: DataFrame, poll: float) -> tuple[str, Callable[[], None]]:
+def submitted(folder: str, kind: str, client: BatchClient, requests: DataFrame, poll: float) -> tuple[str, Callable[[], None]]:
     """The ended batch of a kind, and what marks it completed once its answers are stored.
 
-    A batch that was submitted and not completed is waited for; only without one the requests are submitted.
-    Without a folder they always are.
+    The intent is written before anything is sent, the service's id after.  A batch that was sent and not
+    completed is waited for.  After a crash between the two a client that has ``find`` is asked for the intent's
+    key, under which it sends (``submit(requests, key)``); one without has to know its requests again, as
+    ``ExecutorBatches`` does.
     """
-    found = incomplete_batch(folder, kind) if folder else None
+    found = incomplete_batch(folder, kind)
     if not found:
-        found = {"batch": client.submit(requests), "kind": kind, "file": f"batch_{kind}_{datetime.now():%y%m%d_%H%M%S}_{uuid.uuid4().hex[:6]}.json", "completed_at": None}
-        if folder:
-            write_json(os.path.join(folder, found["file"]), found)
+        key = uuid.uuid4().hex
+        found = {"batch": None, "key": key, "kind": kind, "file": f"batch_{kind}_{datetime.now():%y%m%d_%H%M%S}_{key[:6]}.json", "completed_at": None}
+        write_json(f"{folder}/{found['file']}", found)
+    elif not found["batch"] and hasattr(client, "find"):
+        found["batch"] = client.find(found["key"])
+    if not found["batch"]:
+        found["batch"] = client.submit(requests, found["key"]) if hasattr(client, "find") else client.submit(requests)
+    write_json(f"{folder}/{found['file']}", found)
     wait(client, found["batch"], poll)
 
     def completed() -> None:
-        if folder:
-            write_json(os.path.join(folder, found["file"]), found | {"completed_at": datetime.now().isoformat()})
+        write_json(f"{folder}/{found['file']}", found | {"completed_at": datetime.now().isoformat()})
 
     return found["batch"], completed
 

@@ -26,6 +26,7 @@ from ..sources import connectors, files
 from ..sources.connectors import BatchClient
 from ..sources.store import TableStore
 from ..streaming.embeddings import embed_in_batches
+from . import prompts
 from .pipeline import submitted
 
 VERSION = ["family_id", "jurisdiction", "priority_year"]
@@ -59,12 +60,30 @@ class Corpus:
     label_types: tuple[labels.LabelType, ...] = labels.PATENT_LABELS
     model: str = "any-model"
     prompts: dict[str, str] = field(default_factory=dict)
-    batches: str | None = None  # folder for what has been submitted, so that a repeated stage waits for it
+    prompt_folder: str | None = None  # of files such as scope.txt, category.txt and category.PB.txt
+    batches: str | None = None  # folder for what has been submitted, so that a repeated stage waits for it; None: beside the tables
 
     @property
     def spark(self) -> SparkSession:
         return self.store.spark
 
+    def prompt(self, name: str) -> str:
+        """The instruction of a request type: given, from its file, that of the type without its pillar, or the default."""
+        general = name.split(".")[0]
+        for n in dict.fromkeys((name, general)):
+            if n in self.prompts:
+                return self.prompts[n]
+            if self.prompt_folder and (text := files.read_text(f"{self.prompt_folder}/{n}.txt")):
+                return text.strip()
+        text = prompts.default(general)
+        if not text:
+            raise ValueError(f"no prompt for {name}")
+        return text
+
+    @property
+    def batch_folder(self) -> str:
+        return self.batches or f"{self.store.root}/_batches"
+
     @property
     def kernels(self) -> bool:
         return self.families if self.with_kernel is None else self.with_kernel
@@ -196,7 +215,7 @@ def scope(c: Corpus, run: str, client: BatchClient, poll: float = 600) -> None:
     """Ask about a representative of each positive group; the verdict goes to the whole group."""
     rows = c.store.read(run).where(F.col("pred_combined") == 1)
     reps = curate.representatives(rows, [c.group], year=c.year) if c.families else rows
-    batch, completed = submitted(c.batches, f"scope-{run}", client, verdicts.requests(reps, verdicts.scope_tool(), c.model, 512, c.prompts.get("scope", "")), poll)
+    batch, completed = submitted(c.batch_folder, f"scope-{run}", client, verdicts.requests(reps, verdicts.scope_tool(), c.model, 512, c.prompt("scope")), poll)
     found = verdicts.parse_scope(client.results(c.spark, batch)).withColumn("date_LLM", stamp())
     keyed = reps.select("id", *([c.group] if c.families else [])).join(found, "id")
     source = keyed.drop("id") if c.families else keyed
@@ -277,12 +296,12 @@ def label(c: Corpus, client: BatchClient, poll: float = 300) -> None:
             auto = labels.automatic(rows, kind).withColumn("date_labelled", stamp())
             c.store.update("classified", auto, "id", [columns[0], columns[2], "date_labelled"], merge_max=("date_labelled",))
         asked = labels.to_ask(rows, kind)
-        prompt = F.lit(c.prompts.get(kind.name, ""))
+        prompt = F.lit(c.prompt(kind.name))
         if kind.by_pillar:
-            prompt = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in kind.categories for x in (p, c.prompts.get(f"{kind.name}.{p}", ""))]), F.col("pillar_curated")), F.lit(""))
+            prompt = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in kind.categories for x in (p, c.prompt(f"{kind.name}.{p}"))]), F.col("pillar_curated")), prompt)
         tools = {p: verdicts.label_tool(f"label_{kind.name}", f"Record the {kind.output} of the document.", cats, kind.secondary) for p, cats in kind.categories.items()}
         text = F.try_element_at(F.create_map(*[F.lit(x) for p, t in tools.items() for x in (p, json.dumps(t))]), F.col("pillar_curated")) if kind.by_pillar else None
-        batch, completed = submitted(c.batches, f"label-{kind.name}", client, verdicts.requests(asked, next(iter(tools.values())), c.model, 150, prompt, tool_text=text), poll)
+        batch, completed = submitted(c.batch_folder, f"label-{kind.name}", client, verdicts.requests(asked, next(iter(tools.values())), c.model, 150, prompt, tool_text=text), poll)
         every = [x for group in kind.categories.values() for x in group]
         answers = verdicts.parse_labels(client.results(c.spark, batch), every, kind.name)
         given = asked.drop(*columns).join(answers, "id")
@@ -296,6 +315,6 @@ def label(c: Corpus, client: BatchClient, poll: float = 300) -> None:
     c.store.append_or_create("labelled", labels.assemble(c.store.read("classified"), done, c.label_types))
 
 
-def export(c: Corpus, path: str) -> None:
-    """The labelled table as one CSV file, without an index column."""
-    files.write_csv(c.store.read("labelled"), path, one_file=True)
+def export(c: Corpus, path: str, one_file: bool = False) -> None:
+    """The labelled table as CSV, without an index column; as one file, which one task writes, only if asked for."""
+    files.write_csv(c.store.read("labelled"), path, one_file)

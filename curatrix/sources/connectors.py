@@ -75,33 +75,14 @@ class PagedSearch(DataSource):
         return "paged_search"
 
     def reader(self, schema) -> DataSourceReader:
-        return PagedReader(self.options, schema)
+        # Spark refuses a reader that takes filters where that is not switched on
+        return (SpanReader if "year" in self.options else PagedReader)(self.options, schema)
 
 
 class PagedReader(DataSourceReader):
     def __init__(self, options: dict, schema):
         self.options, self.names, self.span = dict(options), schema.fieldNames(), None
 
-    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
-        """Keep what bounds the year; Spark goes on to check the rest."""
-        for f in filters:
-            if not self._bounds(f):
-                yield f
-
-    def _bounds(self, f: Filter) -> bool:
-        if "year" not in self.options or getattr(f, "attribute", None) != (self.options["year"],):
-            return False
-        first, last = self.span or (0, 9999)
-        if isinstance(f, EqualTo):
-            self.span = (max(first, f.value), min(last, f.value))
-        elif isinstance(f, (GreaterThan, GreaterThanOrEqual)):
-            self.span = (max(first, f.value + isinstance(f, GreaterThan)), last)
-        elif isinstance(f, (LessThan, LessThanOrEqual)):
-            self.span = (first, min(last, f.value - isinstance(f, LessThan)))
-        else:
-            return False
-        return True
-
     def query(self) -> str:
         where = f" where {self.options['year']} in [{self.span[0]}:{self.span[1]}]" if self.span else ""
         return self.options.get("query", "") + where
@@ -125,6 +106,30 @@ class PagedReader(DataSourceReader):
             page += 1
 
 
+class SpanReader(PagedReader):
+    """Takes comparisons with the year along."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        """Keep what bounds the year; Spark goes on to check the rest."""
+        for f in filters:
+            if not self._bounds(f):
+                yield f
+
+    def _bounds(self, f: Filter) -> bool:
+        if getattr(f, "attribute", None) != (self.options["year"],):
+            return False
+        first, last = self.span or (0, 9999)
+        if isinstance(f, EqualTo):
+            self.span = (max(first, f.value), min(last, f.value))
+        elif isinstance(f, (GreaterThan, GreaterThanOrEqual)):
+            self.span = (max(first, f.value + isinstance(f, GreaterThan)), last)
+        elif isinstance(f, (LessThan, LessThanOrEqual)):
+            self.span = (first, min(last, f.value - isinstance(f, LessThan)))
+        else:
+            return False
+        return True
+
+
 class BatchClient(Protocol):
     """What a service for batches of model requests has to offer."""
 

@@ -23,11 +23,12 @@ import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
+from .files import read_text, write_text
+
 RESULTS = "custom_id string, result_type string, stop_reason string, payload string"
 
 
@@ -36,24 +37,12 @@ def service(named: str):
     return getattr(importlib.import_module(module), function)()
 
 
-def _open(folder: str) -> tuple[pafs.FileSystem, str]:
-    fs, path = pafs.FileSystem.from_uri(folder)
-    fs.create_dir(path, recursive=True)
-    return fs, path
-
-
 def _get(folder: str, name: str) -> str | None:
-    fs, path = _open(folder)
-    if fs.get_file_info(f"{path}/{name}").type == pafs.FileType.NotFound:
-        return None
-    with fs.open_input_stream(f"{path}/{name}") as f:
-        return f.read().decode()
+    return read_text(f"{folder}/{name}")
 
 
 def _put(folder: str, name: str, text: str) -> None:
-    fs, path = _open(folder)
-    with fs.open_output_stream(f"{path}/{name}") as f:
-        f.write(text.encode())
+    write_text(f"{folder}/{name}", text)
 
 
 def send(client, folder: str, requests: list[tuple[str, str]]) -> str:

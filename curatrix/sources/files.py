@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import json
 import logging
-import os
 import sys
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,9 +33,41 @@ def code_list(path: str) -> list[str]:
         return f.read().splitlines()
 
 
+def place(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path or URI (``file://``, ``hdfs://``, ``s3://``), and the path in it."""
+    return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+
+
+def read_text(path: str) -> str | None:
+    """A small file's text; None if there is no such file."""
+    fs, at = place(path)
+    if fs.get_file_info(at).type != pafs.FileType.File:
+        return None
+    with fs.open_input_stream(at) as f:
+        return f.read().decode()
+
+
+def write_text(path: str, text: str) -> None:
+    """Written beside and moved, so a reader never sees half a file."""
+    fs, at = place(path)
+    fs.create_dir(at.rpartition("/")[0] or ".", recursive=True)
+    with fs.open_output_stream(f"{at}.new") as f:
+        f.write(text.encode())
+    fs.move(f"{at}.new", at)
+
+
+def names_in(folder: str) -> list[str]:
+    fs, at = place(folder)
+    found = fs.get_file_info(pafs.FileSelector(at, allow_not_found=True))
+    return sorted(f.base_name for f in found if f.type == pafs.FileType.File)
+
+
 def prompt(path: str) -> str:
-    with open(path, encoding="utf-8") as f:
-        return f.read().strip()
+    """A prompt file, white space around it left out."""
+    text = read_text(path)
+    if text is None:
+        raise FileNotFoundError(path)
+    return text.strip()
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -53,16 +85,11 @@ def write_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
 
 
 def read_json(path: str) -> dict:
-    with open(path, encoding="utf-8") as f:
-        return json.load(f)
+    return json.loads(read_text(path))
 
 
 def write_json(path: str, value: dict) -> None:
-    """Written beside and renamed, so a reader never sees half a file."""
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(f"{path}.new", "w", encoding="utf-8") as f:
-        json.dump(value, f, indent=2)
-    os.replace(f"{path}.new", path)
+    write_text(path, json.dumps(value, indent=2))
 
 
 def save_threshold(spark: SparkSession, path: str, value: float) -> None:

@@ -109,7 +109,42 @@ def test_a_batch_is_submitted_once(spark, tmp_path):
     completed()
     other, _ = submitted(str(tmp_path), "scope-r", Client(), None, 0)
     assert other == "batch-2"
-    assert submitted(None, "scope-r", Client(), None, 0)[0] == "batch-3"
+
+
+def test_a_crash_between_intent_and_id_pays_once(tmp_path):
+    class Service:
+        sent = {}
+
+        def find(self, key):
+            return self.sent.get(key)
+
+        def submit(self, requests, key):
+            self.sent[key] = f"batch-{len(self.sent) + 1}"
+            if len(self.sent) == 1:
+                raise RuntimeError("lost after the service took it")
+            return self.sent[key]
+
+        def state(self, batch):
+            return "ended"
+
+    with pytest.raises(RuntimeError):
+        submitted(f"file://{tmp_path}/b", "scope-r", Service(), None, 0)
+    assert submitted(f"file://{tmp_path}/b", "scope-r", Service(), None, 0)[0] == "batch-1" and len(Service.sent) == 1
+    assert submitted(f"file://{tmp_path}/b", "label-x", Service(), None, 0)[0] == "batch-2"
+
+
+def test_prompts_are_given_read_or_the_default(tmp_path):
+    from curatrix.plans import prompts
+    from curatrix.plans.stages import Corpus
+
+    (tmp_path / "category.txt").write_text(" from a file \n")
+    c = Corpus(None, "", prompts={"scope": "given"}, prompt_folder=str(tmp_path))
+    assert c.prompt("scope") == "given" and c.prompt("category") == c.prompt("category.PB") == "from a file"
+    assert c.prompt("endproduct") == prompts.default("endproduct") and "schema" not in prompts.SCOPE
+    with pytest.raises(ValueError, match="no prompt"):
+        c.prompt("other")
+    with pytest.raises(FileNotFoundError):
+        files.prompt(str(tmp_path / "none.txt"))
 
 
 def test_paged_search_reads_to_the_end(spark):
