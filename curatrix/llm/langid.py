@@ -50,7 +50,7 @@ PRIOR, FLOOR = 200.0, 0.05
 #: Distinct words that a task counts before it hands them on, and that a worker remembers with their scores.
 COUNTED, REMEMBERED = 200_000, 250_000
 #: Bytes of words scored side by side.
-SIDE = 1 << 19
+SIDE = 1 << 17
 _TINY, _BACK, _MOST = 1e-100, 1e100, 1e300
 #: A factor exp(LIFT) for each byte keeps the sums of the fit in range.
 LIFT = 2.5
@@ -82,8 +82,11 @@ class Vocabulary:
         self.sorted = hashes[self.order]
         if (self.sorted[1:] == self.sorted[:-1]).any():
             raise ValueError("pieces are not distinct")
-        self.maybe = np.zeros(1 << self.BITS, bool)
-        self.maybe[hashes >> U64(64 - self.BITS)] = True
+        # pieces whose hashes begin alike stand side by side: the first of each beginning, and how many there are at most
+        heads = (self.sorted >> U64(64 - self.BITS)).astype(np.int64)
+        self.first = np.full(1 << self.BITS, -1, np.int32)
+        self.first[heads[::-1]] = np.arange(self.size - 1, -1, -1, dtype=np.int32)
+        self.alike = int(np.bincount(heads).max())
 
     def _prepare(self, raw: np.ndarray) -> None:
         up, self._down = powers(len(raw) + 1)
@@ -105,9 +108,13 @@ class Vocabulary:
         for k in range(1, min(self.longest, int(sizes.max())) + 1):
             at = at[left[at] >= k]
             h = self._hash(at, k)
-            near = np.flatnonzero(self.maybe[h >> U64(64 - self.BITS)])
-            place = np.minimum(np.searchsorted(self.sorted, h[near]), self.size - 1)
-            near, place = (x[self.sorted[place] == h[near]] for x in (near, place))
+            place = self.first[h >> U64(64 - self.BITS)]
+            near = np.flatnonzero(place >= 0)
+            place, h = place[near], h[near]
+            for _ in range(self.alike - 1):
+                place = np.minimum(place + (self.sorted[place] < h), self.size - 1)
+            good = self.sorted[place] == h
+            near, place = near[good], place[good]
             own = owner[at[near]]
             end = sizes[own] - left[at[near]] + k
             keys.append(end * _GROUPED + k)
