@@ -173,24 +173,16 @@ def nearest_company(names: DataFrame, companies: DataFrame, name: str = "name",
     left, right = (_written(df.withColumn("__tokens", F.array_distinct(F.filter(F.split(c, " "), lambda w: w != "")))) for df, c in ((left, "__a"), (right, "__b")))
     seen = left.select(F.explode("__tokens").alias("__token")).unionByName(right.select(F.explode("__tokens").alias("__token"))).groupBy("__token").agg(F.count("*").alias("__n"))
 
-    def rarest(df: DataFrame, name: str) -> DataFrame:
+    def blocks(df: DataFrame, name: str, prepared: str, tags: str) -> DataFrame:
+        """Keys under which names meet: rarest token, all tokens, parts of the shorter and of the longer name."""
+        tagged = lambda tag, keys: F.transform(keys, lambda k: F.concat(F.lit(tag), k))
         found = df.select(name, F.explode("__tokens").alias("__token")).join(seen, "__token")
-        return found.groupBy(name).agg(F.min_by("__token", F.struct("__n", "__token")).alias("__block"))
-
-    def all_tokens(df: DataFrame, name: str) -> DataFrame:
-        return df.select(name, F.explode("__tokens").alias("__block"))
-
-    def parts(df: DataFrame, name: str, prepared: str, grown: bool) -> DataFrame:
-        return df.select(name, F.explode(name_blocks(cutoff, grown)(prepared)).alias("__block"))
-
-    # either side may be the smaller or shorter one
-    pairs = None
-    for a, b in (
-        (rarest(left, "__name"), all_tokens(right, "__company")), (all_tokens(left, "__name"), rarest(right, "__company")),
-        (parts(left, "__name", "__a", False), parts(right, "__company", "__b", True)), (parts(left, "__name", "__a", True), parts(right, "__company", "__b", False)),
-    ):
-        found = a.join(b, "__block").select("__name", "__company")
-        pairs = found if pairs is None else pairs.unionByName(found)
+        rare = found.groupBy(name).agg(F.concat(F.lit(tags[0]), F.min_by("__token", F.struct("__n", "__token"))).alias("__block"))
+        keys = F.concat(tagged(tags[1], F.col("__tokens")), tagged(tags[2], name_blocks(cutoff, False)(prepared)), tagged(tags[3], name_blocks(cutoff, True)(prepared)))
+        return df.select(name, F.explode(keys).alias("__block")).unionByName(rare)
+
+    # either side may be the smaller or shorter one: what is rarest or short on one side meets what is whole or long on the other
+    pairs = blocks(left, "__name", "__a", "wWsl").join(blocks(right, "__company", "__b", "Wwls"), "__block").select("__name", "__company")
     pairs = pairs.distinct().join(left.select("__name", "__a"), "__name").join(right.select("__company", "__b", "__ordinal"), "__company")
     longer, shorter = F.greatest(F.length("__a"), F.length("__b")), F.least(F.length("__a"), F.length("__b"))
     # a plain ratio is 200 x the shorter length / both lengths at most, a token ratio needs similar lengths
