@@ -65,8 +65,12 @@ CHROME_ROLES = frozenset("navigation banner contentinfo complementary search ale
 CHROME_WORDS = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs masthead footer sidebar aside widget ad ads advert adverts advertisement banner sponsor sponsored promo promotion cookie cookies consent notice notices alert popup modal newsletter subscribe subscription comment comments disqus respond replies share sharing social related recommended login signup search pagination pager skip".split()
 )
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL)
-ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+# attributes as a browser reads them: a name may hold quotes, a value is quoted only if it begins with a quote, and then ends with the next or the page
+VALUE = r"""(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s"'>][^\s>]*+)"""
+NAME = r"(?:=[^\s/>=]*+|[^\s/>=]++)"
+TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|{NAME}(?:\s*+=\s*+{VALUE}?+)?+)*+)(?:>|\Z)", re.DOTALL)
+ATTRIBUTE = re.compile(rf"({NAME})(?:\s*+=\s*+({VALUE})?+)?+")
+READ = re.compile(r"class|id|role", re.IGNORECASE)
 WORDS = re.compile(r"[a-z0-9]+")
 HOST = r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
@@ -80,13 +84,16 @@ class Node:
         self.classes = ""
         self.chrome = tag in CHROME_TAGS
         self.by_word = ""  # what holds a chrome word among others: "class" or "id"
-        if attributes:
-            for name, a, b, c in ATTRIBUTE.findall(attributes):
-                value = (a or b or c).lower()
-                if name.lower() == "role":
+        if attributes and READ.search(attributes):
+            seen = set()
+            for name, value in ATTRIBUTE.findall(attributes):
+                name, value = name.lower(), (value.strip(value[0]) if value[:1] in ("'", '"') else value).lower()
+                if name not in ("class", "id", "role") or not value or name in seen:
+                    continue  # of several of a name the first counts
+                seen.add(name)
+                if name == "role":
                     self.chrome |= value in CHROME_ROLES
                 else:
-                    name = name.lower()
                     if name == "class":
                         self.classes = value
                     if tag in ("body", "html", "article", "main") or (tag in HEADINGS and name == "id"):

@@ -452,3 +452,17 @@ def test_pages_of_the_tables(spark, sf):
 @pytest.mark.parametrize("value", list(product((None, "", "x"), repeat=1)))
 def test_single_texts(value):
     assert quality.measure(value[0] or "")[0][0] in (0, 1)
+
+
+def test_attributes_as_browsers_read_them():
+    text = lambda html: "\n\n".join(wrapper.blocks(wrapper.parse(html)))
+    assert text("<p title=it's>One</p><p>Two don't three</p>") == "One\n\nTwo don't three"
+    assert text('A <a href="x>y</a> z') == "A"  # the quote is never closed: the tag runs to the end of the page
+    assert text('A <a href="x>y</a> z" class=b>link</a> B') == "A link B"
+    assert text("""<p data-x='a>b' q"r = "c>d" e=f'g">One</p>""") == "One"
+    assert text("<p =x / y = >One</p><p a= b>Two</p>") == "One\n\nTwo"
+    assert text("<p title='class=menu id=nav'>One</p><p class=a class=menu>Two</p>") == "One\n\nTwo"
+    assert text("<p CLASS = 'Menu'>One</p><p role=\"navigation\">Two</p><p>Three</p>") == "Three"
+    assert text("<p>1 < 2 and <3</p><p x='' y>One</p>") == "1 < 2 and <3\n\nOne"
+    long = "<p " + "a='b' " * 100_000 + ">One</p>" + "<" * 50_000 + "<p>Two</p>"
+    assert text(long).startswith("One") and text(long).endswith("Two")
