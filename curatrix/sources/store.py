@@ -117,6 +117,14 @@ class TableStore:
         self.create_if_absent(name, df.limit(0))
         self.append(name, df, batch)
 
+    def sizes(self, name: str) -> tuple[int, int]:
+        """Bytes of the last replacement and of the appends since, from the folders' listing alone."""
+        base = self.location(name)
+        whole = self._fs.getContentSummary(self._path(base)).getLength()
+        first = self._path(f"{base}/{BATCH}=0")
+        kept = self._fs.getContentSummary(first).getLength() if self._fs.exists(first) else 0
+        return kept, whole - kept
+
     def add_columns(self, name: str, columns: dict[str, str]) -> None:
         if any(c not in self.columns(name) for c in columns):
             self.replace(name, add_columns(self.read(name), columns))

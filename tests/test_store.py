@@ -6,7 +6,7 @@ from curatrix.functions.schema import align
 from curatrix.operators.classify import hash_encoder
 from curatrix.sources.store import ConcurrentWrite, TableStore, updated
 from curatrix.streaming.embeddings import embed_in_batches
-from curatrix.streaming.ingest import ingest
+from curatrix.streaming.ingest import current, ingest
 
 
 def test_store_round(spark, tmp_path):
@@ -37,14 +37,55 @@ def test_align_serialises_nested_once(spark):
     assert [tuple(r) for r in out.collect()] == [(1, '["a"]', None)]
 
 
+VERSIONS = "id string, k string, publication_year int"
+
+
+def arrive(spark, store, folder, *waves, **options):
+    """Ingest each wave of rows as a micro-batch of its own."""
+    for rows in waves:
+        spark.createDataFrame(rows, VERSIONS).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(VERSIONS).parquet(f"{folder}/in")
+        ingest(stream, store, "t", ["k"], ["publication_year"], f"{folder}/cp", **options).awaitTermination()
+    return {(r.id, r.k) for r in current(store.read("t"), ["k"], ["publication_year"]).collect()}
+
+
 def test_stream_keeps_the_latest_version(spark, tmp_path):
     store = TableStore(spark, f"file://{tmp_path}/db")
-    schema = "id string, k string, publication_year int"
-    for n, rows in enumerate(([("a", "x", 2000), ("b", "y", 2000)], [("c", "x", 2001), ("d", "y", 1999)])):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
-        ingest(stream, store, "t", ["k"], ["publication_year"], f"{tmp_path}/cp").awaitTermination()
-    assert {r.id for r in store.read("t").collect()} == {"c", "b"}
+    assert arrive(spark, store, tmp_path, [("a", "x", 2000), ("b", "y", 2000)], [("c", "x", 2001), ("d", "y", 1999)]) == {("c", "x"), ("b", "y")}
+
+
+def test_stream_ties_nulls_and_an_empty_wave(spark, tmp_path):
+    store = TableStore(spark, f"file://{tmp_path}/db")
+    waves = [[("m", "x", 2000), ("p", "x", 2000), ("n", None, 2000), ("o", "z", None)], [], [("a", "x", 2000), ("q", "z", 1)]]
+    # of equally new ones the first to arrive stays, a year beats no year, rows without a key are left out
+    assert arrive(spark, store, tmp_path, *waves) == {("m", "x"), ("q", "z")}
+
+
+def test_a_micro_batch_appends_and_folding_is_rare(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, f"file://{tmp_path}/db")
+    moved = []
+    replace = TableStore.replace
+    monkeypatch.setattr(TableStore, "replace", lambda self, name, *a, **k: moved.append(name) or replace(self, name, *a, **k))
+    waves = [[(f"{n}-{i:02}", f"{i % 7}", 2000 + n) for i in range(20)] for n in range(6)]
+    found = arrive(spark, store, tmp_path, *waves, fold_at=1e9)
+    assert moved == ["t"]  # the creation alone
+    assert store.read("t").count() == 6 * 7 and found == {(f"5-{i:02}", f"{i}") for i in range(7)}
+    assert arrive(spark, store, tmp_path, [("z", "0", 3000)], fold_at=0.0) == (found - {("5-00", "0")}) | {("z", "0")}
+    assert moved == ["t", "t"] and store.read("t").count() == 7 and store.sizes("t")[1] == 0
+
+
+def test_a_replayed_micro_batch_changes_nothing(spark, tmp_path):
+    store = TableStore(spark, f"file://{tmp_path}/db")
+    waves = [[("a", "x", 2000)], [("b", "x", 2001), ("c", "y", 2001)]]
+    before = arrive(spark, store, tmp_path, *waves, fold_at=1e9)
+    (tmp_path / "cp" / "commits" / "1").unlink()  # as if the job had died between the append and the commit
+    (tmp_path / "cp" / "commits" / ".1.crc").unlink(missing_ok=True)
+    rows = store.read("t").count()
+    assert arrive(spark, store, tmp_path, [], fold_at=1e9) == before and store.read("t").count() == rows
+    (tmp_path / "cp" / "commits" / "1").unlink()
+    (tmp_path / "cp" / "commits" / ".1.crc").unlink(missing_ok=True)
+    # folded before the replay: the versions are there twice, the view shows them once
+    assert arrive(spark, store, tmp_path, [], fold_at=0.0) == before
 
 
 def test_an_append_with_an_id_can_be_repeated(spark, tmp_path):
