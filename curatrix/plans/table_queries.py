@@ -11,6 +11,7 @@ from ..functions.text import fold_accents, joined_text, stamp
 from ..operators import classify, curate, kernel, labels, names, review, verdicts
 from ..sources import connectors, files, scratch
 from ..sources.store import TableStore
+from ..streaming import ingest
 from ..streaming.embeddings import embed_in_batches
 from .queries import query, table
 
@@ -302,3 +303,19 @@ def embed_batches(spark, d):
     for _ in range(2):
         embed_in_batches(store, "embeddings", docs, joined_text("source", "text"), classify.hash_encoder, work, 50_000)
     return store.read("embeddings").where("size(embeddings) > 0").select("id", F.size("embeddings").alias("dimensions"))
+
+
+@query("""
+SELECT o_custkey, o_orderkey AS id, o_orderdate FROM orders WHERE o_custkey IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey % 2, o_orderkey) = 1
+""")
+def ingest_latest(spark, d):
+    """The latest order of each customer: even orders are there, odd ones arrive as a stream; of one day's the stored one stays."""
+    store, work = _store(spark), scratch.folder(spark, "work")
+    orders = table(spark, d, "orders")
+    narrow = lambda df: df.select("o_custkey", F.col("o_orderkey").alias("id"), "o_orderdate")
+    store.create("orders", narrow(orders.where("o_orderkey % 2 = 0")))
+    stream = spark.readStream.schema(orders.schema).parquet(f"{d}/orders.parquet*")  # a pattern, as it may be one file
+    odd = lambda df: narrow(df.where("o_orderkey % 2 = 1"))
+    ingest.ingest(stream, store, "orders", ["o_custkey"], ["o_orderdate"], f"{work}/progress", odd).awaitTermination()
+    return ingest.current(store.read("orders"), ["o_custkey"], ["o_orderdate"]).drop(ingest.ARRIVAL)
