@@ -12,6 +12,11 @@ least n1 - k of them; a set's signature in a partition is a hash of its shingles
 one-element subsets of the partitions).  n1 leaves room for partitions that are empty in both sets,
 where agreement says nothing.
 
+*Prefixes.*  A set that can differ from its partners in a window by K shingles emits its first K + 1
+partitions that are not empty, in the order of partitions, and no more.  Of two sets take the one whose
+prefix ends first: the other emits what it has up to there, and at most K of these K + 1 differ, so one
+is equal in both.
+
 *Tiers.*  Shingles that a bounded sample of documents shows to be common are left out of the first
 tier's signatures: the count argument holds for what is left as well, and passages that many
 documents share make no candidates.  A set with so many empty partitions that all agreements could be
@@ -120,8 +125,8 @@ def signatures(values: np.ndarray, owner: np.ndarray, size: np.ndarray, common:
     sigs: list[np.ndarray] = []
     refs: list[np.ndarray] = []
 
-    def partition(tier: int, t: int, k: int, n1: int, chosen: np.ndarray, v: np.ndarray, o: np.ndarray) -> np.ndarray:
-        """Emit one signature for each partition that is not empty; the chosen sets that are too sparse."""
+    def partition(tier: int, t: int, n1: int, most: np.ndarray, chosen: np.ndarray, v: np.ndarray, o: np.ndarray) -> np.ndarray:
+        """Emit signatures of the first ``most + 1`` partitions that are not empty; the chosen sets that have too few."""
         e = chosen[o]
         v, o = v[e], o[e]
         part = ((v >> U64(32)) * U64(n1)) >> U64(32)
@@ -130,10 +135,12 @@ def signatures(values: np.ndarray, owner: np.ndarray, size: np.ndarray, common:
         if len(key):
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             body = np.add.reduceat(mix(v ^ U64(0x3C6EF372FE94F82B + tier)), first)
-            sigs.append(mix(body + mix(part[first] + (U64(t) << U64(33)) + (U64(tier) << U64(60)))))
-            refs.append(o[first])
-            full = np.bincount(o[first], minlength=len(size))
-        return chosen & (n1 - full >= n1 - k)
+            ref = o[first]
+            full = np.bincount(ref, minlength=len(size))
+            prefix = np.arange(len(ref)) - (np.cumsum(full) - full)[ref] <= most[ref]
+            sigs.append(mix(body + mix(part[first] + (U64(t) << U64(33)) + (U64(tier) << U64(60))))[prefix])
+            refs.append(ref[prefix])
+        return chosen & (full <= most)
 
     if not len(size):
         return np.zeros(0, U64), np.zeros(0, np.int64)
@@ -143,12 +150,15 @@ def signatures(values: np.ndarray, owner: np.ndarray, size: np.ndarray, common:
         rare_v, rare_o = values[rare], owner[rare]
     else:
         rare_v, rare_o = values, owner
-    for t, (lo, _, top, k, n1) in enumerate(bands(int(size.max()), num, den)):
+    for t, (lo, hi, top, _, n1) in enumerate(bands(int(size.max()), num, den)):
         sparse = (size >= lo) & (size <= top)
         if not sparse.any():
             continue
+        # a partner has num / den to den / num of the size, and the smaller of both is in the band
+        partner = np.where(size > hi, hi, np.minimum(size * den // num, top))
+        most = (size + partner) * (den - num) // (num + den)
         for tier, (v, o) in enumerate(((rare_v, rare_o), (values, owner))):
-            sparse = partition(tier, t, k, n1, sparse, v, o)
+            sparse = partition(tier, t, n1, most, sparse, v, o)
             if not sparse.any():
                 break
         else:

@@ -162,6 +162,27 @@ def test_linked_pairs_share_a_signature():
         assert met < 0.5 * len(sets) ** 2 / 2
 
 
+def test_prefixes_of_partitions_lose_no_pair():
+    rng = np.random.default_rng(7)
+    for size in [1, 2, 5, 9, 17, 40, 97, 150, 260, 777, 1500]:
+        # a pair as far apart as a link allows, and with one shingle more in the larger one
+        sets = []
+        for larger in {size, size * 7 // 6, size * 4 // 3}:
+            pool = rng.permutation(np.unique(rng.integers(0, 1 << 64, 5 * size + 50, np.uint64)))
+            both = -(-3 * (size + larger) // 7)
+            if both <= size:
+                sets += [np.sort(pool[:size]), np.sort(np.r_[pool[:both], pool[2 * size : 2 * size + larger - both]])]
+        values, sizes = np.concatenate(sets), np.array([len(s) for s in sets])
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        for common in (np.zeros(0, np.uint64), np.sort(values[rng.random(len(values)) < 0.4])):
+            sig, ref = partenum.signatures(values, owner, sizes, common, 3, 4)
+            mine = [set(sig[ref == i].tolist()) for i in range(len(sets))]
+            assert all(mine[i] & mine[i + 1] for i in range(0, len(sets), 2))
+            if size > 90 and not len(common):
+                # a third of the size and one for each of two windows at most: what the distance asks for, not all partitions
+                assert all(len(m) <= 2 * (n // 3 + 1) for m, n in zip(mine, sizes, strict=True))
+
+
 def test_local_join_by_brute_force():
     import pyarrow as pa
 
