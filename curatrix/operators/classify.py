@@ -23,16 +23,29 @@ from .splits import folds
 
 Encoder = Callable[[list[str]], np.ndarray]
 
+#: Words whose hashes an encoder remembers.
+MEMO_WORDS = 100_000
+
 
 def hash_encoder(dimensions: int = 64) -> Encoder:
     """A deterministic stand-in for a pretrained encoder: signed hashes of words, unit length."""
 
+    known: dict[str, int] = {}
+
+    def place(word: str) -> int:
+        """The word's dimension; negative signs come behind all positive ones."""
+        h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
+        at = h % dimensions + (0 if h >> 63 else dimensions)
+        if len(known) < MEMO_WORDS:
+            known[word] = at
+        return at
+
     def encode(texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), dimensions), np.float32)
         for i, t in enumerate(texts):
-            for w in t.lower().split():
-                h = int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little")
-                out[i, h % dimensions] += 1.0 if h >> 63 else -1.0
+            places = [known[w] if w in known else place(w) for w in t.lower().split()]
+            counts = np.bincount(np.array(places, np.int64), minlength=2 * dimensions)
+            out[i] = counts[:dimensions] - counts[dimensions:]
         norms = np.linalg.norm(out, axis=1, keepdims=True)
         return out / np.where(norms == 0, 1, norms)
 

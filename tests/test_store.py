@@ -1,3 +1,7 @@
+import hashlib
+import uuid
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -163,3 +167,31 @@ def test_a_killed_job_keeps_its_batches(spark, tmp_path):
     more = rows.unionByName(spark.createDataFrame([("new", "x"), (None, None)], "id string, text string"))
     assert embed_in_batches(store, "e", more, F.col("text"), hash_encoder, work, 10, run="1") >= 1
     assert store.read("e").where("id = 'new'").count() == 1
+
+
+def test_a_batch_of_embeddings_is_shared_out_among_tasks(spark, tmp_path):
+    store, work = TableStore(spark, f"file://{tmp_path}/db"), f"file://{tmp_path}/work"
+    tasks = tmp_path / "tasks"
+    tasks.mkdir()
+
+    def counting():
+        (tasks / uuid.uuid4().hex).touch()
+        return hash_encoder()
+
+    rows = spark.range(9000).select(F.col("id").cast("string").alias("id"), F.concat(F.lit("text "), F.col("id")).alias("text")).coalesce(1)
+    batches = embed_in_batches(store, "e", rows, F.col("text"), counting, work, 4000)
+    assert batches == 3 and len(list(tasks.iterdir())) > batches
+    found = [r.id for r in store.read("e").collect()]
+    assert len(found) == len(set(found)) == 9000
+
+
+def test_hash_encoder_by_its_definition():
+    texts = ["", "Aa b aa  É", "x " * 300 + "y"]
+    expected = np.zeros((3, 8), np.float32)
+    for i, t in enumerate(texts):
+        for w in t.lower().split():
+            h = int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little")
+            expected[i, h % 8] += 1.0 if h >> 63 else -1.0
+    norms = np.linalg.norm(expected, axis=1, keepdims=True)
+    encode = hash_encoder(8)
+    assert (encode(texts) == expected / np.where(norms == 0, 1, norms)).all() and (encode(texts) == encode(texts)).all()
