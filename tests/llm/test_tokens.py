@@ -5,7 +5,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from curatrix.llm import bpe, dac, packing, spm
 from curatrix.llm.bpe import WordMemoEncoder
@@ -44,6 +44,48 @@ def test_added_tokens_are_the_library_by_default():
         assert [np.frombuffer(x, "<u4").tolist() for x in e.encode(batch)] == [plain.encode(t, add_special_tokens=False).ids for t in batch]
 
 
+def test_words_in_rows_are_the_library():
+    plain, e = Tokenizer.from_file(BPE), WordMemoEncoder(BPE, 3000, added=True)
+    assert e.rows is not None
+    rnd = random.Random(5)
+    letters = [*"abcxyzABZ019.,;:!?#$%&\"()[]{}|~^_`@/\\-+*<>=", *"àéßñüöçÀÖØÿœŉſŸ", *"ing tion the".split()]
+    odd = [*"'×÷ªµº¡ƀǅαж漢😀\x00\x7f\x85\u00ad\u0301٣²", "'s", "'tion", "n't", "<|endoftext|>"]
+    for share in (0, 0.002, 0.1):
+        for _ in range(6):
+            words = ["".join(rnd.choice(odd if rnd.random() < share else letters) for _ in range(rnd.randint(1, 12))) for _ in range(3000)]
+            batch = ["".join(w + rnd.choice("       \n") for w in words[i : i + rnd.randint(1, 40)]) + "end" for i in range(0, 3000, 30)]
+            assert [np.frombuffer(x, "<u4").tolist() for x in e.encode(batch)] == [plain.encode(t, add_special_tokens=False).ids for t in batch]
+
+
+def test_plain_words_are_not_cut_again(monkeypatch):
+    e, usual = WordMemoEncoder(BPE), []
+    monkeypatch.setattr(e, "_learn_any", lambda words, own=e._learn_any: usual.extend(words) or own(words))
+    e.encode(["some plain words, élan and\nöl", "a 漢 that's other"])
+    assert sorted(usual) == ["that's", "漢"]
+
+
+def test_a_full_memo_still_takes_words(monkeypatch):
+    for memo in (20, 1000):
+        e, learnt = WordMemoEncoder(BPE, memo), []
+        monkeypatch.setattr(e, "_learn", lambda words, own=e._learn, learnt=learnt: learnt.extend(words) or own(words))
+        for i in range(300):
+            e.encode([f"x {i} {i + 1000} late"] if i > 200 else [f"x {i} {i + 1000} {i + 2000}"])
+            assert len(e.memo) + len(e.older) <= 1.5 * memo
+        assert learnt.count("late") == 1
+
+
+def test_vocabulary_with_pieces_over_an_end(tmp_path):
+    # "d" and "," are two pre-tokens, yet this vocabulary has a piece of both: words may not stand in a row
+    letters = sorted(bpe.BYTE)
+    vocab = {p: i for i, p in enumerate([*letters, "d,", "nd,"])}
+    t = Tokenizer(models.BPE(vocab=vocab, merges=[("d", ","), ("n", "d,")]))
+    t.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    t.save(str(tmp_path / "t.json"))
+    e, text = WordMemoEncoder(str(tmp_path / "t.json")), "and, end, or\nd, and"
+    assert e.rows is None
+    assert np.frombuffer(e.encode([text])[0], "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+
+
 def test_sentencepiece_is_the_library():
     lib, codec = sentencepiece.SentencePieceProcessor(model_file=PIECES), spm.SentencePieceCodec(PIECES, 1000)
     for t in texts(4000, 9) + ["", " ", "\n", "a" * 3000, "ab " * 2000]:
