@@ -26,8 +26,11 @@ are sparse there, so each tier completes the one before.
 
 *Candidates.*  Signatures travel as packed blobs, a few bytes each.  Up to FEW sets with an equal
 signature give their pairs, at most FEW / 2 for each; these pass only if the sets' parity sketches,
-which bound their Hamming distance from below, allow a link.  More sets are tied to one of them (a
-star, never all pairs).  The connected components of both gather what may link.
+which bound their Hamming distance from below, allow a link.  More sets are listed with the first of
+them (a star, never all pairs).  All sets listed with one first set meet with their sketches, in
+blocks of GROUP, and are compared unless they are connected already; only what sketches allow ties
+them, so a passage that many sets share makes no component.  The connected components of both gather
+what may link.
 
 *Verification.*  The texts of a component meet in one task, where an exact prefix-filtered join,
 rarest shingles first, works on the sets themselves and skips pairs that are connected already.  A
@@ -58,6 +61,10 @@ from .shingles import U64, mix, shingle_sets
 SAMPLE_DOCS, COMMON_IN_SAMPLE = 12_000, 2
 #: Sets with one signature that give pairs; more give a star.
 FEW = 8
+#: Bytes of a signature that travel; its bucket tells some more bits.  What agrees by chance is a candidate more, no link.
+SIG_BYTES = 5
+#: Sets of a star whose sketches meet in one piece, or in two such.
+GROUP = 2000
 #: Classes of a candidate component that are joined in one piece.
 BLOCK = 1000
 #: Classes with more than 1 / HOT_SHARE of all documents are looked up by broadcast: fewer than HOT_SHARE.
@@ -120,6 +127,34 @@ def distance_bound(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def ties(sketch: list[bytes], size: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """Pairs of sets that sketches allow to link, so many that all such pairs are connected."""
+    order = np.argsort(size, kind="stable")
+    size = size[order]
+    width = np.array([len(sketch[i]) for i in order.tolist()])  # ascends with the size
+    home = np.arange(len(order))
+    out: list[tuple[int, int]] = []
+    for w in np.unique(width).tolist():
+        # a partner that is not smaller has a sketch of this width, or one of twice the width
+        a, b, z = np.searchsorted(width, [w, w + 1, 2 * w + 1]).tolist()
+        table = np.frombuffer(b"".join(sketch[i] for i in order[a:b].tolist()), np.uint64).reshape(b - a, -1)
+        if z > b:
+            wide = np.frombuffer(b"".join(sketch[i] for i in order[b:z].tolist()), np.uint64).reshape(z - b, 2, -1)
+            table = np.concatenate([table, wide[:, 0] ^ wide[:, 1]])
+        last = np.searchsorted(size[:z], size[a:b] * den // num, side="right")
+        for i, end in zip(range(a, b), last.tolist(), strict=True):
+            others = i + 1 + np.flatnonzero(home[i + 1 : end] != home[i])
+            if not len(others):
+                continue
+            apart = np.bitwise_count(table[others - a] ^ table[i - a]).sum(1, dtype=np.int64)
+            close = others[apart * (num + den) <= (size[others] + size[i]) * (den - num)]
+            if len(close):
+                met, first = np.unique(home[close], return_index=True)
+                out += [(int(order[i]), int(order[j])) for j in close[first].tolist()]
+                home[np.isin(home, met)] = home[i]
+    return out
+
+
 def signatures(values: np.ndarray, owner: np.ndarray, size: np.ndarray, common: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """(signature, set number) of sets given as ascending ``values`` with ``owner``; ``size`` is |set|."""
     sigs: list[np.ndarray] = []
@@ -321,16 +356,18 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4,
             order = np.lexsort((ref, bucket))
             sig, ref, bucket = sig[order], ref[order], bucket[order]
             edges = np.searchsorted(bucket, np.arange(buckets + 1))
-            low = np.ascontiguousarray(sig.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+            low = np.ascontiguousarray(sig.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SIG_BYTES])
             out: list[list] = [[], [], [], []]
             for b in range(buckets):
                 a, z = edges[b], edges[b + 1]
                 if a == z:
                     continue
-                start = a + np.flatnonzero(np.concatenate([[True], ref[a + 1 : z] != ref[a : z - 1]]))
+                new = np.concatenate([[True], ref[a + 1 : z] != ref[a : z - 1]])
+                at_new = np.maximum.accumulate(np.where(new, np.arange(z - a), 0))
+                start = a + np.flatnonzero((np.arange(z - a) - at_new) % 255 == 0)  # counts are single bytes
                 out[0].append(b)
                 out[1].append(f1[ref[start]].astype("<i8").tobytes())
-                out[2].append(np.diff(np.append(start, z)).astype("<u4").tobytes())
+                out[2].append(np.diff(np.append(start, z)).astype(np.uint8).tobytes())
                 out[3].append(low[a:z].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *[pa.array(x, pa.binary()) for x in out[1:]]], ["bucket", "sets", "counts", "sigs"])
 
@@ -339,9 +376,9 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4,
         refs, sigs = [], []
         for batch in it:
             for s, c, g in zip(*(batch.column(x).to_pylist() for x in ("sets", "counts", "sigs")), strict=True):
-                refs.append(np.repeat(np.frombuffer(s, "<i8"), np.frombuffer(c, "<u4")))
-                wide = np.zeros((len(g) // 6, 8), np.uint8)
-                wide[:, :6] = np.frombuffer(g, np.uint8).reshape(-1, 6)
+                refs.append(np.repeat(np.frombuffer(s, "<i8"), np.frombuffer(c, np.uint8)))
+                wide = np.zeros((len(g) // SIG_BYTES, 8), np.uint8)
+                wide[:, :SIG_BYTES] = np.frombuffer(g, np.uint8).reshape(-1, SIG_BYTES)
                 sigs.append(wide.view("<u8").ravel())
         if not refs:
             return
@@ -378,15 +415,54 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4,
             ]
             yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
+    def tie(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What sketches allow to link among the sets of each star, or of two blocks of it."""
+        ids: list[np.ndarray] = []
+        sketch: list[bytes] = []
+        size: list[np.ndarray] = []
+        last = None
+
+        def solved() -> pa.RecordBatch:
+            f1 = np.concatenate(ids)
+            found = np.array(ties(sketch, np.concatenate(size), num, den), np.int64).reshape(-1, 2)
+            return pa.RecordBatch.from_arrays([pa.array(f1[found[:, 0]]), pa.array(f1[found[:, 1]])], ["u", "v"])
+
+        for batch in it:
+            if not batch.num_rows:
+                continue
+            key = np.stack([batch.column(c).to_numpy() for c in ("hub", "a", "b")], axis=1)
+            starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)])).tolist()
+            for lo, hi in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+                if (now := tuple(key[lo].tolist())) != last:
+                    if len(sketch) > 1:
+                        yield solved()
+                    ids, sketch, size, last = [], [], [], now
+                part = batch.slice(lo, hi - lo)
+                ids.append(part.column("f1").to_numpy())
+                sketch += part.column("sketch").to_pylist()
+                size.append(part.column("n_shingles").to_numpy())
+        if len(sketch) > 1:
+            yield solved()
+        release()
+
     packed = rows.mapInArrow(emit, "bucket int, sets binary, counts binary, sigs binary").repartitionById(buckets, F.col("bucket"))
     met = stored(packed.mapInArrow(meet, "u long, v long, star boolean"), "met")
     pairs = met.where("not star").select("u", "v").distinct()
-    asked = pairs.select(F.explode(F.array("u", "v")).alias("f1")).distinct().join(classes.select("f1", "f2", "rep"), "f1")
+    listed = met.where("star").select(F.col("u").alias("f1"), F.col("v").alias("hub")).distinct()
+    stars = stored(listed.unionByName(listed.select(F.col("hub").alias("f1"), "hub").distinct()), "stars")
+    asked = pairs.select(F.explode(F.array("u", "v")).alias("f1")).unionByName(stars.select("f1")).distinct().join(classes.select("f1", "f2", "rep"), "f1")
     known = stored(asked.join(sets.select(F.col("doc_id").alias("rep"), "f1", "f2", "sketch", "n_shingles"), ["rep", "f1", "f2"]).dropDuplicates(["f1", "f2"]).select("f1", "sketch", "n_shingles"), "sketches")
     side = lambda k: known.select(F.col("f1").alias(k), F.col("sketch").alias(f"{k}_sketch"), F.col("n_shingles").alias(f"{k}_size"))
     close = pairs.join(side("u"), "u").join(side("v"), "v").mapInArrow(allowed, "u long, v long")
+    # a large star is dealt in blocks, each of which meets each
+    split = stars.groupBy("hub").count().where(F.col("count") > GROUP).select("hub", F.ceil(F.col("count") / GROUP).cast("int").alias("blocks"))
+    own, other = F.pmod(F.xxhash64("f1"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    cut = stars.join(split, "hub", "left").select("f1", "hub", own.alias("own"), "blocks")
+    whole = cut.where("blocks is null").select("f1", "hub", F.lit(0).alias("a"), F.lit(0).alias("b"))
+    blocks = cut.where("blocks is not null").select("f1", "hub", "own", other).select("f1", "hub", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
+    meeting = whole.unionByName(blocks).join(known, "f1").repartition("hub", "a", "b").sortWithinPartitions("hub", "a", "b")
     # of two sets with one f1 either may allow the pair; both come along with it
-    edges = close.unionByName(met.where("star").select("u", "v"))
+    edges = close.unionByName(meeting.mapInArrow(tie, "u long, v long"))
     reach = connected_components(edges, "candidates")
     # v is a component's smallest set, which has no row of its own
     near = reach.select(F.col("node").alias("f1"), F.col("component").alias("home")).unionByName(

@@ -209,6 +209,51 @@ def test_jaccard_classes(docs, odd, monkeypatch):
     assert partenum.jaccard_classes(odd.limit(0)).count() == 0 and partenum.distinct_documents(odd).columns == odd.columns
 
 
+def test_ties_connect_what_sketches_allow():
+    rng = np.random.default_rng(3)
+    sets = []
+    for n in rng.choice([1, 3, 8, 20, 31, 33, 60, 64, 70, 128, 200, 600], 60):
+        base = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        sets.append(base)
+        for _ in range(rng.integers(0, 4)):
+            more = rng.integers(0, 1 << 63, rng.integers(0, n // 5 + 2)).astype(np.uint64)
+            sets.append(np.unique(np.concatenate([rng.permutation(base)[rng.integers(0, n // 3 + 1) :], more])))
+    sets = [s for s in sets if len(s)]
+    size = np.array([len(s) for s in sets])
+    sketch = partenum.sketches(np.concatenate(sets), np.concatenate([[0], np.cumsum(size)]))
+
+    def allowed(a, b):
+        return 4 * min(size[a], size[b]) >= 3 * max(size[a], size[b]) and 7 * partenum.distance_bound(sketch[a], sketch[b]) <= size[a] + size[b]
+
+    got = partenum.ties(sketch, size, 3, 4)
+    assert len(got) > 20 and all(allowed(a, b) for a, b in got)
+    assert reach(got) == reach((a, b) for a in range(len(sets)) for b in range(a) if allowed(a, b))
+    assert partenum.ties([], size[:0], 3, 4) == [] and len(partenum.ties(sketch[:1] * 9, size[:1].repeat(9), 3, 4)) == 8
+
+
+def test_a_passage_of_many_documents_ties_nothing(docs, monkeypatch):
+    # too rare for the sample, which is empty here, and in more documents than give pairs
+    rnd = random.Random(6)
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = [f"{passage} " + " ".join(f"v{rnd.randrange(10**6)}" for _ in range(30 + i % 60)) for i in range(150)]
+    texts += [t + " more" for t in texts[:30]]
+    want = reach(links(brute_sets(texts)))
+    written = {}
+
+    def stored(df, name, keep=partenum.stored):
+        return written.setdefault(name, keep(df, name))
+
+    monkeypatch.setattr(partenum, "stored", stored)
+    monkeypatch.setattr(partenum, "SAMPLE_DOCS", 0)
+    for group in (2000, 40):  # stars in one piece, and in blocks
+        written.clear()
+        monkeypatch.setattr(partenum, "GROUP", group)
+        got = {r.doc_id: r.component_id for r in partenum.jaccard_classes(docs(texts)).collect()}
+        assert got == {i: want.get(i, i) for i in range(len(texts))}
+        assert written["met"].where("star").count() > 100
+        assert max(r["count"] for r in written["candidate-classes"].groupBy("home").count().collect()) == 2
+
+
 def test_rows_without_ids_are_not_sampled_or_linked(docs, spark):
     texts = [f"the same words stand here in row {i % 3} of the table" for i in range(30)]
     df = docs(texts).selectExpr("CAST(NULL AS bigint) AS doc_id", "text")
