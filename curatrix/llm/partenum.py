@@ -107,11 +107,11 @@ def fingerprints(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def sketches(values: np.ndarray, at: np.ndarray) -> list[bytes]:
-    """For each set the parities of its numbers of shingles in 2^j bins, twice as many as shingles or more."""
+    """For each set the parities of its numbers of shingles in 2^j bins, as many as shingles or more."""
     h = mix(values ^ U64(0x9B05688C2B3E6C1F))
     out = []
     for a, z in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-        bins = 1 << min(16, max(6, (2 * (z - a) - 1).bit_length()))
+        bins = 1 << min(16, max(6, (z - a - 1).bit_length()))
         odd = np.bincount((h[a:z] & U64(bins - 1)).astype(np.int64), minlength=bins) & 1
         out.append(np.packbits(odd.astype(np.uint8), bitorder="little").tobytes())
     return out
@@ -450,7 +450,7 @@ def jaccard_classes(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4,
     pairs = met.where("not star").select("u", "v").distinct()
     listed = met.where("star").select(F.col("u").alias("f1"), F.col("v").alias("hub")).distinct()
     stars = stored(listed.unionByName(listed.select(F.col("hub").alias("f1"), "hub").distinct()), "stars")
-    asked = pairs.select(F.explode(F.array("u", "v")).alias("f1")).unionByName(stars.select("f1")).distinct().join(classes.select("f1", "f2", "rep"), "f1")
+    asked = met.select(F.explode(F.array("u", "v")).alias("f1")).distinct().join(classes.select("f1", "f2", "rep"), "f1")
     known = stored(asked.join(sets.select(F.col("doc_id").alias("rep"), "f1", "f2", "sketch", "n_shingles"), ["rep", "f1", "f2"]).dropDuplicates(["f1", "f2"]).select("f1", "sketch", "n_shingles"), "sketches")
     side = lambda k: known.select(F.col("f1").alias(k), F.col("sketch").alias(f"{k}_sketch"), F.col("n_shingles").alias(f"{k}_size"))
     close = pairs.join(side("u"), "u").join(side("v"), "v").mapInArrow(allowed, "u long, v long")
